@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.functions.columns import age_band, risk_segment
-from lossmetrics.operators import quality
+from lossmetrics.functions.columns import age_band, risk_segment, total
+from lossmetrics.operators import quality, sqlpack
 from lossmetrics.plans import cleaning, star
 from lossmetrics.plans.warehouse import Warehouse, build_dims, open_warehouse, sources_from_tpch
 from lossmetrics.session import shared_dir
@@ -72,7 +72,7 @@ def _age_bands(raw: DataFrame) -> DataFrame:
 
 def _risk_segments(claims: DataFrame) -> DataFrame:
     return claims.groupBy(risk_segment("patient_age_band", "severity_weight").alias("segment")).agg(
-        F.count(F.lit(1)).alias("claims"), F.round(F.sum("paid_amount"), 2).alias("total_paid")
+        F.count(F.lit(1)).alias("claims"), total("paid_amount").alias("total_paid")
     )
 
 
@@ -137,5 +137,31 @@ def warehouse_queries() -> dict[str, Query]:
     }
 
 
+def sqlpack_queries() -> dict[str, Query]:
+    return {
+        "v1_claims_summary": on("summary", lambda s: s),
+        "v2_monthly_metrics": on("summary", sqlpack.monthly_metrics),
+        "v3_loss_triangle": on("fact", sqlpack.loss_triangle),
+        "v4_provider_scorecard": on("summary", sqlpack.provider_scorecard),
+        "a1_running_frequency": on("summary", sqlpack.running_frequency),
+        "a2_severity_by_specialty": on("summary", sqlpack.severity_by_specialty),
+        "a3_top_claims": on("summary", sqlpack.top_claims),
+        "a4_yearly_change": on("fact", sqlpack.yearly_change),
+        "a5_moving_average": on("summary", sqlpack.moving_average),
+        "a6_aging_by_status": on("fact", sqlpack.aging_by_status),
+        "a7_triangle_pivot": on("fact", sqlpack.triangle_pivot),
+        "a8_provider_risk": on("summary", sqlpack.provider_risk),
+        "a9_severe_regions": on("summary", sqlpack.severe_regions),
+        "a10_diagnosis_pareto": on("summary", sqlpack.diagnosis_pareto),
+        "a11_lag_by_specialty": on("summary", sqlpack.lag_by_specialty),
+        "a12_litigation_by_region": on("summary", sqlpack.litigation_by_region),
+        "a13_reopened_comparison": on("fact", sqlpack.reopened_comparison),
+        "a14_seasonality": on("fact", sqlpack.seasonality),
+        "a15_quality_audit": with_warehouse(lambda w: quality.audit(w.fact, w.dims)),
+        "a16_cohorts": on("fact", sqlpack.cohorts),
+        "a17_outliers": on("summary", sqlpack.outliers),
+    }
+
+
 def registry() -> dict[str, Query]:
-    return quality_queries() | warehouse_queries()
+    return quality_queries() | warehouse_queries() | sqlpack_queries()

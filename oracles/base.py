@@ -1,5 +1,7 @@
 """Shared DuckDB text: the adapter, cleaning, star schema and summary as common table expressions."""
 
+import re
+
 from lossmetrics import config
 from lossmetrics.sources import lookups
 
@@ -30,6 +32,11 @@ def age_band(x: str) -> str:
     )
 
 
+def exact_round(x: str, digits: int) -> str:
+    """Half-up rounding of the shortest decimal form, as Spark rounds; binary rounding differs on row-level ties."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 15)), {digits}) AS DOUBLE)"
+
+
 def surrogate(columns: str, natural: str, key: str, source: str) -> str:
     return f"SELECT row_number() OVER (ORDER BY md5({natural}), {natural}) AS {key}, {columns} FROM ({source})"
 
@@ -110,12 +117,12 @@ fact AS (
   JOIN (SELECT region_key, state_code FROM dim_region) r ON c.state_code = r.state_code
   JOIN dim_diagnosis ON diagnosis_id = diagnosis_code JOIN dim_root_cause ON root_cause_id = root_cause_code)"""
 
-SUMMARY = """
+SUMMARY = f"""
 s AS (
   SELECT f.* EXCLUDE (provider_key, region_key, diagnosis_key, root_cause_key),
     p.* EXCLUDE (provider_key), r.* EXCLUDE (region_key), d.* EXCLUDE (diagnosis_key), rc.* EXCLUDE (root_cause_key),
-    round(f.paid_amount / nullif(f.incurred_amount, 0), 4) AS loss_ratio,
-    round(f.reserved_amount - f.paid_amount, 2) AS reserve_adequacy,
+    {exact_round('f.paid_amount / nullif(f.incurred_amount, 0)', 4)} AS loss_ratio,
+    {exact_round('(f.reserved_amount - f.paid_amount)', 2)} AS reserve_adequacy,
     strftime(f.incident_date, '%Y-%m') AS incident_month,
     CASE WHEN f.severity_level >= 4 THEN 1 ELSE 0 END AS is_high_severity,
     CASE WHEN f.days_to_close > 365 THEN 1 ELSE 0 END AS is_long_tail
@@ -144,8 +151,47 @@ def with_summary(sql: str) -> str:
     return f"WITH {RAW}, {CLEAN}, {DIMS}, {FACT}, {SUMMARY} {_tail(sql)}"
 
 
+AMOUNT = r"(?:\w+\.)?(?:paid|incurred|reserved|reserve)_amount"
+
+
 def _tail(sql: str) -> str:
-    return sql.strip()
+    return _exact(sql.strip())
+
+
+def _close(text: str, start: int) -> int:
+    """Index of the parenthesis that closes the one before ``start``."""
+    depth = 1
+    for i in range(start, len(text)):
+        depth += (text[i] == "(") - (text[i] == ")")
+        if depth == 0:
+            return i
+    raise ValueError(text[start:])
+
+
+def _exact(sql: str) -> str:
+    """Write amounts as exact decimal sums and every rounding as half-up on the decimal form."""
+    out, at = "", 0
+    for m in re.finditer(r"(?<![\w.])round\(", sql):
+        if m.start() < at:
+            continue
+        end = _close(sql, m.end())
+        body = sql[m.end() : end]
+        comma = body.rfind(",")
+        value, digits = body[:comma].strip(), body[comma + 1 :].strip()
+        out += _sums(sql[at : m.start()])
+        single = re.match(r"sum\(", value)
+        if single and _close(value, 4) == len(value) - 1 and re.search(AMOUNT, value):
+            out += f"CAST(round(sum(CAST({value[4:-1]} AS DECIMAL(18, 6))), {digits}) AS DOUBLE)"
+        else:
+            out += exact_round("(" + _exact(value) + ")", int(digits))
+        at = end + 1
+    return out + _sums(sql[at:])
+
+
+def _sums(sql: str) -> str:
+    later = r"(?! FILTER| OVER)"
+    sql = re.sub(rf"\bsum\(({AMOUNT})\){later}", r"CAST(sum(CAST(\1 AS DECIMAL(18, 6))) AS DOUBLE)", sql)
+    return re.sub(rf"\bavg\(({AMOUNT})\){later}", r"(CAST(sum(CAST(\1 AS DECIMAL(18, 6))) AS DOUBLE) / count(\1))", sql)
 
 
 def quarter(x: str) -> str:
