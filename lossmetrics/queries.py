@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossmetrics.functions.columns import age_band, risk_segment, total
-from lossmetrics.operators import quality, sqlpack
+from lossmetrics.operators import benchmarks, closing, frequency, lag, quality, repeat, scenarios, sqlpack
 from lossmetrics.plans import cleaning, star
 from lossmetrics.plans.warehouse import Warehouse, build_dims, open_warehouse, sources_from_tpch
 from lossmetrics.session import shared_dir
@@ -163,5 +163,43 @@ def sqlpack_queries() -> dict[str, Query]:
     }
 
 
+def analysis_queries() -> dict[str, Query]:
+    return {
+        "f1_monthly_by_type": on("summary", frequency.monthly_by_type),
+        "f2_quarterly_counts": on("summary", frequency.quarterly_counts),
+        "f3_yearly_counts": on("summary", frequency.yearly_counts),
+        "f4_severity_distribution": on("summary", frequency.severity_distribution),
+        "f5_severity_by_type": on("summary", lambda s: frequency.severity_by(s, "claim_type")),
+        "f6_severity_by_specialty": on("summary", lambda s: frequency.severity_by(s, "specialty")),
+        "f7_specialty_points": on("summary", frequency.specialty_points),
+        "f8_loss_ratio": on("summary", frequency.loss_ratio),
+        "f9_yearly_metrics": on("summary", frequency.yearly_metrics),
+        "l1_close_histogram": on("summary", closing.close_histogram),
+        "l2_close_percentiles": on("summary", closing.close_percentiles),
+        "l3_close_by_group": on("summary", lambda s: closing.close_by(s, "severity_level", "specialty", "region")),
+        "l4_sla_compliance": on("summary", closing.sla_compliance),
+        "l5_backlog_aging": on("summary", closing.backlog_aging),
+        "l6_monthly_close_trend": on("summary", closing.monthly_close_trend),
+        "g1_lag_histogram": on("summary", lag.lag_histogram),
+        "g1_lag_percentiles": on("summary", lag.lag_percentiles),
+        "g2_lag_by_group": on("summary", lambda s: lag.lag_by(s, "specialty", "region", "severity_level")),
+        "g3_slow_reporters": on("summary", lag.slow_reporters),
+        "g4_monthly_lag_trend": on("summary", lag.monthly_lag_trend),
+        "r1_reopen_rate": on("summary", repeat.reopen_rate),
+        "r2_reopen_by_provider": on("summary", repeat.reopen_by_provider),
+        "r3_reopen_by_root_cause": on("summary", lambda s: repeat.reopen_by(s, "root_cause_category")),
+        "r3_reopen_by_specialty": on("summary", lambda s: repeat.reopen_by(s, "specialty")),
+        "r4_litigation_link": on("summary", repeat.litigation_link),
+        "r5_repeat_events": on("summary", repeat.repeat_events),
+        "b1_indicators": on("summary", benchmarks.indicators),
+        "b2_departments": on("summary", benchmarks.departments),
+        "b3_quarterly": on("summary", benchmarks.quarterly),
+        "x1_close_time": on("summary", scenarios.close_time),
+        "x2_severity_shift": on("summary", scenarios.severity_shift),
+        "x3_litigation_cut": on("summary", scenarios.litigation_cut),
+        "x4_combined": on("summary", scenarios.combined),
+    }
+
+
 def registry() -> dict[str, Query]:
-    return quality_queries() | warehouse_queries() | sqlpack_queries()
+    return quality_queries() | warehouse_queries() | sqlpack_queries() | analysis_queries()
