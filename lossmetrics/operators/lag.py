@@ -53,13 +53,13 @@ def lag_by(claims: DataFrame, *keys: str) -> DataFrame:
 
 def slow_reporters(claims: DataFrame, min_claims: int = 5, factor: float = 2.0, k: int = 50) -> DataFrame:
     """Providers whose mean lag exceeds a multiple of the overall median, slowest first."""
-    days = value_counts(claims, "days_to_report", ["provider_id"])
+    days = value_counts(claims, "days_to_report", ["provider_id", "provider_name"])
     limit = days.agg(counted_percentile(0.5).alias("overall_median"))
-    names = claims.groupBy("provider_id").agg(F.min("provider_name").alias("provider_name"))
     per_provider = (
         days.where(F.col("provider_id").isNotNull())
         .groupBy("provider_id")
         .agg(
+            F.min("provider_name").alias("provider_name"),
             counted_rows().alias("claim_count"),
             counted_mean().alias("_mean"),
             F.round(counted_percentile(0.5), 1).alias("median_lag"),
@@ -71,7 +71,7 @@ def slow_reporters(claims: DataFrame, min_claims: int = 5, factor: float = 2.0,
         .orderBy(F.desc("_mean"), "provider_id")
         .limit(k)
     )
-    return slowest.join(names, "provider_id", "left").select(
+    return slowest.select(
         "provider_id",
         "provider_name",
         "claim_count",

@@ -13,7 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossmetrics.functions.columns import age_band, risk_segment, total
-from lossmetrics.operators import benchmarks, closing, frequency, lag, quality, repeat, scenarios, sqlpack
+from lossmetrics.operators import (
+    benchmarks,
+    closing,
+    extracts,
+    frequency,
+    lag,
+    pages,
+    quality,
+    repeat,
+    resampling,
+    reserving,
+    scenarios,
+    sqlpack,
+    survival,
+)
 from lossmetrics.plans import cleaning, star
 from lossmetrics.plans.warehouse import Warehouse, build_dims, open_warehouse, sources_from_tpch
 from lossmetrics.session import shared_dir
@@ -184,6 +198,7 @@ def analysis_queries() -> dict[str, Query]:
         "g1_lag_percentiles": on("summary", lag.lag_percentiles),
         "g2_lag_by_group": on("summary", lambda s: lag.lag_by(s, "specialty", "region", "severity_level")),
         "g3_slow_reporters": on("summary", lag.slow_reporters),
+        "g3_above_median_reporters": on("summary", lambda s: lag.slow_reporters(s, factor=1.0)),
         "g4_monthly_lag_trend": on("summary", lag.monthly_lag_trend),
         "r1_reopen_rate": on("summary", repeat.reopen_rate),
         "r2_reopen_by_provider": on("summary", repeat.reopen_by_provider),
@@ -201,5 +216,115 @@ def analysis_queries() -> dict[str, Query]:
     }
 
 
+def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def page_queries() -> dict[str, Query]:
+    return {
+        "p1_filtered": on(
+            "summary",
+            lambda s: pages.filtered(
+                s,
+                years=[1996, 1997],
+                claim_types=["medical_malpractice", "workers_comp"],
+                severities=[3, 4, 5],
+                regions=["ASIA", "EUROPE"],
+                start="1996-03-01",
+                end="1997-10-31",
+            ).select("claim_id", "accident_year", "claim_type", "severity_level", "region", "incident_date"),
+        ),
+        "p2_kpis": on("summary", pages.kpis),
+        "p3_sparkline_count": on("summary", pages.sparkline),
+        "p3_sparkline_paid": on("summary", lambda s: pages.sparkline(s, "paid_amount")),
+        "p4_status_counts": on("summary", pages.status_counts),
+        "p4_top_root_causes": on("summary", pages.top_root_causes),
+        "p4_month_by_type": on("summary", lambda s: pages.counts_by(s, pages.month_key(), "claim_type")),
+        "p4_year_by_severity": on("summary", lambda s: pages.counts_by(s, pages.year_key(), "severity_level")),
+        "p5_month_by_severity": on("summary", lambda s: pages.counts_by(s, pages.month_key(), "severity_level")),
+        "p5_paid_incurred": on("summary", pages.paid_incurred),
+        "p5_quarterly_loss_ratio": on("summary", pages.quarterly_loss_ratio),
+        "p5_severity_mix": on("summary", pages.severity_mix),
+        "p5_claim_type_totals": on("summary", pages.claim_type_totals),
+        "p6_state_map": on("summary", pages.state_map),
+        "p6_department_severity": on("summary", pages.department_severity),
+        "p6_region_by_type": on("summary", lambda s: pages.counts_by(s, "region", "claim_type")),
+        "p6_top_states": on("summary", pages.top_states),
+        "p6_urban_rural": on("summary", pages.urban_rural),
+        "p6_urban_rural_state": on("summary", lambda s: pages.urban_rural(pages.filtered(s, state="NATION_7"))),
+        "p7_ops_kpis": on("summary", pages.ops_kpis),
+        "p7_close_histogram": on(
+            "summary", lambda s: pages.capped_day_histogram(s, "days_to_close", 30, "severity_level")
+        ),
+        "p7_open_aging": on("summary", pages.open_aging),
+        "p7_lag_histogram": on("summary", lambda s: pages.capped_day_histogram(s, "days_to_report", 40)),
+        "p7_monthly_lag": on("summary", lag.monthly_lag_trend),
+        "p7_sla_table": on("summary", pages.sla_table),
+        "p8_risk_segments": on("summary", pages.risk_segments),
+        "p9_risk_matrix": on("summary", pages.risk_matrix),
+        "p10_recommendation_metrics": on(
+            "summary", lambda s: pages.recommendation_metrics(s, [f"NATION_{i}" for i in range(4)])
+        ),
+        "e1_monthly_metrics": on("summary", extracts.monthly_metrics),
+        "e1b_monthly_sheet": on("summary", extracts.monthly_sheet),
+        "e2_provider_scorecard": on("summary", extracts.provider_scorecard),
+        "e3_severity_sheet": on("summary", extracts.severity_sheet),
+        "e4_state_summary": on("summary", extracts.state_summary),
+        "k3_claims_detail": on("summary", lambda s: extracts.sheets(s)["claims_detail"]),
+        "k4_loss_triangle": on("summary", lambda s: reserving.wide_triangle(s, 3).drop("segment")),
+        "k9_triangle_download": on(
+            "summary", lambda s: reserving.wide_triangle(s, 3, prefix="dev_year_", masked=True).drop("segment")
+        ),
+        "k9_operations": on("summary", extracts.operations),
+        "k9_scenario_summary": on("summary", extracts.scenario_summary),
+    }
+
+
+def advanced_queries() -> dict[str, Query]:
+    return {
+        "t1_triangle": on("summary", reserving.triangle),
+        "t2_age_to_age": on("summary", reserving.age_to_age),
+        "t3_cumulative_factors": on("summary", reserving.cumulative_factors),
+        "t4_ultimates": on("summary", reserving.ultimates),
+        "t5_ibnr": on("summary", reserving.ibnr),
+        "t5_ibnr_by_segment": on("summary", lambda s: reserving.ibnr(s, "specialty")),
+        "t6_standard_errors": on("summary", reserving.standard_errors),
+        "t6_standard_errors_by_segment": on("summary", lambda s: reserving.standard_errors(s, "specialty", "region")),
+        "x5_simulated_savings": on("summary", resampling.simulated_savings),
+        "x5_simulated_savings_by_type": on("summary", lambda s: resampling.simulated_savings(s, "claim_type")),
+        "x6_bootstrap_paid": on("summary", lambda s: resampling.bootstrap_interval(s, "paid_amount", "sum")),
+        "x6_bootstrap_severity": on("summary", lambda s: resampling.bootstrap_interval(s, "severity_level", "mean")),
+        "x7_litigation_interval": on(
+            "summary",
+            lambda s: _rounded(
+                resampling.proportion_interval(s, "litigation_flag", "claim_type"),
+                9,
+                "estimate",
+                "ci_lower",
+                "ci_upper",
+                "margin_of_error",
+            ),
+        ),
+        "u1_durations": on(
+            "summary",
+            lambda s: survival.durations(s)
+            .groupBy("claim_type", "event", "duration")
+            .agg(F.count(F.lit(1)).alias("claims")),
+        ),
+        "u2_survival": on("summary", survival.kaplan_meier),
+        "u3_survival_by_type": on("summary", lambda s: survival.kaplan_meier(s, "claim_type")),
+        "u4_median_survival": on("summary", lambda s: survival.median_survival(s, "claim_type")),
+        "u5_log_rank": on("summary", lambda s: _rounded(survival.log_rank(s), 8, "test_statistic")),
+        "u5_log_rank_p": on("summary", survival.log_rank_p),
+    }
+
+
 def registry() -> dict[str, Query]:
-    return quality_queries() | warehouse_queries() | sqlpack_queries() | analysis_queries()
+    return (
+        quality_queries()
+        | warehouse_queries()
+        | sqlpack_queries()
+        | analysis_queries()
+        | page_queries()
+        | advanced_queries()
+    )

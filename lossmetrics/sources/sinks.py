@@ -1,11 +1,115 @@
-"""Sinks: partitioned CSV and parquet writers, the report and the extracts. Nothing passes through the driver."""
+"""Sinks: partitioned writers for tables and extracts, and the quality report.
+
+Writers run in parallel and name a folder of parts. Only the report is a single text; its rows are one per check and
+column, so collecting them is bounded by the schema.
+"""
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lossmetrics import config
+from lossmetrics.operators import extracts, quality, reserving
+
+BOM = "﻿"
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """CSV parts with a header, written in parallel; null is an empty field."""
+def write_csv(df: DataFrame, path: str, bom: bool = False) -> str:
+    """CSV parts with a header, written in parallel; null is an empty field. ``bom`` marks the header as UTF-8."""
+    if bom:
+        df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
     df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", '""').csv(path)
     return path
+
+
+def write_cleaned(tables: dict[str, DataFrame], folder: str) -> list[str]:
+    """Every cleaned table as CSV."""
+    return [write_csv(df, f"{folder}/{name}.csv") for name, df in tables.items()]
+
+
+def claims_detail(claims: DataFrame, folder: str) -> str:
+    return write_csv(claims, f"{folder}/claims_detail.csv", bom=True)
+
+
+def development_years(claims: DataFrame) -> int:
+    """Development years to show: a single number."""
+    latest = claims.agg(F.max("development_year")).first()[0]
+    return 0 if latest is None else latest + 1
+
+
+def loss_triangle(claims: DataFrame, folder: str) -> str:
+    """Wide cumulative triangle; an unobserved cell repeats the value before it."""
+    wide = reserving.wide_triangle(claims, development_years(claims)).drop("segment").orderBy("accident_year")
+    return write_csv(wide, f"{folder}/loss_triangle.csv", bom=True)
+
+
+def monthly_metrics(claims: DataFrame, folder: str) -> str:
+    return write_csv(extracts.monthly_metrics(claims).orderBy("month"), f"{folder}/monthly_metrics.csv", bom=True)
+
+
+def provider_scorecard(claims: DataFrame, folder: str) -> str:
+    return write_csv(extracts.provider_scorecard(claims), f"{folder}/provider_scorecard.csv", bom=True)
+
+
+def bi_extract(claims: DataFrame, folder: str) -> list[str]:
+    """The five sheets, one folder each."""
+    return [write_csv(df, f"{folder}/{name}", bom=True) for name, df in extracts.sheets(claims).items()]
+
+
+def export_all(claims: DataFrame, folder: str) -> list[str]:
+    return [
+        claims_detail(claims, folder),
+        loss_triangle(claims, folder),
+        monthly_metrics(claims, folder),
+        provider_scorecard(claims, folder),
+        *bi_extract(claims, f"{folder}/bi_extract"),
+    ]
+
+
+def quality_report(
+    raw: DataFrame, clean: DataFrame, generated: str, seconds: float = 0.0, as_of: datetime.date = config.AS_OF
+) -> str:
+    """Markdown report of a cleaning run: summary, issues, before/after, nulls and ranges."""
+    records = raw.count()
+    found = {r["category"]: r for r in quality.comparison(raw, clean, as_of).collect()}
+    overall = found.pop("Total")
+    lines = ["# Data Quality Report", f"Generated: {generated}", "", "## Summary"]
+    lines += [
+        f"- Total records examined: {records:,}",
+        f"- Issues found: {overall['before']:,}",
+        f"- Issues resolved: {overall['resolved']:,}",
+        f"- Issues remaining: {overall['after']:,}",
+        f"- Cleaning time: {seconds:.2f}s",
+        "",
+    ]
+    details = quality.issues(raw, as_of).orderBy("position").collect()
+    if details:
+        lines.append("## Issues Detail")
+    for issue in details:
+        category = issue["category"]
+        lines += [f"### {category}", f"- Found: {issue['issue_count']:,} records — {issue['description']}"]
+        if category in quality.ACTIONS:
+            lines.append(f"- Action: {quality.ACTIONS[category]}")
+        lines += [f"- Remaining: {found[category]['after'] if category in found else 0:,}", ""]
+    if found:
+        lines += ["## Before/After Comparison", "| Metric | Before | After |", "|--------|--------|-------|"]
+        lines += [f"| {c} | {r['before']:,} | {r['after']:,} |" for c, r in sorted(found.items())]
+        lines += [f"| **Total** | **{overall['before']:,}** | **{overall['after']:,}** |", ""]
+    nulls = quality.null_counts(clean).where(F.col("null_count") > 0).orderBy(F.desc("null_count"), "column_name").collect()
+    if nulls:
+        lines += ["## Column Null Counts (After Cleaning)", "| Column | Null Count |", "|--------|------------|"]
+        lines += [f"| {r['column_name']} | {r['null_count']:,} |" for r in nulls] + [""]
+    ranges = quality.numeric_ranges(clean).orderBy("column_name").collect()
+    if ranges:
+        lines += ["## Numeric Ranges (After Cleaning)", "| Column | Min | Max |", "|--------|-----|-----|"]
+        lines += [f"| {r['column_name']} | {r['min_value']:,.2f} | {r['max_value']:,.2f} |" for r in ranges] + [""]
+    return "\n".join(lines)
+
+
+def write_report(df: DataFrame, text: str, path: str) -> str:
+    """Write a bounded text as one file through the session's file system."""
+    df.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path

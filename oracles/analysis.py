@@ -100,6 +100,17 @@ _cs = f"({_c1} + {_c2} + {_c3})"
 _fewer = "CAST(floor(open_n * 0.8::DOUBLE) AS BIGINT)"
 _fac = "(1 - pct::DOUBLE / 100)"
 
+def slow(factor: int) -> str:
+    return S(
+        f""", m AS (SELECT median(days_to_report) AS med FROM s),
+        p AS (SELECT provider_id, min(provider_name) AS provider_name, count(*) AS claim_count, avg(days_to_report) AS mean_lag,
+        median(days_to_report) AS med_lag FROM s WHERE days_to_report IS NOT NULL GROUP BY 1)
+        SELECT provider_id, provider_name, claim_count, round(mean_lag, 1) AS mean_lag, round(med_lag, 1) AS median_lag,
+        round(med * {factor}, 1) AS threshold_days, round(med, 1) AS overall_median FROM p, m
+        WHERE claim_count >= 5 AND mean_lag > med * {factor} ORDER BY p.mean_lag DESC, provider_id LIMIT 50"""
+    )
+
+
 SQL = {
     "f1_monthly_by_type": S(
         f"SELECT {M} AS incident_month, "
@@ -159,14 +170,8 @@ SQL = {
         round(quantile_cont(days_to_report, 0.9), 1) AS p90, round(quantile_cont(days_to_report, 0.95), 1) AS p95 FROM s"""
     ),
     "g2_lag_by_group": stats_by("days_to_report", ["specialty", "region", "severity_level"], True),
-    "g3_slow_reporters": S(
-        """, m AS (SELECT median(days_to_report) AS med FROM s),
-        p AS (SELECT provider_id, min(provider_name) AS provider_name, count(*) AS claim_count, avg(days_to_report) AS mean_lag,
-        median(days_to_report) AS med_lag FROM s WHERE days_to_report IS NOT NULL GROUP BY 1)
-        SELECT provider_id, provider_name, claim_count, round(mean_lag, 1) AS mean_lag, round(med_lag, 1) AS median_lag,
-        round(med * FACTOR, 1) AS threshold_days, round(med, 1) AS overall_median FROM p, m
-        WHERE claim_count >= 5 AND mean_lag > med * FACTOR ORDER BY p.mean_lag DESC, provider_id LIMIT 50""".replace("FACTOR", "2")
-    ),
+    "g3_slow_reporters": slow(2),
+    "g3_above_median_reporters": slow(1),
     "g4_monthly_lag_trend": S(
         f"""SELECT {M} AS incident_month, round(median(days_to_report), 1) AS median, round(avg(days_to_report), 1) AS mean,
         count(*) AS claim_count FROM s WHERE days_to_report IS NOT NULL GROUP BY 1"""
