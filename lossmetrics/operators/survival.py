@@ -6,7 +6,9 @@ Durations are counted per day and group first. A curve then runs over at most on
 from __future__ import annotations
 
 import datetime
+import math
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -156,10 +158,6 @@ def log_rank_p(claims: DataFrame, group: str = "claim_type", as_of: datetime.dat
 
 def chi2_tail(statistic: Column) -> Column:
     """Upper tail of chi-square with one degree of freedom, erfc(sqrt(x / 2)); one row per pair passes through Python."""
-    import math
-
-    import pandas as pd
-
     @F.pandas_udf("double")
     def tail(x: pd.Series) -> pd.Series:
         return x.map(lambda v: None if pd.isna(v) else math.erfc(math.sqrt(max(v, 0.0) / 2)))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossmetrics.functions.columns import age_band, risk_segment, total
+from lossmetrics.ml import anomaly, evaluate, features, forecast, severity
 from lossmetrics.operators import (
     benchmarks,
     closing,
@@ -319,6 +320,120 @@ def advanced_queries() -> dict[str, Query]:
     }
 
 
+# Boosted trees are fitted per class and round, so the registered comparison runs fewer rounds and trees than the
+# defaults of ``ml.severity`` (200 trees, 150 rounds).
+_TREES, _ROUNDS = 20, 2
+_fitted: dict[tuple, object] = {}
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, make: Callable):
+    """A model fit shared by the queries that report on it."""
+    handle = (spark.sparkContext.applicationId, sf_dir, name)
+    if handle not in _fitted:
+        _fitted[handle] = make(open_warehouse(spark, sf_dir).summary)
+    return _fitted[handle]
+
+
+def fitted(name: str, make: Callable, read: Callable) -> Query:
+    return lambda spark, sf_dir: read(once(spark, sf_dir, name, make))
+
+
+def _models(claims: DataFrame) -> severity.SeverityModels:
+    return severity.train(claims, trees=_TREES, rounds=_ROUNDS)
+
+
+def _scores(claims: DataFrame) -> DataFrame:
+    builders = {
+        severity.FOREST: lambda n: severity.forest(_TREES, 10),
+        severity.LOGISTIC: lambda n: severity.logistic(n, 100),
+        severity.BOOSTED: lambda n: severity.boosted(_ROUNDS, 3),
+    }
+    return evaluate.cross_validate(severity.prepare(claims), builders)
+
+
+def _calibration(claims: DataFrame) -> DataFrame:
+    return evaluate.calibration(evaluate.fit_all(severity.prepare(claims), severity.logistic)[1])
+
+
+def _anomalies(claims: DataFrame):
+    return anomaly.detect(claims)
+
+
+def _detected(read: Callable) -> Query:
+    return fitted("anomalies", _anomalies, read)
+
+
+def _fixed_prediction(claims: DataFrame) -> DataFrame:
+    """A prediction that SQL can repeat: the reporting lag modulo five."""
+    return features.labelled(claims.where(F.col("severity_level").isNotNull())).withColumn(
+        "prediction", (F.col("days_to_report") % 5).cast("double")
+    )
+
+
+def _fixed_flags(claims: DataFrame) -> DataFrame:
+    return claims.withColumn("is_anomaly", F.col("paid_amount") > 90000)
+
+
+def _split_sizes(claims: DataFrame) -> DataFrame:
+    rows = features.labelled(features.feature_table(features.valid_claims(claims)))
+    parts = features.stratified_parts(rows, "severity_level", "claim_id", [0.2, 0.8])
+    return parts.groupBy("severity_level", "part").agg(F.count(F.lit(1)).alias("claims"))
+
+
+def _predicted(name: str) -> Query:
+    def read(models: severity.SeverityModels) -> DataFrame:
+        return models.predictions[name].select("claim_id", "severity_level", (F.col("prediction") + 1).cast("int").alias("predicted"))
+
+    return fitted("severity", _models, read)
+
+
+def model_queries() -> dict[str, Query]:
+    return {
+        "m1_valid_claims": on("summary", lambda s: features.valid_claims(s).select("claim_id", "severity_level")),
+        "m2_feature_table": on(
+            "summary",
+            lambda s: _rounded(features.feature_table(features.valid_claims(s)), 9, "log_paid_amount"),
+        ),
+        "m3_split": on("summary", _split_sizes),
+        "m4_forest": _predicted(severity.FOREST),
+        "m5_logistic": _predicted(severity.LOGISTIC),
+        "m6_boosted": _predicted(severity.BOOSTED),
+        "m7_importances": fitted("severity", _models, lambda m: m.importances()),
+        "m8_report": fitted("severity", _models, lambda m: m.report(severity.FOREST)),
+        "m8_confusion": fitted("severity", _models, lambda m: m.confusion(severity.FOREST)),
+        "m8_report_fixed": on("summary", lambda s: evaluate.classification_report(_fixed_prediction(s))),
+        "m8_confusion_fixed": on("summary", lambda s: evaluate.confusion(_fixed_prediction(s))),
+        "m9_cross_validation": fitted("scores", _scores, lambda scores: scores),
+        "m10_calibration": on("summary", _calibration),
+        "m11_ranking": fitted("scores", _scores, evaluate.ranking),
+        "m11_paired_test": fitted("scores", _scores, evaluate.paired_test),
+        "m12_monthly_series": on("summary", forecast.monthly_series),
+        "m12_monthly_series_by_type": on("summary", lambda s: forecast.monthly_series(s, "claim_type", "region")),
+        "m13_forecast": on("summary", lambda s: forecast.fit_series(forecast.monthly_series(s))),
+        "m13_forecast_by_type": on("summary", lambda s: forecast.fit_series(forecast.monthly_series(s, "claim_type", "region"))),
+        "m14_forecast_bands": on("summary", forecast.forecast),
+        "m15_backtest": on(
+            "summary", lambda s: forecast.backtest_metrics(forecast.backtest_rows(s, "claim_type"))
+        ),
+        "m16_anomaly_features": on(
+            "summary", lambda s: _rounded(anomaly.standardised(anomaly.features(s)), 6, *anomaly.FEATURES)
+        ),
+        "m17_anomalies": _detected(lambda d: d[0].select("claim_id", "anomaly_score", "is_anomaly")),
+        "m18_anomaly_summary": _detected(lambda d: anomaly.compare(d[0])),
+        "m18_summary_fixed": on("summary", lambda s: anomaly.compare(_fixed_flags(s))),
+        "m19_anomaly_months": _detected(lambda d: anomaly.monthly_rate(d[0])),
+        "m19_months_fixed": on("summary", lambda s: anomaly.monthly_rate(_fixed_flags(s))),
+        "m20_anomaly_reasons": _detected(lambda d: anomaly.explain(*d)),
+        "k9_anomalies": _detected(lambda d: extracts.anomalies(d[0])),
+        "k9_actual_and_forecast": on(
+            "summary",
+            lambda s: extracts.actual_and_forecast(
+                forecast.monthly_series(s), forecast.fit_series(forecast.monthly_series(s))
+            ),
+        ),
+    }
+
+
 def registry() -> dict[str, Query]:
     return (
         quality_queries()
@@ -327,4 +442,5 @@ def registry() -> dict[str, Query]:
         | analysis_queries()
         | page_queries()
         | advanced_queries()
+        | model_queries()
     )

@@ -81,7 +81,82 @@ _zz = f"({Z}::DOUBLE * {Z}::DOUBLE)"
 _mid = f"(({_p} + {_zz} / 2 / trials) / (1 + {_zz} / trials))"
 _spr = f"(sqrt({_p} * (1 - {_p}) / trials + {_zz} / 4 / (trials::DOUBLE * trials)) * {Z}::DOUBLE / (1 + {_zz} / trials))"
 
+VALID = "s WHERE lower(status) = 'closed' AND severity_level BETWEEN 1 AND 5"
+FEATURES = ["log_paid_amount", "days_to_close", "days_to_report", "severity_level", "litigation_flag"]
+MEASURES = ["paid_amount", "days_to_close", "days_to_report", "severity_level", "litigation_flag"]
+
+
+def macro(x: str) -> str:
+    return f"round({x}, 6)"
+
+
+REPORT = """, p AS (SELECT severity_level AS a, days_to_report % 5 + 1 AS b FROM s WHERE severity_level IS NOT NULL),
+  c AS (SELECT k, (SELECT count(*) FROM p WHERE a = k) AS support, (SELECT count(*) FROM p WHERE b = k) AS called,
+    (SELECT count(*) FROM p WHERE a = k AND b = k) AS tp FROM (SELECT unnest([1, 2, 3, 4, 5]) AS k)),
+  m AS (SELECT *, coalesce(tp / nullif(called, 0), 0) AS pr, coalesce(tp / nullif(support, 0), 0) AS re FROM c),
+  f AS (SELECT *, coalesce(2 * pr * re / nullif(pr + re, 0), 0) AS f1 FROM m)
+  SELECT CAST(k AS VARCHAR) AS row, round(pr, 6) AS "precision", round(re, 6) AS recall, round(f1, 6) AS f1_score, support FROM f
+  UNION ALL SELECT 'accuracy', round(sum(tp) / sum(support), 6), round(sum(tp) / sum(support), 6), round(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f
+  UNION ALL SELECT 'macro avg', round(avg(pr), 6), round(avg(re), 6), round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM f
+  UNION ALL SELECT 'weighted avg', round(sum(pr * support) / sum(support), 6), round(sum(re * support) / sum(support), 6),
+  round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f"""
+
+
+def series(key: str) -> str:
+    return S(
+        f""", c AS (SELECT {key} AS series_key, CAST(date_trunc('month', incident_date) AS DATE) AS month, count(*) AS n FROM s GROUP BY 1, 2),
+        g AS (SELECT series_key, CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP), CAST(max(month) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month FROM c GROUP BY 1)
+        SELECT series_key, month, coalesce(n, 0) AS y FROM g LEFT JOIN c USING (series_key, month)"""
+    )
+
+
+def scaled() -> str:
+    logs = "CASE WHEN paid_amount IS NOT NULL THEN ln(1 + greatest(paid_amount, 0)) END"
+    values = {"log_paid_amount": logs} | {c: f"{c}::DOUBLE" for c in FEATURES[1:]}
+    base = ", ".join(f"coalesce({v}, (SELECT median({v}) FROM s)) AS {c}" for c, v in values.items())
+    cols = ", ".join(f"round(({c} - (SELECT avg({c}) FROM x)) / (SELECT stddev_pop({c}) FROM x), 6) AS {c}" for c in FEATURES)
+    return S(f", x AS (SELECT claim_id, {base} FROM s) SELECT claim_id, {cols} FROM x")
+
+
+def compared() -> str:
+    n, a = "paid_amount <= 90000", "paid_amount > 90000"
+    return S(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, round(avg({c}) FILTER (WHERE {n}), 2) AS normal_mean, round(avg({c}) FILTER (WHERE {a}), 2) AS anomaly_mean,"
+            f" round(median({c}) FILTER (WHERE {n}), 2) AS normal_median, round(median({c}) FILTER (WHERE {a}), 2) AS anomaly_median,"
+            f" round((avg({c}) FILTER (WHERE {a}) - avg({c}) FILTER (WHERE {n})) / avg({c}) FILTER (WHERE {n}) * 100, 2) AS pct_diff_mean FROM s"
+            for c in MEASURES
+        )
+    )
+
+
 SQL = {
+    "m1_valid_claims": S(f"SELECT claim_id, severity_level FROM {VALID}"),
+    "m2_feature_table": S(
+        f""", v AS (SELECT * FROM {VALID}), top AS (SELECT specialty FROM v GROUP BY 1 ORDER BY count(*) DESC, specialty LIMIT 10)
+        SELECT claim_id, severity_level, claim_type, CASE WHEN specialty IN (SELECT specialty FROM top) THEN specialty ELSE 'other' END AS specialty_group,
+        region, patient_age_band, round(ln(1 + greatest(paid_amount, 0)), 9) AS log_paid_amount, days_to_report::DOUBLE AS days_to_report,
+        litigation_flag::DOUBLE AS litigation_flag, repeat_event_flag::DOUBLE AS repeat_event_flag FROM v"""
+    ),
+    "m3_split": S(
+        f""", c AS (SELECT severity_level, count(*) AS n FROM {VALID} GROUP BY 1)
+        SELECT severity_level, 0 AS part, CAST(ceil(round(n * 0.2::DOUBLE, 6)) AS BIGINT) AS claims FROM c
+        UNION ALL SELECT severity_level, 1, n - CAST(ceil(round(n * 0.2::DOUBLE, 6)) AS BIGINT) FROM c"""
+    ),
+    "m8_report_fixed": S(REPORT),
+    "m8_confusion_fixed": S(
+        """, p AS (SELECT severity_level AS a, days_to_report % 5 + 1 AS b FROM s WHERE severity_level IS NOT NULL)
+        SELECT actual, predicted, (SELECT count(*) FROM p WHERE a = actual AND b = predicted) AS claim_count
+        FROM (SELECT unnest([1, 2, 3, 4, 5]) AS actual), (SELECT unnest([1, 2, 3, 4, 5]) AS predicted)"""
+    ),
+    "m12_monthly_series": series("'all'"),
+    "m12_monthly_series_by_type": series("concat_ws('|', claim_type, region)"),
+    "m16_anomaly_features": scaled(),
+    "m18_summary_fixed": compared(),
+    "m19_months_fixed": S(
+        """SELECT strftime(incident_date, '%Y-%m') AS incident_month, count(*) AS total_claims, count(*) FILTER (WHERE paid_amount > 90000) AS anomaly_count,
+        round(count(*) FILTER (WHERE paid_amount > 90000) / count(*) * 100, 2) AS anomaly_rate FROM s GROUP BY 1"""
+    ),
     "t1_triangle": S(
         f"{TRI} SELECT segment, accident_year, development_year, round(inc, 2) AS incremental_paid, round(cum, 2) AS cumulative_paid FROM grid"
     ),
