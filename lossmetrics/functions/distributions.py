@@ -26,6 +26,23 @@ def value_counts(df: DataFrame, value: str | Column, keys: list[str] | None = No
     )
 
 
+def counts_by_dimension(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
+    """Value counts of several keys at once, as ``dimension, member, value, n``, from a single scan.
+
+    The claims are counted per combination of all keys; each combination is then added to one row per key.
+    """
+    members = [F.struct(F.lit(k).alias("dimension"), F.col(k).cast("string").alias("member")) for k in keys]
+    joint = value_counts(df, value, keys).select(F.inline(F.array(*members)), "value", "n")
+    return joint.where(F.col("member").isNotNull()).groupBy("dimension", "member", "value").agg(F.sum("n").alias("n"))
+
+
+def stacked_counts(df: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Value counts of several whole-number columns, as ``keys, feature, value, n``, from a single scan."""
+    keys = keys or []
+    whole = df.select(*keys, *[F.col(c).cast("long").alias(c) for c in columns])
+    return value_counts(whole.unpivot(keys, columns, "feature", "value"), "value", [*keys, "feature"])
+
+
 def counted_rows() -> Column:
     return F.coalesce(F.sum("n"), F.lit(0)).cast("long")
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lossmetrics import config
 from lossmetrics.functions.columns import month_of
-from lossmetrics.functions.distributions import counted_percentile, quantiles, value_counts
+from lossmetrics.functions.distributions import quantiles, stacked_counts
 from lossmetrics.plans.warehouse import write_table
 from lossmetrics.session import shared_dir
 
@@ -27,13 +27,18 @@ SAMPLE = 256
 TREES = 200
 
 
+def _median_of(feature: str, n: Column) -> Column:
+    """Median of one feature from stacked value counts."""
+    return F.percentile(F.col("value"), F.lit(0.5), F.when(F.col("feature") == feature, n).otherwise(0))
+
+
 def medians(claims: DataFrame) -> DataFrame:
     """One row with the median of every feature; 0 where a feature has no value."""
     log_paid = F.log1p(F.greatest(F.col("paid_amount"), F.lit(0.0)))
     out = quantiles(claims, F.when(F.col("paid_amount").isNotNull(), log_paid), {"log_paid_amount": 0.5})
-    for column in FEATURES[1:]:
-        day = value_counts(claims, column).agg(counted_percentile(0.5).alias(column))
-        out = out.crossJoin(F.broadcast(day))  # one row each
+    counts = stacked_counts(claims, FEATURES[1:])
+    others = counts.groupBy().agg(*[_median_of(c, F.col("n")).alias(c) for c in FEATURES[1:]])
+    out = out.crossJoin(F.broadcast(others))  # one row each
     return out.select(*[F.coalesce(c, F.lit(0.0)).alias(f"_{c}") for c in FEATURES])
 
 
@@ -191,20 +196,18 @@ def compare(flagged: DataFrame) -> DataFrame:
         sums += [F.avg(F.when(~flag, F.col(column))).alias(f"nm_{column}"), F.avg(F.when(flag, F.col(column))).alias(f"am_{column}")]
     wide = flagged.agg(*sums)
 
-    def counted_median(wanted: bool) -> Column:
-        return F.percentile(F.col("value"), F.lit(0.5), F.when(flag == wanted, F.col("n")).otherwise(0))
-
-    for column in SUMMARY_COLUMNS:
-        names = (f"nd_{column}", f"ad_{column}")
-        if column == "paid_amount":
-            middle = quantiles(flagged.where(~flag), column, {names[0]: 0.5}).crossJoin(
-                F.broadcast(quantiles(flagged.where(flag), column, {names[1]: 0.5}))
-            )
-        else:
-            middle = value_counts(flagged, column, ["is_anomaly"]).agg(
-                counted_median(False).alias(names[0]), counted_median(True).alias(names[1])
-            )
-        wide = wide.crossJoin(F.broadcast(middle))  # one row each
+    whole = SUMMARY_COLUMNS[1:]
+    counts = stacked_counts(flagged, whole, ["is_anomaly"])
+    middles = []
+    for c in whole:
+        middles.append(_median_of(c, F.when(~flag, F.col("n")).otherwise(0)).alias(f"nd_{c}"))
+        middles.append(_median_of(c, F.when(flag, F.col("n")).otherwise(0)).alias(f"ad_{c}"))
+    paid = [
+        quantiles(flagged.where(~flag), "paid_amount", {"nd_paid_amount": 0.5}),
+        quantiles(flagged.where(flag), "paid_amount", {"ad_paid_amount": 0.5}),
+    ]
+    for part in [counts.agg(*middles), *paid]:
+        wide = wide.crossJoin(F.broadcast(part))  # one row each
 
     def entry(column: str) -> Column:
         normal, anomalous = (F.coalesce(f"{m}_{column}", F.lit(0.0)) for m in ("nm", "am"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lossmetrics.functions.columns import quarter_of, rows
@@ -67,8 +67,8 @@ def _counts(claims: DataFrame, keys: list[Column]) -> DataFrame:
     return grouped.select(*kept, F.col("_rows").alias("claim_count"), F.inline(entries))
 
 
-def _rate() -> Column:
-    per_thousand = F.round(F.try_divide(F.col("numerator"), F.col("denominator")) * 1000, 2)
+def _rate(numerator: str = "numerator", denominator: str = "denominator") -> Column:
+    per_thousand = F.round(F.try_divide(F.col(numerator), F.col(denominator)) * 1000, 2)
     return F.coalesce(per_thousand, F.lit(0.0))
 
 
@@ -78,12 +78,17 @@ def indicators(claims: DataFrame) -> DataFrame:
 
 def departments(claims: DataFrame) -> DataFrame:
     """Department rate against the overall rate: variance in percent and above / below / at by a 10 % margin."""
-    overall = indicators(claims).select("indicator", F.col("rate_per_1000").alias("benchmark_rate_per_1000"))
-    own = _counts(claims.where(F.col("department").isNotNull()), [F.col("department")]).withColumn(
-        "dept_rate_per_1000", _rate()
+    everywhere = Window.partitionBy("indicator")  # one row per department
+    own = _counts(claims, [F.col("department")]).withColumns(
+        {
+            "dept_rate_per_1000": _rate("numerator", "denominator"),
+            "all_numerator": F.sum("numerator").over(everywhere),
+            "all_denominator": F.sum("denominator").over(everywhere),
+        }
     )
+    rated = own.withColumn("benchmark_rate_per_1000", _rate("all_numerator", "all_denominator"))
     mine, all_ = F.col("dept_rate_per_1000"), F.col("benchmark_rate_per_1000")
-    return own.join(F.broadcast(overall), "indicator").select(  # one row per indicator
+    return rated.where(F.col("department").isNotNull()).select(
         "department",
         "indicator",
         "claim_count",

@@ -16,7 +16,7 @@ from lossmetrics.functions.distributions import (
     counted_mean,
     counted_percentile,
     counted_rows,
-    union_all,
+    counts_by_dimension,
     value_counts,
     with_total_row,
 )
@@ -52,19 +52,16 @@ def close_percentiles(claims: DataFrame) -> DataFrame:
 
 
 def close_by(claims: DataFrame, *keys: str) -> DataFrame:
-    """Median, mean and count per value of each key, as (dimension, member) rows from one table of day counts."""
-    days = value_counts(claims, "days_to_close", list(keys))
-    parts = []
-    for key in keys:
-        known = days.where(F.col(key).isNotNull()).groupBy(key)
-        parts.append(
-            known.agg(
-                F.round(counted_percentile(0.5), 1).alias("median"),
-                F.round(counted_mean(), 1).alias("mean"),
-                counted_rows().alias("claim_count"),
-            ).select(F.lit(key).alias("dimension"), F.col(key).cast("string").alias("member"), "median", "mean", "claim_count")
+    """Median, mean and count per value of each key, as (dimension, member) rows from one scan."""
+    return (
+        counts_by_dimension(claims, "days_to_close", list(keys))
+        .groupBy("dimension", "member")
+        .agg(
+            F.round(counted_percentile(0.5), 1).alias("median"),
+            F.round(counted_mean(), 1).alias("mean"),
+            counted_rows().alias("claim_count"),
         )
-    return union_all(parts)
+    )
 
 
 def within(days: int) -> Column:

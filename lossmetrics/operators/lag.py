@@ -11,7 +11,7 @@ from lossmetrics.functions.distributions import (
     counted_percentile,
     counted_rows,
     counted_stddev,
-    union_all,
+    counts_by_dimension,
     value_counts,
 )
 from lossmetrics.operators.closing import bucket_histogram
@@ -35,20 +35,17 @@ def lag_percentiles(claims: DataFrame) -> DataFrame:
 
 
 def lag_by(claims: DataFrame, *keys: str) -> DataFrame:
-    """Mean, median, count and deviation per value of each key, as (dimension, member) rows."""
-    days = value_counts(claims, "days_to_report", list(keys))
-    parts = []
-    for key in keys:
-        known = days.where(F.col(key).isNotNull()).groupBy(key)
-        parts.append(
-            known.agg(
-                F.round(counted_mean(), 1).alias("mean"),
-                F.round(counted_percentile(0.5), 1).alias("median"),
-                counted_rows().alias("claim_count"),
-                F.round(counted_stddev(), 1).alias("std"),
-            ).select(F.lit(key).alias("dimension"), F.col(key).cast("string").alias("member"), "mean", "median", "claim_count", "std")
+    """Mean, median, count and deviation per value of each key, as (dimension, member) rows from one scan."""
+    return (
+        counts_by_dimension(claims, "days_to_report", list(keys))
+        .groupBy("dimension", "member")
+        .agg(
+            F.round(counted_mean(), 1).alias("mean"),
+            F.round(counted_percentile(0.5), 1).alias("median"),
+            counted_rows().alias("claim_count"),
+            F.round(counted_stddev(), 1).alias("std"),
         )
-    return union_all(parts)
+    )
 
 
 def slow_reporters(claims: DataFrame, min_claims: int = 5, factor: float = 2.0, k: int = 50) -> DataFrame:

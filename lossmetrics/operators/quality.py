@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lossmetrics import config
 from lossmetrics.functions.columns import count_where
-from lossmetrics.functions.distributions import quantiles
+from lossmetrics.functions.distributions import quantiles, union_all
 from lossmetrics.plans.cleaning import as_date, is_number
 from lossmetrics.sources.lookups import STATUSES
 
@@ -140,6 +140,25 @@ def numeric_ranges(df: DataFrame) -> DataFrame:
     return df.agg(*lows, *highs).select(F.inline(entries)).where(F.col("min_value").isNotNull())
 
 
+def _by_kind(df: DataFrame) -> dict[str, list[str]]:
+    """Columns by the type their values are compared in: whole numbers and dates, doubles, and text."""
+    groups: dict[str, list[str]] = {}
+    for name, kind in df.dtypes:
+        whole = kind in ("tinyint", "smallint", "int", "bigint", "date")
+        groups.setdefault("bigint" if whole else "double" if kind in ("float", "double") else "string", []).append(name)
+    return groups
+
+
+def _distinct_counts(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
+    """Exact distinct non-null values per column: repeats of a (column, value) pair collapse before the shuffle."""
+    kinds = dict(df.dtypes)
+    typed = [(F.unix_date(c) if kinds[c] == "date" else F.col(c)).cast(kind).alias(c) for c in columns]
+    values = df.select(typed).unpivot([], columns, "column_name", "value").where(F.col("value").isNotNull())
+    return values.groupBy("column_name", "value").agg(F.lit(1).alias("one")).groupBy("column_name").agg(
+        F.sum("one").cast("long").alias("distinct_count")
+    )
+
+
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Type, nulls, distinct values and, where more than half of the rows are numeric, the range of every column.
 
@@ -177,14 +196,7 @@ def profile(df: DataFrame, exact: bool = True) -> DataFrame:
     wide = df.agg(F.count(F.lit(1)).alias("_rows"), *measures).select(F.inline(F.array(*[entry(c) for c in columns])))
     if not exact:
         return wide
-    values = df.select([F.col(c).cast("string").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
-    distinct = (
-        values.where(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.lit(1).alias("one"))
-        .groupBy("column_name")
-        .agg(F.sum("one").cast("long").alias("distinct_count"))
-    )
+    distinct = union_all([_distinct_counts(df, group, kind) for kind, group in _by_kind(df).items()])
     return wide.join(distinct, "column_name", "left").na.fill(0, ["distinct_count"])
 
 

@@ -85,14 +85,18 @@ def repeat_events(claims: DataFrame) -> DataFrame:
         count_where((flag == 1) & reopened()).alias("both"),
     )
 
-    def level(group: str | None, label: str) -> DataFrame:
-        known = cells.where(F.col(group).isNotNull()) if group else cells
-        member = F.col(group).cast("string") if group else F.lit("all")
-        return known.groupBy(member.alias("member")).agg(
+    levels = F.array(
+        F.struct(F.lit("overall").alias("dimension"), F.lit("all").alias("member")),
+        *[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("member")) for c in ("severity_level", "claim_type")],
+    )
+    return (
+        cells.select(F.inline(levels), "n", "hits", "both")
+        .where(F.col("member").isNotNull())
+        .groupBy("dimension", "member")
+        .agg(
             F.sum("n").alias("claim_count"),
             F.sum("hits").alias("repeat_count"),
             F.round(F.sum("hits") / F.sum("n") * 100, 2).alias("repeat_rate_pct"),
             F.sum("both").alias("repeat_and_reopened"),
-        ).select(F.lit(label).alias("dimension"), "member", "claim_count", "repeat_count", "repeat_rate_pct", "repeat_and_reopened")
-
-    return union_all([level(None, "overall"), level("severity_level", "severity_level"), level("claim_type", "claim_type")])
+        )
+    )

@@ -70,24 +70,27 @@ def _links(grid: DataFrame) -> DataFrame:
 
     A factor uses the accident years that have both steps; it is null when there is none or their total is 0.
     """
-    after = grid.select(*KEY, (F.col("step") - 1).alias("step"), F.col("cumulative_paid").alias("next"))
-    pairs = grid.join(after, [*KEY, "step"], "left")
+    year = Window.partitionBy(*KEY).orderBy("step")
+    column = Window.partitionBy(SEG, "step")
+    now = F.col("cumulative_paid")
+    adjacent = F.lead("step").over(year) == F.col("step") + 1
+    pairs = grid.withColumn("next", F.when(adjacent, F.lead("cumulative_paid").over(year)))
     both = F.col("next").isNotNull()
-    now = F.sum(F.when(both, F.col("cumulative_paid")))
-    factors = pairs.groupBy(SEG, "step").agg(
-        F.min("development_year").alias("development_year"),
-        F.round(F.try_divide(F.sum("next"), now), 6).alias("factor"),
-        F.sum("cumulative_paid").alias("column_total"),
-    )
-    spread = pairs.join(factors.select(SEG, "step", "factor"), [SEG, "step"]).where(
-        both & (F.col("cumulative_paid") != 0)
-    )
-    off = F.col("next") / F.col("cumulative_paid") - F.col("factor")
-    noise = spread.groupBy(SEG, "step").agg(
-        F.count(F.lit(1)).alias("_pairs"), F.sum(F.col("cumulative_paid") * off * off).alias("_sum")
+    ratio = F.try_divide(F.sum("next").over(column), F.sum(F.when(both, now)).over(column))
+    off = F.try_divide(F.col("next"), now) - F.col("factor")
+    factors = (
+        pairs.withColumn("factor", F.round(ratio, 6))
+        .groupBy(SEG, "step")
+        .agg(
+            F.min("development_year").alias("development_year"),
+            F.max("factor").alias("factor"),
+            F.sum("cumulative_paid").alias("column_total"),
+            F.count(off).alias("_pairs"),
+            F.sum(now * off * off).alias("_sum"),
+        )
     )
     order = Window.partitionBy(SEG).orderBy("step")
-    out = factors.join(noise, [SEG, "step"], "left").withColumn(
+    out = factors.withColumn(
         "sigma_sq",
         F.when(F.col("factor").isNotNull(), F.when(F.col("_pairs") > 1, F.col("_sum") / (F.col("_pairs") - 1)).otherwise(0.0)),
     )

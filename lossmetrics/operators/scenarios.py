@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossmetrics.functions.columns import count_where, exact_sum, open_status, rows
-from lossmetrics.functions.distributions import counted_mean, counted_percentile, counted_rows, value_counts
 
 COST_MULTIPLIER = 3.0
 
@@ -33,32 +32,33 @@ def _pct(part: Column, base: Column) -> Column:
 
 def close_time(claims: DataFrame, percents: tuple[int, ...] = (10, 20, 30)) -> DataFrame:
     """Close times shortened by a percentage: mean, median, claims over 180 / 365 days and the backlog."""
-    days = value_counts(claims, "days_to_close")
-
-    def over(limit: int, factor: Column | None = None) -> Column:
-        value = F.col("value") * factor if factor is not None else F.col("value")
-        return F.coalesce(F.sum(F.when(value > limit, F.col("n")).otherwise(0)), F.lit(0)).cast("long")
-
-    base = days.agg(
-        counted_rows().alias("closed"),
-        counted_mean().alias("mean0"),
-        counted_percentile(0.5).alias("median0"),
-        over(180).alias("over180"),
-        over(365).alias("over365"),
-    )
-    opened = claims.agg(count_where(open_status()).alias("open_backlog"))
+    value, n = F.col("value"), F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
     factor = F.lit(1.0) - F.col("pct") / 100
-    shorter = (
-        days.withColumn("pct", _levels(percents))
+
+    def over(limit: int, days: Column) -> Column:
+        return F.sum(F.when(days > limit, n).otherwise(0)).cast("long")
+
+    def weighted(days: Column) -> Column:
+        return F.try_divide(F.sum(days * n), F.sum(n))
+
+    # One row per close time and open status, then once per level: one scan, and everything else is on day counts.
+    cells = claims.groupBy(F.col("days_to_close").alias("value"), open_status().alias("is_open")).agg(rows().alias("n"))
+    joined = (
+        cells.withColumn("pct", _levels(percents))
         .groupBy("pct")
         .agg(
-            F.try_divide(F.sum(F.col("value") * factor * F.col("n")), F.sum("n")).alias("mean1"),
-            F.percentile(F.col("value") * factor, F.lit(0.5), F.col("n")).alias("median1"),
-            over(180, factor).alias("new_over180"),
-            over(365, factor).alias("new_over365"),
+            F.sum(n).alias("closed"),
+            F.sum(F.when(F.col("is_open"), F.col("n")).otherwise(0)).cast("long").alias("open_backlog"),
+            weighted(value.cast("double")).alias("mean0"),
+            F.percentile(value, F.lit(0.5), n).alias("median0"),
+            over(180, value).alias("over180"),
+            over(365, value).alias("over365"),
+            weighted(value * factor).alias("mean1"),
+            F.percentile(value * factor, F.lit(0.5), n).alias("median1"),
+            over(180, value * factor).alias("new_over180"),
+            over(365, value * factor).alias("new_over365"),
         )
     )
-    joined = shorter.crossJoin(F.broadcast(base.crossJoin(F.broadcast(opened))))
     backlog = _whole(F.col("open_backlog") * factor)
     return joined.where(F.col("closed") > 0).select(
         F.col("pct").alias("reduction_pct"),

@@ -79,25 +79,17 @@ def kaplan_meier(
     The interval is 1 while nothing has closed and 0 once nobody is left.
     """
     curve = _curve(risk_table(durations(claims, as_of), group), level)
-    start = curve.groupBy("survival_group").agg(F.max("n").cast("long").alias("n")).select(
-        "survival_group",
-        F.lit(0).alias("t"),
-        "n",
-        F.lit(0).cast("long").alias("d"),
-        F.lit(1.0).alias("s"),
-        F.lit(1.0).alias("ci_lower"),
-        F.lit(1.0).alias("ci_upper"),
-    )
-    digits = 8
-    return curve.unionByName(start).select(
-        "survival_group",
-        "t",
-        F.col("n").alias("at_risk"),
-        F.col("d").alias("events"),
-        F.round("s", digits).alias("survival"),
-        F.round("ci_lower", digits).alias("ci_lower"),
-        F.round("ci_upper", digits).alias("ci_upper"),
-    )
+    first = F.lag("t").over(Window.partitionBy("survival_group").orderBy("t")).isNull()
+    names = ["t", "at_risk", "events", "survival", "ci_lower", "ci_upper"]
+
+    def entry(*columns: Column) -> Column:
+        return F.struct(*[c.alias(name) for name, c in zip(names, columns)])
+
+    one = F.lit(1.0)
+    start = entry(F.lit(0), F.col("n"), F.lit(0).cast("long"), one, one, one)
+    step = entry(F.col("t"), F.col("n"), F.col("d"), *[F.round(c, 8) for c in ("s", "ci_lower", "ci_upper")])
+    opened = F.when(F.col("_first"), F.array(start, step)).otherwise(F.array(step))
+    return curve.withColumn("_first", first).select("survival_group", F.inline(opened))
 
 
 def median_survival(claims: DataFrame, group: str | None = None, as_of: datetime.date = config.AS_OF) -> DataFrame:
@@ -115,10 +107,10 @@ def log_rank(claims: DataFrame, group: str = "claim_type", as_of: datetime.date
     the pair, so no two groups are ever crossed row by row. The rows are day counts, not claims.
     """
     table = risk_table(durations(claims, as_of), group).select("survival_group", "t", "d", "m")
-    groups = table.groupBy().agg(F.sort_array(F.collect_set("survival_group")).alias("groups"))
+    groups = F.sort_array(F.collect_set("survival_group").over(Window.partitionBy()))  # over day rows
     mine = F.col("survival_group")
     sided = (
-        table.crossJoin(F.broadcast(groups))  # one row: the group names
+        table.withColumn("groups", groups)
         .withColumn("other", F.explode(F.array_except("groups", F.array(mine))))
         .select(
             F.least(mine, "other").alias("group_a"),

@@ -69,6 +69,29 @@ def without_copies(claims: DataFrame) -> DataFrame:
     return claims.dropDuplicates()
 
 
+FEW_IDS = 200_000
+
+
+def without_copies_measured(claims: DataFrame, few: int = FEW_IDS) -> DataFrame:
+    """Drop full-row copies after counting which claim ids repeat, for tables too wide to shuffle as a whole.
+
+    Copies share their id, so only rows of repeated ids can be copies. Counting ids moves one narrow column. When at
+    most ``few`` ids repeat (a measured bound, some megabytes) they are broadcast and all other rows stay where they
+    are; otherwise the whole table is shuffled. Runs one job when called.
+    """
+    per_id = claims.groupBy("claim_id").agg(F.count(F.lit(1)).alias("n"))
+    repeated = per_id.where(F.col("n") > 1).select(F.col("claim_id").alias("_id"))
+    found = repeated.limit(few + 1).count()
+    if found == 0:
+        return claims
+    if found > few:
+        return without_copies(claims)
+    ids = F.broadcast(repeated)
+    same = F.col("claim_id").eqNullSafe(F.col("_id"))
+    single = claims.join(ids, same, "left_anti")
+    return single.unionByName(without_copies(claims.join(ids, same, "left_semi")))
+
+
 def typed(claims: DataFrame) -> DataFrame:
     """Dates, amounts and integers in their types; a value that does not parse becomes null."""
     casts = {c: as_date(c) for c in schemas.DATE_COLUMNS}
@@ -77,8 +100,8 @@ def typed(claims: DataFrame) -> DataFrame:
     return claims.withColumns({c: e for c, e in casts.items() if c in claims.columns})
 
 
-def clean_claims(raw: DataFrame, cap: float = config.PAID_CAP) -> DataFrame:
-    """Raw claims to clean claims, in the fixed order of the steps."""
+def repaired(raw: DataFrame, cap: float = config.PAID_CAP) -> DataFrame:
+    """The row-level cleaning steps in their fixed order: one projection, no shuffle."""
     return (
         raw.transform(absolute_paid)
         .transform(upper_state)
@@ -87,5 +110,10 @@ def clean_claims(raw: DataFrame, cap: float = config.PAID_CAP) -> DataFrame:
         .transform(known_diagnosis)
         .transform(capped_paid, cap)
         .transform(typed)
-        .transform(without_copies)
     )
+
+
+def clean_claims(raw: DataFrame, cap: float = config.PAID_CAP, measured: bool = False) -> DataFrame:
+    """Raw claims to clean claims. ``measured`` looks for repeated ids first and shuffles only their rows."""
+    drop = without_copies_measured if measured else without_copies
+    return repaired(raw, cap).transform(drop)

@@ -73,7 +73,7 @@ def write_star(
     dims = {
         key: write_table(df, f"{folder}/dim_{key.removesuffix('_key')}") for key, df in build_dims(sources).items()
     }
-    fact = write_table(star.fact_claim(clean_claims(raw), dims), f"{folder}/fact_claim", "accident_year")
+    fact = write_table(star.fact_claim(clean_claims(raw, measured=True), dims), f"{folder}/fact_claim", "accident_year")
     summary = write_table(star.claims_summary(fact, dims), f"{folder}/claims_summary", "accident_year")
     return dims, fact, summary
 

@@ -120,6 +120,7 @@ def quality_queries() -> dict[str, Query]:
         "q11_issues": on("raw", quality.issues),
         "q11_comparison": with_warehouse(lambda w: quality.comparison(w.raw, w.clean)),
         "q12_clean_claims": on("raw", cleaning.clean_claims),
+        "q12_clean_claims_measured": on("raw", functools.partial(cleaning.clean_claims, measured=True)),
         "q13_profile": on("summary", quality.profile),
         "q14_completeness": on("summary", quality.completeness),
         "q14_null_rates": on("summary", quality.null_rates),

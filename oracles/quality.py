@@ -140,6 +140,7 @@ SQL = {
         CAST(sum(bn - an) AS BIGINT) AS resolved FROM j GROUP BY ROLLUP(category)"""
     ),
     "q12_clean_claims": with_clean(f"SELECT {_cleaned} FROM clean"),
+    "q12_clean_claims_measured": with_clean(f"SELECT {_cleaned} FROM clean"),
     "q13_profile": with_summary(profile_rows()),
     "q14_completeness": with_summary(
         f"SELECT count(*) AS total_records, {len(SUMMARY)} AS column_count, round((({' + '.join(f'count({c})' for c, _ in SUMMARY)})"
