@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from lossmetrics import config
@@ -42,12 +42,16 @@ def medians(claims: DataFrame) -> DataFrame:
     return out.select(*[F.coalesce(c, F.lit(0.0)).alias(f"_{c}") for c in FEATURES])
 
 
-def features(claims: DataFrame) -> DataFrame:
-    """Claims with the five features as ``x_*``, missing values replaced by the median."""
+def features(claims: DataFrame, known: Row | None = None) -> DataFrame:
+    """Claims with the five features as ``x_*``, missing values replaced by the median.
+
+    ``known`` is the row of ``medians`` if it has been read already; then the claims are not scanned for it again.
+    """
     log_paid = F.when(F.col("paid_amount").isNotNull(), F.log1p(F.greatest(F.col("paid_amount"), F.lit(0.0))))
     values = {"log_paid_amount": log_paid} | {c: F.col(c).cast("double") for c in FEATURES[1:]}
-    joined = claims.crossJoin(F.broadcast(medians(claims)))
-    return joined.select(*claims.columns, *[F.coalesce(values[c], F.col(f"_{c}")).alias(f"x_{c}") for c in FEATURES])
+    joined = claims.crossJoin(F.broadcast(medians(claims))) if known is None else claims
+    middle = {c: F.col(f"_{c}") if known is None else F.lit(known[f"_{c}"]) for c in FEATURES}
+    return joined.select(*claims.columns, *[F.coalesce(values[c], middle[c]).alias(f"x_{c}") for c in FEATURES])
 
 
 def standardised(featured: DataFrame) -> DataFrame:
@@ -173,7 +177,7 @@ def detect(
     The cut-off is the exact contamination quantile of the scores, one number. The scores are written once to the shared
     folder, because the quantile and everything after it read them; select only the claim columns that are needed.
     """
-    featured = features(claims)
+    featured = features(claims, medians(claims).first())
     forest = fit_forest(featured, trees, seed=seed)
     spark = claims.sparkSession
     folder = f"{shared_dir(spark)}/lossmetrics/{spark.sparkContext.applicationId}/scores/{uuid.uuid4().hex}"

@@ -125,11 +125,12 @@ def bootstrap_interval(
     table = np.searchsorted(_POISSON_CDF, (np.arange(65536) + 0.5) / 65536).astype(np.float32)
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count, total = np.zeros(words * 4), np.zeros(words * 4)
+        count, total, rows, plain = np.zeros(words * 4), np.zeros(words * 4), 0, 0.0
         salt = np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
             ids = batch["h"].to_numpy().view(np.uint64)
             x = batch["v"].to_numpy(dtype=float)
+            rows, plain = rows + len(x), plain + float(x.sum())
             for at in range(0, len(ids), 1024):
                 z = ids[at : at + 1024, None] + salt[None, :]
                 z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -138,7 +139,14 @@ def bootstrap_interval(
                 w = table[np.ascontiguousarray(z).view(np.uint16)].astype(float)
                 count += w.sum(axis=0)
                 total += x[at : at + 1024] @ w
-        yield pd.DataFrame({"replicate": np.arange(n_boot), "w": count[:n_boot], "wx": total[:n_boot]})
+        # Replicate -1 carries the plain count and sum, so the table is read once.
+        yield pd.DataFrame(
+            {
+                "replicate": np.arange(-1, n_boot),
+                "w": np.concatenate([[rows], count[:n_boot]]),
+                "wx": np.concatenate([[plain], total[:n_boot]]),
+            }
+        )
 
     known = claims.select(F.xxhash64(F.lit(seed), row_id).alias("h"), F.col(value).cast("double").alias("v")).where(
         F.col("v").isNotNull()
@@ -148,21 +156,22 @@ def bootstrap_interval(
         .groupBy("replicate")
         .agg(F.sum("w").alias("w"), F.sum("wx").alias("wx"))
     )
-    size = known.agg(F.count(F.lit(1)).alias("rows"), F.avg("v").alias("avg"), F.sum("v").alias("sum"))
     one = F.try_divide(F.col("wx"), F.col("w"))
-    # A replicate's weights sum to about the row count; its mean scaled to the row count is the resampled sum.
-    sample = one if statistic == "mean" else one * F.col("rows")
+    plain = F.col("replicate") == -1
     edge = (1 - level) / 2
-    q = F.percentile("stat", F.array(F.lit(edge), F.lit(1 - edge)))
+    # A replicate's weights sum to about the row count; its mean scaled to the row count is the resampled sum.
+    scale = F.lit(1.0) if statistic == "mean" else F.col("rows")
     return (
-        replicates.crossJoin(F.broadcast(size))
-        .withColumn("stat", sample)
-        .groupBy()
-        .agg(q.alias("q"), F.first("avg" if statistic == "mean" else "sum").alias("estimate"))
+        replicates.groupBy()
+        .agg(
+            F.percentile(F.when(~plain, one), F.array(F.lit(edge), F.lit(1 - edge))).alias("q"),
+            F.max(F.when(plain, F.col("w"))).alias("rows"),
+            F.max(F.when(plain, one)).alias("mean"),
+        )
         .select(
-            F.coalesce("estimate", F.lit(0.0)).alias("estimate"),
-            F.coalesce(F.col("q")[0], F.lit(0.0)).alias("ci_lower"),
-            F.coalesce(F.col("q")[1], F.lit(0.0)).alias("ci_upper"),
-            F.coalesce((F.col("q")[1] - F.col("q")[0]) / 2, F.lit(0.0)).alias("margin_of_error"),
+            F.coalesce(F.col("mean") * scale, F.lit(0.0)).alias("estimate"),
+            F.coalesce(F.col("q")[0] * scale, F.lit(0.0)).alias("ci_lower"),
+            F.coalesce(F.col("q")[1] * scale, F.lit(0.0)).alias("ci_upper"),
+            F.coalesce((F.col("q")[1] - F.col("q")[0]) / 2 * scale, F.lit(0.0)).alias("margin_of_error"),
         )
     )

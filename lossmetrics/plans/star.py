@@ -75,12 +75,21 @@ def dim_root_cause(root_causes: DataFrame) -> DataFrame:
     return with_surrogate_key(shaped, "root_cause_code", "root_cause_key", code_list=True)
 
 
-def keyed_claims(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Clean claims with the four surrogate keys looked up; a key without a match is null."""
+def keyed_claims(clean: DataFrame, dims: dict[str, DataFrame], attributes: bool = False) -> DataFrame:
+    """Clean claims with the four surrogate keys looked up (null without a match), and the dimension attributes if asked.
+
+    The joins carry no hints: a dimension is broadcast when it measures small, and a hot provider is split otherwise.
+    """
     out = clean
     for key, (claim_column, dim_column) in KEYS.items():
-        lookup = dims[key].select(F.col(dim_column).alias(claim_column), key)
-        out = out.join(lookup, claim_column, "left")
+        dim = dims[key]
+        if attributes:
+            shared = [c for c in dim.columns if c in out.columns and c != dim_column]
+            lookup = dim.withColumn("_natural", F.col(dim_column))
+            out = out.drop(*shared).withColumnRenamed(claim_column, "_claim").join(lookup, F.col("_claim") == F.col("_natural"), "left")
+            out = out.drop("_claim", "_natural")
+        else:
+            out = out.join(dim.select(F.col(dim_column).alias(claim_column), key), claim_column, "left")
     return out
 
 
@@ -97,22 +106,8 @@ def unmapped_counts(clean: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def fact_claim(clean: DataFrame, dims: dict[str, DataFrame], recompute: bool = False) -> DataFrame:
-    """One row per claim whose four keys resolve.
-
-    Years and the report lag come from the raw file and are not derived again after a date swap, unless ``recompute``
-    is set; the lag falls back to the date difference where the file has no lag column.
-    """
-    years_from_dates = {
-        "accident_year": F.year("incident_date"),
-        "development_year": F.year("report_date") - F.year("incident_date"),
-    }
-    lag = F.datediff("report_date", "incident_date")
-    if "report_lag_days" in clean.columns and not recompute:
-        lag = F.coalesce(F.col("report_lag_days"), F.lit(0))
-    keyed = keyed_claims(clean, dims).dropna(subset=list(KEYS))
-    if recompute:
-        keyed = keyed.withColumns(years_from_dates)
+def measures(keyed: DataFrame, lag: Column) -> DataFrame:
+    """Rename and derive the fact measures on keyed claims."""
     return keyed.withColumns(
         {
             "severity_level": F.col("severity").cast("int"),
@@ -122,7 +117,45 @@ def fact_claim(clean: DataFrame, dims: dict[str, DataFrame], recompute: bool = F
             "repeat_event_flag": F.coalesce(F.col("repeat_event_flag"), F.lit(0)).cast("int"),
             "litigation_flag": F.coalesce(F.col("litigation_flag"), F.lit(0)).cast("int"),
         }
-    ).select(*schemas.FACT_COLUMNS)
+    )
+
+
+def _fact_rows(clean: DataFrame, dims: dict[str, DataFrame], recompute: bool, attributes: bool) -> DataFrame:
+    lag = F.datediff("report_date", "incident_date")
+    if "report_lag_days" in clean.columns and not recompute:
+        lag = F.coalesce(F.col("report_lag_days"), F.lit(0))
+    keyed = keyed_claims(clean, dims, attributes).dropna(subset=list(KEYS))
+    if recompute:
+        keyed = keyed.withColumns(
+            {
+                "accident_year": F.year("incident_date"),
+                "development_year": F.year("report_date") - F.year("incident_date"),
+            }
+        )
+    return measures(keyed, lag)
+
+
+def fact_claim(clean: DataFrame, dims: dict[str, DataFrame], recompute: bool = False) -> DataFrame:
+    """One row per claim whose four keys resolve.
+
+    Years and the report lag come from the raw file and are not derived again after a date swap, unless ``recompute``
+    is set; the lag falls back to the date difference where the file has no lag column.
+    """
+    return _fact_rows(clean, dims, recompute, attributes=False).select(*schemas.FACT_COLUMNS)
+
+
+ATTRIBUTES = schemas.PROVIDER_COLUMNS + schemas.REGION_COLUMNS + schemas.DIAGNOSIS_COLUMNS + schemas.ROOT_CAUSE_COLUMNS
+
+
+def derived() -> list[Column]:
+    """The derived fields of the summary."""
+    return [
+        F.round(F.try_divide("paid_amount", "incurred_amount"), 4).alias("loss_ratio"),
+        F.round(F.col("reserved_amount") - F.col("paid_amount"), 2).alias("reserve_adequacy"),
+        F.date_format("incident_date", "yyyy-MM").alias("incident_month"),
+        F.coalesce((F.col("severity_level") >= 4).cast("int"), F.lit(0)).alias("is_high_severity"),
+        F.coalesce((F.col("days_to_close") > 365).cast("int"), F.lit(0)).alias("is_long_tail"),
+    ]
 
 
 def claims_summary(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
@@ -130,18 +163,14 @@ def claims_summary(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     joined = fact
     for key in KEYS:
         joined = joined.join(dims[key], key)
-    derived: dict[str, Column] = {
-        "loss_ratio": F.round(F.try_divide("paid_amount", "incurred_amount"), 4),
-        "reserve_adequacy": F.round(F.col("reserved_amount") - F.col("paid_amount"), 2),
-        "incident_month": F.date_format("incident_date", "yyyy-MM"),
-        "is_high_severity": F.coalesce((F.col("severity_level") >= 4).cast("int"), F.lit(0)),
-        "is_long_tail": F.coalesce((F.col("days_to_close") > 365).cast("int"), F.lit(0)),
-    }
     kept = [c for c in schemas.FACT_COLUMNS if c not in KEYS]
-    attributes = (
-        schemas.PROVIDER_COLUMNS + schemas.REGION_COLUMNS + schemas.DIAGNOSIS_COLUMNS + schemas.ROOT_CAUSE_COLUMNS
-    )
-    return joined.select(*kept, *attributes, *[e.alias(name) for name, e in derived.items()])
+    return joined.select(*kept, *ATTRIBUTES, *derived())
+
+
+def wide_claims(clean: DataFrame, dims: dict[str, DataFrame], recompute: bool = False) -> DataFrame:
+    """Fact and summary columns together from one round of lookups: both tables are column subsets of it."""
+    rows = _fact_rows(clean, dims, recompute, attributes=True)
+    return rows.select(*schemas.FACT_COLUMNS, *ATTRIBUTES, *derived())
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

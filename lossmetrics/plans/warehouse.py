@@ -1,6 +1,7 @@
-"""The written warehouse: raw claims, dimensions, fact and summary as tables in the shared folder.
+"""The written warehouse: raw claims, dimensions and one wide claim table in the shared folder.
 
-Each table is derived once per application and read back by every query, so no query replays the source joins and a
+Fact and summary are column subsets of the wide table, which parquet reads as cheaply as tables of their own, so the
+claims go through the dimension lookups once. Each table is derived once per application and read back by every query, so no query replays the source joins and a
 lost executor costs re-reading a file, not a lineage.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from lossmetrics.plans import star
 from lossmetrics.plans.cleaning import clean_claims
 from lossmetrics.session import shared_dir
-from lossmetrics.sources import lookups, tpch
+from lossmetrics.sources import lookups, schemas, tpch
 
 
 @dataclasses.dataclass
@@ -66,13 +67,22 @@ def write_table(df: DataFrame, path: str, partition: str | None = None) -> DataF
     return df.sparkSession.read.parquet(path)
 
 
+def write_dims(sources: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    return {key: write_table(df, f"{folder}/dim_{key.removesuffix('_key')}") for key, df in build_dims(sources).items()}
+
+
+def write_wide(raw: DataFrame, dims: dict[str, DataFrame], folder: str) -> tuple[DataFrame, DataFrame]:
+    """Clean, look up and write the claims once; fact and summary read their columns from the one table."""
+    clean = clean_claims(raw, measured=True)
+    wide = write_table(star.wide_claims(clean, dims), f"{folder}/claims_wide", "accident_year")
+    return wide.select(*schemas.FACT_COLUMNS), wide.drop(*star.KEYS)
+
+
 def write_star(
-    spark: SparkSession, raw: DataFrame, sources: dict[str, DataFrame], folder: str
+    raw: DataFrame, sources: dict[str, DataFrame], folder: str
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
-    """Clean the raw claims and write dimensions, fact and summary (overwriting what is there)."""
-    dims = {
-        key: write_table(df, f"{folder}/dim_{key.removesuffix('_key')}") for key, df in build_dims(sources).items()
-    }
+    """Clean the raw claims and write dimensions, fact and summary as tables of their own, replacing what is there."""
+    dims = write_dims(sources, folder)
     fact = write_table(star.fact_claim(clean_claims(raw, measured=True), dims), f"{folder}/fact_claim", "accident_year")
     summary = write_table(star.claims_summary(fact, dims), f"{folder}/claims_summary", "accident_year")
     return dims, fact, summary
@@ -87,6 +97,7 @@ def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         folder = f"{shared_dir(spark)}/lossmetrics/{app}/{tag}"
         sources = sources_from_tpch(spark, sf_dir)
         raw = write_table(tpch.raw_claims(spark, sf_dir), f"{folder}/raw_claims")
-        dims, fact, summary = write_star(spark, raw, sources, folder)
+        dims = write_dims(sources, folder)
+        fact, summary = write_wide(raw, dims, folder)
         _open[handle] = Warehouse(raw, sources, dims, fact, summary)
     return _open[handle]

@@ -357,7 +357,7 @@ def _calibration(claims: DataFrame) -> DataFrame:
 
 
 def _anomalies(claims: DataFrame):
-    return anomaly.detect(claims)
+    return anomaly.detect(claims.select(*extracts.ANOMALY_COLUMNS[:-1]))
 
 
 def _detected(read: Callable) -> Query:

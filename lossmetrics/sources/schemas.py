@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {"string": T.StringType(), "date": T.DateType(), "int": T.IntegerType(), "double": T.DoubleType()}
+
+
 def _schema(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
+    """``name type, ...`` as a schema, without needing a session."""
+    pairs = [field.split() for field in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # Raw claims arrive as text: dates may not parse and severity mixes digits and words.

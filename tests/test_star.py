@@ -94,8 +94,17 @@ def test_constraints_and_audit(built, as_dict):
 def test_written_star_reloads(spark, make_raw, star_sources, tmp_path):
     raw = make_raw([{}, {"accident_year": "2022"}])
     for _ in range(2):  # a reload replaces what is there
-        dims, fact, summary = warehouse.write_star(spark, raw, star_sources, str(tmp_path))
+        dims, fact, summary = warehouse.write_star(raw, star_sources, str(tmp_path))
     assert fact.count() == 2 and summary.count() == 2
     assert {p.name for p in (tmp_path / "fact_claim").glob("accident_year=*")} == {"accident_year=2022", "accident_year=2023"}
     counts = {r[0]: r[1] for r in star.row_counts({"fact_claim": fact, "dim_region": dims["region_key"]}).collect()}
     assert counts == {"fact_claim": 2, "dim_region": 1}
+
+
+def test_wide_table_holds_fact_and_summary(built):
+    clean, dims = built
+    wide = star.wide_claims(clean, dims)
+    fact = star.fact_claim(clean, dims)
+    assert sorted(map(str, wide.select(*schemas.FACT_COLUMNS).collect())) == sorted(map(str, fact.collect()))
+    summary = star.claims_summary(fact, dims)
+    assert sorted(map(str, wide.select(*summary.columns).collect())) == sorted(map(str, summary.collect()))
