@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from lossmetrics import config
 from lossmetrics.functions.columns import count_where
 from lossmetrics.functions.distributions import quantiles, union_all
-from lossmetrics.plans.cleaning import as_date, is_number
-from lossmetrics.sources.lookups import STATUSES
+from lossmetrics.plans.cleaning import as_date, is_number, number
+from lossmetrics.sources.lookups import STATUSES, values_frame
 
 # Category and description of every check, in report order.
 CHECKS = {
@@ -75,10 +75,24 @@ def duplicate_ids(claims: DataFrame) -> DataFrame:
     return per_id.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("long").alias("issue_count"))
 
 
-def issues(claims: DataFrame, as_of: datetime.date = config.AS_OF, cap: float = config.PAID_CAP) -> DataFrame:
-    """Issues found, one row per check with at least one affected row."""
-    rowwise = claims.agg(*[count_where(c).alias(n) for n, c in conditions(as_of, cap).items()])
-    both = rowwise.crossJoin(F.broadcast(duplicate_ids(claims).withColumnRenamed("issue_count", "duplicate_ids")))
+def issues(
+    claims: DataFrame, as_of: datetime.date = config.AS_OF, cap: float = config.PAID_CAP, one_pass: bool = False
+) -> DataFrame:
+    """Issues found, one row per check with at least one affected row.
+
+    A stored table is scanned twice, so that the duplicate count shuffles ids only. ``one_pass`` is for a table that is
+    itself a costly plan: all counts travel with the ids and the table is computed once.
+    """
+    tests = conditions(as_of, cap)
+    if one_pass:
+        per_id = claims.groupBy("claim_id").agg(
+            F.count(F.lit(1)).alias("copies"), *[F.count_if(c).alias(n) for n, c in tests.items()]
+        )
+        sums = {n: F.sum(n) for n in tests} | {"duplicate_ids": F.sum(F.col("copies") - 1)}
+        both = per_id.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(n) for n, c in sums.items()])
+    else:
+        rowwise = claims.agg(*[count_where(c).alias(n) for n, c in tests.items()])
+        both = rowwise.crossJoin(F.broadcast(duplicate_ids(claims).withColumnRenamed("issue_count", "duplicate_ids")))
     entries = F.array(
         *[
             F.struct(
@@ -96,10 +110,10 @@ def issues(claims: DataFrame, as_of: datetime.date = config.AS_OF, cap: float =
 def comparison(before: DataFrame, after: DataFrame, as_of: datetime.date = config.AS_OF) -> DataFrame:
     """Affected rows per category before and after cleaning, with a total row."""
 
-    def by_category(claims: DataFrame, name: str) -> DataFrame:
-        return issues(claims, as_of).groupBy("category").agg(F.sum("issue_count").alias(name))
+    def by_category(claims: DataFrame, name: str, one_pass: bool) -> DataFrame:
+        return issues(claims, as_of, one_pass=one_pass).groupBy("category").agg(F.sum("issue_count").alias(name))
 
-    joined = by_category(before, "before").join(by_category(after, "after"), "category", "full")
+    joined = by_category(before, "before", False).join(by_category(after, "after", True), "category", "full")
     filled = joined.na.fill(0, ["before", "after"])
     return (
         filled.rollup("category")
@@ -113,11 +127,6 @@ def comparison(before: DataFrame, after: DataFrame, as_of: datetime.date = confi
     )
 
 
-def _per_column(df: DataFrame, columns: list[str], measure, name: str) -> DataFrame:
-    """One aggregate per column from a single scan, turned into rows."""
-    return df.agg(*[measure(F.col(c)).alias(c) for c in columns]).unpivot([], columns, "column_name", name)
-
-
 def null_counts(df: DataFrame) -> DataFrame:
     return _per_column(df, df.columns, lambda c: count_where(c.isNull()), "null_count")
 
@@ -140,64 +149,175 @@ def numeric_ranges(df: DataFrame) -> DataFrame:
     return df.agg(*lows, *highs).select(F.inline(entries)).where(F.col("min_value").isNotNull())
 
 
+WHOLE, REAL, DAY, TEXT = "bigint", "double", "date", "string"
+
+
 def _by_kind(df: DataFrame) -> dict[str, list[str]]:
-    """Columns by the type their values are compared in: whole numbers and dates, doubles, and text."""
+    """Columns by the type in which their values are compared."""
     groups: dict[str, list[str]] = {}
     for name, kind in df.dtypes:
-        whole = kind in ("tinyint", "smallint", "int", "bigint", "date")
-        groups.setdefault("bigint" if whole else "double" if kind in ("float", "double") else "string", []).append(name)
+        if kind in ("tinyint", "smallint", "int", "bigint"):
+            kind = WHOLE
+        elif kind in ("float", "double"):
+            kind = REAL
+        elif kind != DAY:
+            kind = TEXT
+        groups.setdefault(kind, []).append(name)
     return groups
 
 
-def _distinct_counts(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
-    """Exact distinct non-null values per column: repeats of a (column, value) pair collapse before the shuffle."""
-    kinds = dict(df.dtypes)
-    typed = [(F.unix_date(c) if kinds[c] == "date" else F.col(c)).cast(kind).alias(c) for c in columns]
-    values = df.select(typed).unpivot([], columns, "column_name", "value").where(F.col("value").isNotNull())
-    return values.groupBy("column_name", "value").agg(F.lit(1).alias("one")).groupBy("column_name").agg(
-        F.sum("one").cast("long").alias("distinct_count")
+def _numeric(value: Column, kind: str) -> Column:
+    if kind == DAY:
+        return F.lit(None).cast("double")
+    return number(value) if kind == TEXT else value.cast("double")
+
+
+def _value_profile(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
+    """Nulls, distinct values and numeric range per column from its counted values.
+
+    Repeats of a (column, value) pair collapse before the shuffle, and a text is parsed once per distinct value.
+    """
+    values = df.select([F.col(c).cast(kind).alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
+    counted = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    parsed = counted.withColumn("x", _numeric(F.col("value"), kind))
+    return parsed.groupBy("column_name").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count("value").alias("distinct_count"),
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("x").isNotNull(), F.col("n"))), F.lit(0)).alias("numbers"),
+        F.min("x").alias("lo"),
+        F.max("x").alias("hi"),
     )
 
 
+def _sketched_profile(df: DataFrame) -> DataFrame:
+    """The same measures in one scan with a distinct-count sketch per column."""
+    kinds = {c: kind for kind, columns in _by_kind(df).items() for c in columns}
+    measures = []
+    for c, kind in kinds.items():
+        x = _numeric(F.col(c).cast(kind), kind)
+        parts = [F.count_if(F.col(c).isNull()), F.approx_count_distinct(c), F.count(x), F.min(x), F.max(x)]
+        names = ["null_count", "distinct_count", "numbers", "lo", "hi"]
+        measures.append(F.struct(F.lit(c).alias("column_name"), *[p.alias(n) for p, n in zip(parts, names)]))
+    one = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*measures).alias("m"))
+    return one.select("rows", F.inline("m"))
+
+
 def profile(df: DataFrame, exact: bool = True) -> DataFrame:
-    """Type, nulls, distinct values and, where more than half of the rows are numeric, the range of every column.
+    """Type, nulls, distinct values and, where more than half of the rows are numeric, the range of every column."""
+    if exact:
+        measured = union_all([_value_profile(df, columns, kind) for kind, columns in _by_kind(df).items()])
+    else:
+        measured = _sketched_profile(df)
+    shown = values_frame(df.sparkSession, [tuple(pair) for pair in df.dtypes], ["column_name", "data_type"])
+    numeric = (F.col("numbers") > 0) & (F.col("numbers") > F.col("rows") * 0.5)
+    return shown.join(measured, "column_name", "left").select(
+        "column_name",
+        "data_type",
+        F.coalesce("null_count", F.lit(0)).alias("null_count"),
+        F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
+        F.when(numeric, F.round("lo", 2)).alias("min_value"),
+        F.when(numeric, F.round("hi", 2)).alias("max_value"),
+    )
+
+
+def null_counts(df: DataFrame) -> DataFrame:
+    return _per_column(df, df.columns, lambda c: count_where(c.isNull()), "null_count")
+
+
+def numeric_columns(df: DataFrame) -> list[str]:
+    return [name for name, kind in df.dtypes if kind in ("tinyint", "smallint", "int", "bigint", "float", "double")]
+
+
+def numeric_ranges(df: DataFrame) -> DataFrame:
+    """Smallest and largest non-null value of every numeric column that has one."""
+    columns = numeric_columns(df)
+    entries = F.array(
+        *[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"{c}_lo").alias("min_value"), F.col(f"{c}_hi").alias("max_value"))
+            for c in columns
+        ]
+    )
+    lows = [F.min(F.col(c).cast("double")).alias(f"{c}_lo") for c in columns]
+    highs = [F.max(F.col(c).cast("double")).alias(f"{c}_hi") for c in columns]
+    return df.agg(*lows, *highs).select(F.inline(entries)).where(F.col("min_value").isNotNull())
+
+
+WHOLE, REAL, DAY, TEXT = "bigint", "double", "date", "string"
+
+
+def _by_kind(df: DataFrame) -> dict[str, list[str]]:
+    """Columns by the type in which their values are compared."""
+    groups: dict[str, list[str]] = {}
+    for name, kind in df.dtypes:
+        if kind in ("tinyint", "smallint", "int", "bigint"):
+            kind = WHOLE
+        elif kind in ("float", "double"):
+            kind = REAL
+        elif kind != DAY:
+            kind = TEXT
+        groups.setdefault(kind, []).append(name)
+    return groups
+
+
+def _numeric(value: Column, kind: str) -> Column:
+    if kind == DAY:
+        return F.lit(None).cast("double")
+    return number(value) if kind == TEXT else value.cast("double")
 
-    Exact distinct counts unpivot to (column, value) and collapse repeats map-side. ``exact=False`` uses one sketch per
-    column in the same single scan.
+
+def _value_profile(df: DataFrame, columns: list[str], kind: str) -> DataFrame:
+    """Nulls, distinct values and numeric range per column from its counted values.
+
+    Repeats of a (column, value) pair collapse before the shuffle, and a text is parsed once per distinct value.
     """
-    columns = df.columns
-    numbers = {c: F.col(c).cast("string").try_cast("double") for c in columns}
+    values = df.select([F.col(c).cast(kind).alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
+    counted = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    parsed = counted.withColumn("x", _numeric(F.col("value"), kind))
+    return parsed.groupBy("column_name").agg(
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+        F.count("value").alias("distinct_count"),
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("x").isNotNull(), F.col("n"))), F.lit(0)).alias("numbers"),
+        F.min("x").alias("lo"),
+        F.max("x").alias("hi"),
+    )
+
+
+def _sketched_profile(df: DataFrame) -> DataFrame:
+    """The same measures in one scan with a distinct-count sketch per column."""
+    kinds = {c: kind for kind, columns in _by_kind(df).items() for c in columns}
     measures = []
-    for c in columns:
-        measures += [
-            F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"),
-            F.count(numbers[c]).alias(f"{c}_numbers"),
-            F.min(numbers[c]).alias(f"{c}_lo"),
-            F.max(numbers[c]).alias(f"{c}_hi"),
-        ]
-        if not exact:
-            measures.append(F.approx_count_distinct(F.col(c)).alias(f"{c}_distinct"))
-    kinds = dict(df.dtypes)
-    half = F.col("_rows") * 0.5
-
-    def entry(c: str) -> Column:
-        numeric = (F.col(f"{c}_numbers") > 0) & (F.col(f"{c}_numbers") > half)
-        parts = [
-            F.lit(c).alias("column_name"),
-            F.lit(kinds[c]).alias("data_type"),
-            F.col(f"{c}_nulls").alias("null_count"),
-            F.when(numeric, F.round(f"{c}_lo", 2)).alias("min_value"),
-            F.when(numeric, F.round(f"{c}_hi", 2)).alias("max_value"),
-        ]
-        if not exact:
-            parts.append(F.col(f"{c}_distinct").alias("distinct_count"))
-        return F.struct(*parts)
-
-    wide = df.agg(F.count(F.lit(1)).alias("_rows"), *measures).select(F.inline(F.array(*[entry(c) for c in columns])))
-    if not exact:
-        return wide
-    distinct = union_all([_distinct_counts(df, group, kind) for kind, group in _by_kind(df).items()])
-    return wide.join(distinct, "column_name", "left").na.fill(0, ["distinct_count"])
+    for c, kind in kinds.items():
+        x = _numeric(F.col(c).cast(kind), kind)
+        parts = [F.count_if(F.col(c).isNull()), F.approx_count_distinct(c), F.count(x), F.min(x), F.max(x)]
+        names = ["null_count", "distinct_count", "numbers", "lo", "hi"]
+        measures.append(F.struct(F.lit(c).alias("column_name"), *[p.alias(n) for p, n in zip(parts, names)]))
+    one = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*measures).alias("m"))
+    return one.select("rows", F.inline("m"))
+
+
+def profile(df: DataFrame, exact: bool = True) -> DataFrame:
+    """Type, nulls, distinct values and, where more than half of the rows are numeric, the range of every column."""
+    if exact:
+        measured = union_all([_value_profile(df, columns, kind) for kind, columns in _by_kind(df).items()])
+    else:
+        measured = _sketched_profile(df)
+    kinds = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
+    numeric = (F.col("numbers") > 0) & (F.col("numbers") > F.col("rows") * 0.5)
+    return measured.select(
+        "column_name",
+        kinds[F.col("column_name")].alias("data_type"),
+        "null_count",
+        "distinct_count",
+        F.when(numeric, F.round("lo", 2)).alias("min_value"),
+        F.when(numeric, F.round("hi", 2)).alias("max_value"),
+    )
+
+
+def _per_column(df: DataFrame, columns: list[str], measure, name: str) -> DataFrame:
+    """One aggregate per column from a single scan, turned into rows."""
+    return df.agg(*[measure(F.col(c)).alias(c) for c in columns]).unpivot([], columns, "column_name", name)
 
 
 def completeness(df: DataFrame) -> DataFrame:

@@ -13,22 +13,30 @@ def as_date(c: str) -> Column:
     return F.col(c).try_cast("date")
 
 
+# A cast that fails raises inside the cast for every bad value; testing the text first is far cheaper.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def is_number(c: Column) -> Column:
+    """True when a text holds a number."""
+    return F.coalesce(c.cast("string").rlike(NUMBER), F.lit(False))
+
+
+def number(c: Column) -> Column:
+    """A text as a double, null when it holds no number."""
+    return F.when(is_number(c), c.try_cast("double"))
+
+
 def severity_number(c: str | Column) -> Column:
     """Severity as a number from digits or from a spelled-out word; anything else is null."""
     c = F.col(c) if isinstance(c, str) else c
     word = F.lower(F.trim(c.cast("string")))
     out = F.when(is_number(c), c.try_cast("double").cast("int"))
-    for number, text in enumerate(lookups.SEVERITY_WORDS, 1):
-        out = out.when(word == text, F.lit(number))
+    for value, text in enumerate(lookups.SEVERITY_WORDS, 1):
+        out = out.when(word == text, F.lit(value))
     return out
 
 
-def is_number(c: Column) -> Column:
-    """True when a text holds a number (null text and NaN are not numbers)."""
-    number = c.try_cast("double")
-    return number.isNotNull() & ~F.isnan(number)
-
-
 def absolute_paid(claims: DataFrame) -> DataFrame:
     return claims.withColumn("paid_amount", F.abs(F.col("paid_amount").try_cast("double")))
 

@@ -8,6 +8,7 @@ lost executor costs re-reading a file, not a lineage.
 from __future__ import annotations
 
 import dataclasses
+import functools
 import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +28,9 @@ class Warehouse:
     fact: DataFrame
     summary: DataFrame
 
-    @property
+    @functools.cached_property
     def clean(self) -> DataFrame:
-        return clean_claims(self.raw)
+        return clean_claims(self.raw, measured=True)
 
     @property
     def tables(self) -> dict[str, DataFrame]:

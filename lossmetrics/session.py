@@ -20,6 +20,8 @@ def local_session(cores: int | str = 8, app: str = "lossmetrics", **conf) -> Spa
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
+        # Written tables are rebalanced to this size; the cluster default (64 MB) would leave most local cores idle.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
         .config("spark.driver.memory", os.environ.get("LOSSMETRICS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

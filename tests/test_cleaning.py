@@ -86,6 +86,8 @@ def test_cleaning_clean_data_changes_nothing(dirty_28):
 
 def test_comparison_totals(dirty_28, as_dict):
     table = as_dict(quality.comparison(dirty_28, cleaning.clean_claims(dirty_28), D(2030, 1, 1)), "category")
+    once = counts(quality.issues(dirty_28, one_pass=True))
+    assert once == counts(quality.issues(dirty_28))
     assert table["Total"]["before"] == 33 and table["Total"]["after"] == 1 and table["Total"]["resolved"] == 32
     assert table["Duplicate Claim IDs"]["resolved"] == 1
 
@@ -106,6 +108,8 @@ def test_profile_exact_and_sketched(make_claims, as_dict):
     }
     assert exact["state_code"]["distinct_count"] == 2 and exact["state_code"]["min_value"] is None
     assert exact["close_date"]["distinct_count"] == 0
+    nothing = as_dict(quality.profile(claims.where("false")), "column_name")
+    assert len(nothing) == 39 and nothing["region"]["null_count"] == 0 and nothing["region"]["min_value"] is None
     rough = as_dict(quality.profile(claims, exact=False), "column_name")
     assert rough["severity_level"]["distinct_count"] == 2
 
