@@ -22,6 +22,8 @@ def local_session(cores: int | str = 8, app: str = "lossmetrics", **conf) -> Spa
         .config("spark.sql.adaptive.enabled", "true")
         # Written tables are rebalanced to this size; the cluster default (64 MB) would leave most local cores idle.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m")
+        # Small row groups, so that a small file is still read by all cores.
+        .config("spark.hadoop.parquet.block.size", str(4 << 20))
         .config("spark.driver.memory", os.environ.get("LOSSMETRICS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
