@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe
+from lossmetrics.llm import bpe, classifier, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,8 +35,38 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and log-likelihood verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = quality_rules.trusted_ids(table(spark, sf_dir, "labels"))
+    judged = quality_rules.judge(docs, quality_rules.bucket_weights(docs, trusted))
+    return judged.select("doc_id", *quality_rules.RESULTS)
+
+
+def held_out(key: str = "doc_id") -> Column:
+    """Whether an id belongs to the fold whose labels are never learnt from; a null id does not."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 5 == 0, F.lit(False))
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> classifier.Model:
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out())
+    return classifier.train(docs, labels)
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = classifier.score(docs, quality_model(spark, docs, sf_dir))
+    predicted = (F.col("score") >= 0.3).cast("int")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def registry() -> dict[str, Query]:
-    return {"op1_bpe": op1_bpe}
+    return {
+        "op1_bpe": op1_bpe,
+        "op2_quality_rules": op2_quality_rules,
+        "op10_quality_classifier": op10_quality_classifier,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
