@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe, classifier, quality_rules
+from lossmetrics.llm import bpe, classifier, jaccard, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.RESULTS)
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links at 90 percent of three-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs, n=3, percent=90)
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Whether an id belongs to the fold whose labels are never learnt from; a null id does not."""
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 5 == 0, F.lit(False))
@@ -65,6 +71,7 @@ def registry() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
         "op2_quality_rules": op2_quality_rules,
+        "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_quality_classifier": op10_quality_classifier,
     }
 
