@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe, classifier, jaccard, quality_rules
+from lossmetrics.llm import bpe, classifier, jaccard, quality_rules, spotsigs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +43,21 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.RESULTS)
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with the likeness to the edited and to the next text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = spotsigs.with_signatures(spotsigs.with_edited(docs), "edited", "edited_signatures")
+    return both.select(
+        F.col("id").alias("doc_id"),
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.written_form("signatures").alias("fingerprint"),
+        spotsigs.written_form("edited_signatures").alias("edited_fingerprint"),
+        spotsigs.likeness("signatures", "edited_signatures").alias("near_edited"),
+        spotsigs.likeness("signatures", "next_signatures").alias("near_next"),
+    )
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links at 90 percent of three-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -71,6 +86,7 @@ def registry() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
         "op2_quality_rules": op2_quality_rules,
+        "op3_spotsigs": op3_spotsigs,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_quality_classifier": op10_quality_classifier,
     }
