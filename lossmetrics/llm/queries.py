@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe, classifier, jaccard, quality_rules, spotsigs
+from lossmetrics.llm import bpe, classifier, jaccard, mixing, quality_rules, resharding, spotsigs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,20 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents repeated to tempered source weights, as many rows as there are documents, in a global shuffle."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return mixing.replicate(docs, mixing.rates(docs, mixing.tempered(docs), source="source"))
+
+
+def op8_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents moved from shards by source to eight shards of equal bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    old = resharding.lay_out(docs, F.pmod(F.crc32("source"), F.lit(8)))
+    placed = resharding.slots(resharding.reshard(old, 8))
+    return placed.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links at 90 percent of three-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -87,10 +101,38 @@ def registry() -> dict[str, Query]:
         "op1_bpe": op1_bpe,
         "op2_quality_rules": op2_quality_rules,
         "op3_spotsigs": op3_spotsigs,
+        "op6_mixing": op6_mixing,
+        "op8_resharding": op8_resharding,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_quality_classifier": op10_quality_classifier,
     }
 
 
+OP6_SQL = """
+WITH counts AS (SELECT coalesce(source, '') AS s, count(*) AS rows FROM documents GROUP BY 1),
+weights AS (SELECT s, rows, sqrt(rows::DOUBLE)::DECIMAL(30, 12) AS weight FROM counts),
+rates AS (
+    SELECT s, sum(rows) OVER ()::DOUBLE * weight::DOUBLE / (sum(weight) OVER ())::DOUBLE / rows AS rate FROM weights
+),
+parts AS (SELECT s, ceil(rate / 32.0)::INT AS parts, rate / ceil(rate / 32.0) AS mean FROM rates),
+cdf AS (
+    SELECT s, parts, sum(exp(k * ln(mean) - mean - lgamma(k + 1))) OVER (PARTITION BY s ORDER BY k) AS c
+    FROM parts, range(0, 121) AS r(k)
+),
+draws AS (
+    SELECT d.rowid AS row, d.doc_id, p.s, ('0x' || substr(md5('0:' || d.doc_id || ':' || j), 1, 13))::BIGINT / 4503599627370496.0 AS u
+    FROM (SELECT *, row_number() OVER () AS rowid FROM documents) d JOIN parts p ON p.s = coalesce(d.source, ''), range(1, 9) AS r(j)
+    WHERE j <= p.parts
+),
+numbers AS (
+    SELECT row, count(*) AS n FROM draws JOIN cdf ON cdf.s = draws.s AND cdf.c <= draws.u GROUP BY row
+)
+SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, copy::INT AS copy,
+    ('0x' || substr(md5('0-order:' || d.doc_id || ':' || copy), 1, 15))::BIGINT AS order_key
+FROM (SELECT *, row_number() OVER () AS rowid FROM documents) d JOIN numbers ON numbers.row = d.rowid, range(0, 1000) AS r(copy)
+WHERE copy < n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_mixing": OP6_SQL}
