@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe, classifier, jaccard, mixing, quality_rules, resharding, spotsigs
+from lossmetrics.llm import bpe, classifier, jaccard, mixing, quality_rules, resharding, spotsigs, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,27 @@ def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule or model verdict of every page's url."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.judge(pages, url_filter.train(url_filter.labelled()))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "unwanted")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, read back and put together."""
+    pages = table(spark, sf_dir, "pages")
+    path = warc.write(pages.select("page_id", "url", "html"))
+    capture = warc.captures(warc.read(spark, path, payloads=False))
+    return capture.select(
+        F.col("metadata.page_id").cast("long").alias("page_id"),
+        F.col("metadata.payload_bytes").alias("payload_bytes"),
+        F.col("response.digest").alias("payload_digest"),
+        F.col("response.kind").alias("record_type"),
+        F.col("response.refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents repeated to tempered source weights, as many rows as there are documents, in a global shuffle."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
@@ -101,6 +122,8 @@ def registry() -> dict[str, Query]:
         "op1_bpe": op1_bpe,
         "op2_quality_rules": op2_quality_rules,
         "op3_spotsigs": op3_spotsigs,
+        "op4_url_filter": op4_url_filter,
+        "op5_warc": op5_warc,
         "op6_mixing": op6_mixing,
         "op8_resharding": op8_resharding,
         "op9_ngram_jaccard": op9_ngram_jaccard,
@@ -134,5 +157,15 @@ WHERE copy < n
 """
 
 
+OP5_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS bytes, sha1(coalesce(html, '')) AS digest FROM pages),
+h AS (SELECT *, max(page_id) OVER (PARTITION BY digest, bytes) AS head FROM p)
+SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+    CASE WHEN bytes >= 1000 AND page_id < head THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN bytes >= 1000 AND page_id < head THEN head END AS refers_to
+FROM h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": OP6_SQL}
+    return {"op5_warc": OP5_SQL, "op6_mixing": OP6_SQL}
