@@ -33,6 +33,8 @@ UNWANTED = (
 ORDINARY = (
     "library", "weather", "history", "garden", "museum", "science", "theatre", "recipes", "council", "railway", "northern", "hospital",
     "teacher", "the-times", "open-data", "hiking", "letters", "station", "orchard", "thinker", "ration", "there", "tension", "leather",
+    "nation", "anthem", "thermal", "nations", "motion", "shoreline", "threshing", "blender", "therapist", "whether", "within", "thousand",
+    "edition", "ablation", "herring", "withers", "northeast", "tradition", "ethnic", "another", "rationing", "thistle", "heather", "worthy",
 )
 #: (host and path, rule's verdict) as given to the query.
 RULES = (
@@ -45,13 +47,15 @@ RULES = (
 
 
 def labelled() -> list[tuple[str, str, int]]:
-    """The labelled table: (host, path, unwanted), every name under ordinary prefixes, endings and paths."""
-    rows = []
-    for names, label in ((UNWANTED, 1), (ORDINARY, 0)):
-        for k, name in enumerate(names):
-            for prefix, ending, path in (("", "com", "/en/12"), ("www.", "net", "/fr/7.html"), ("blog.", "org", "/es/305/"), ("m.", "example.net", "/de/48")):
-                rows.append((f"{prefix}{name}.{ending}", path if k % 2 else path + "0", label))
-    return rows
+    """The labelled table: (host, path, unwanted), every name under ordinary prefixes, endings and paths, alike for both labels."""
+    paths = ("/en/1820", "/fr/736.html", "/es/30594/", "/de/4851")
+    return [
+        (f"{prefix}{name}.{ending}", paths[(p + e) % 4], label)
+        for names, label in ((UNWANTED, 1), (ORDINARY, 0))
+        for name in names
+        for p, prefix in enumerate(("", "www.", "blog.", "m."))
+        for e, ending in enumerate(("example.com", "example.net", "example.org", "net"))
+    ]
 
 
 def _grams(host: str, path: str, buckets: int) -> list[int]:
@@ -74,7 +78,7 @@ class Model:
         return float(1 / (1 + np.exp(-(self.bias + mean))))
 
 
-def train(rows: list[tuple[str, str, int]], buckets: int = BUCKETS, epochs: int = 300, rate: float = 1.0, decay: float = 1e-3) -> Model:
+def train(rows: list[tuple[str, str, int]], buckets: int = BUCKETS, epochs: int = 300, rate: float = 1.0, decay: float = 1e-4) -> Model:
     """Logistic regression by gradient descent over all labelled rows."""
     x = np.zeros((len(rows), buckets), np.float32)
     for k, (host, path, _) in enumerate(rows):
@@ -98,7 +102,7 @@ def split_url(url: str) -> tuple[Column, Column]:
     return lower, F.regexp_extract(F.substring(rest, F.length(host) + 1, F.length(rest)), r"^[^?#]*", 0)
 
 
-def judge(pages: DataFrame, model: Model, rules: Iterable[tuple[str, str]] = RULES, url: str = "url", threshold: float = 0.5) -> DataFrame:
+def judge(pages: DataFrame, model: Model, rules: Iterable[tuple[str, str]] = RULES, url: str = "url", threshold: float = 0.65) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``unwanted`` (the model's probability) and ``verdict``."""
     host, path = split_url(url)
     parts = pages.drop("host", "path", "rule", "unwanted", "verdict").withColumns({"host": host, "path": path})
