@@ -5,15 +5,80 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lossmetrics.llm import bpe, classifier, jaccard, mixing, quality_rules
+from lossmetrics.llm.batches import set_aside
+from lossmetrics.llm.queries import quality_model, table, tokenizer_path
+from lossmetrics.llm.tables import written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+#: Documents with a lower quality score are rejected.
+MIN_SCORE = 0.3
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the trained classifier does not reject."""
+    return classifier.score(docs, quality_model(spark, docs, sf_dir), result="__score").where(F.col("__score") >= MIN_SCORE).select(*docs.columns)
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the log-likelihood threshold, both taken over the documents that are left."""
+    trusted = quality_rules.trusted_ids(table(spark, sf_dir, "labels"))
+    weights = quality_rules.bucket_weights(docs, trusted)
+    renamed, back = set_aside(docs, quality_rules.RESULTS)
+    return back(quality_rules.judge(renamed, weights).where("kept"))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates (five words, 80 percent).
+
+    Rows of one id are one document; rows without an id are in no group and stay.
+    """
+    groups = jaccard.near_duplicates(docs)
+    stay = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    named = docs.where(F.col("doc_id").isNotNull()).join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated to tempered source weights, about as many rows as before, in a global shuffle."""
+    renamed, back = set_aside(docs, ("copy", "order_key"))
+    return back(mixing.replicate(renamed, mixing.rates(docs, mixing.tempered(docs))))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every row with their digest and that of the decoded text."""
+    path = tokenizer_path()
+    rows = docs.select("doc_id", "lang", "source", "n_chars", "text")
+    coded = bpe.decode(bpe.encode(rows, path), path)
+    return coded.select(
+        "doc_id", "lang", "source", "n_chars",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", quality_classifier),
+    ("quality rules", rules),
+    ("n-gram Jaccard join", deduplicate),
+    ("mixing", mix),
+    ("BPE encoding", encode),
+]
+
+#: The classifier, the hashes and the vocabulary have no SQL form; tests/llm compares the pipeline with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in order, each written and read again as the next one's documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = written(docs, "stage")
     return docs

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 #: Bytes of text handled at once inside a task; a longer single text is still handled whole.
@@ -44,3 +45,10 @@ def assemble(batch: pa.RecordBatch, schema: StructType, new: dict[str, pa.Array]
     """Columns of ``schema``: new arrays by name, the others from the batch."""
     names = schema.fieldNames()
     return pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names)
+
+
+def set_aside(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns of these names renamed, and a function that brings back the columns of ``df`` alone."""
+    clash = {c for c in df.columns if c in set(names)}
+    away = {c: f"__own_{c}" for c in clash}
+    return df.withColumnsRenamed(away), lambda out: out.select(*(F.col(away.get(c, c)).alias(c) for c in df.columns))

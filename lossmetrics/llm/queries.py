@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe, classifier, jaccard, mixing, quality_rules, resharding, spotsigs, url_filter, warc
+from lossmetrics.llm import bpe, classifier, jaccard, licenses, mixing, quality_rules, resharding, spotsigs, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,21 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.replicate(docs, mixing.rates(docs, mixing.tempered(docs), source="source"))
 
 
+def source_tree(docs: DataFrame) -> DataFrame:
+    """Documents as files: source/lang/group/file. The first id of a group of 64 is its licence file, as is the first of 4096 of its language."""
+    place = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")))
+    group = F.concat_ws("/", place, F.floor(F.col("doc_id") / 64).cast("string"))
+    top, first = F.pmod("doc_id", F.lit(4096)) == 0, F.pmod("doc_id", F.lit(64)) == 0
+    named = F.when(top, F.concat(place, F.lit("/LICENSE"))).when(first, F.concat(group, F.lit("/LICENSE")))
+    return docs.withColumn("path", named.otherwise(F.concat(group, F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))))
+
+
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License of every document, laid out as a tree of files."""
+    files = source_tree(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return licenses.scan(files.select("doc_id", "path", "text")).select("doc_id", "path", "license", "basis", "cosine")
+
+
 def op8_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents moved from shards by source to eight shards of equal bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
@@ -125,6 +140,7 @@ def registry() -> dict[str, Query]:
         "op4_url_filter": op4_url_filter,
         "op5_warc": op5_warc,
         "op6_mixing": op6_mixing,
+        "op7_license_scan": op7_license_scan,
         "op8_resharding": op8_resharding,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_quality_classifier": op10_quality_classifier,
