@@ -10,9 +10,10 @@ The global order of the n-grams is that of their 64-bit hashes. Equal steps in i
    |x| - ceil(t |x|) + 1 rarest n-grams. In the list of such an n-gram, the member with the fewest n-grams of its own is the
    centre, and every other member is paired with it: as many pairs as members.
 4. Overlaps of a pair are counted in every fragment separately and summed; the sum decides exactly.
-5. Links found so far give components. Only pairs of members in different components, neither of them the centre, are left;
-   they are paired and counted in the same way. So a group of near copies costs a star, not all its pairs, and no link
-   between different components is lost.
+5. Links found so far give components. Only pairs of members of one centre in different components are left. Two members share
+   no more than each has in common with the centre, plus what each shares with others beyond it; pairs that this bound
+   leaves are counted in the same way. So a group of near copies costs a star, not all its pairs, and no link between
+   different components is lost.
 
 Hashes have 64 bits: a wrong link needs a collision of n-grams or of whole sets.
 
@@ -117,20 +118,23 @@ def _spare(percent: int) -> Column:
     return F.floor(F.col("n") * (100 - percent) / 100).cast("long")
 
 
-def _possible(percent: int) -> Column:
-    """Whether the sizes and the n-grams that occur elsewhere leave room for a link between sides a and b."""
-    most = F.least("a.others", "b.others")
+def _possible(percent: int, most: Column | None = None) -> Column:
+    """Whether the sizes, and an upper bound of the overlap, leave room for a link between sides a and b."""
+    most = F.least("a.others", "b.others") if most is None else most
     return 100 * most >= percent * (F.col("a.n") + F.col("b.n") - most)
 
 
-def _count_overlaps(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
-    """The links among ``pairs`` (``a``, ``b``): overlaps counted by fragment, then summed."""
+def _overlaps(pairs: DataFrame, fragments: DataFrame) -> DataFrame:
+    """(``a``, ``b``, ``a_n``, ``b_n``, ``overlap``) of ``pairs``: counted by fragment, then summed."""
     one = fragments.select(F.col("id").alias("a"), "fragment", F.col("n").alias("a_n"), F.col("grams").alias("a_grams"))
     two = fragments.select(F.col("id").alias("b"), "fragment", F.col("n").alias("b_n"), F.col("grams").alias("b_grams"))
     both = pairs.join(one, "a").join(two, ["b", "fragment"])
     partial = both.select("a", "b", "a_n", "b_n", F.size(F.array_intersect("a_grams", "b_grams")).alias("overlap"))
-    total = partial.groupBy("a", "b", "a_n", "b_n").agg(F.sum("overlap").alias("overlap"))
-    return total.where(F.expr(f"100 * overlap >= {percent} * (a_n + b_n - overlap)")).select("a", "b")
+    return partial.groupBy("a", "b", "a_n", "b_n").agg(F.sum("overlap").alias("overlap"))
+
+
+def _linked(overlaps: DataFrame, percent: int) -> DataFrame:
+    return overlaps.where(F.expr(f"100 * overlap >= {percent} * (a_n + b_n - overlap)")).select("a", "b")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -177,23 +181,30 @@ def links(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percen
     centres = centres.where("size > 1").select("gram", F.col("c.id").alias("id"), F.col("c.n").alias("n"), F.col("c.others").alias("others"))
     posts = written(posts.join(centres.select("gram", F.col("id").alias("centre")), "gram"), "posts")
     stars = posts.alias("a").join(centres.alias("b"), "gram").where(F.col("a.id") != F.col("b.id")).where(_possible(percent))
-    first = written(_count_overlaps(_ordered(stars.select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))), fragments, percent), "links")
+    counted = written(_overlaps(_ordered(stars.select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))), fragments), "stars")
+    first = _linked(counted, percent)
     groups = components(first)
     label = lambda side: groups.select(F.col("node").alias(side), F.col("component").alias(f"{side}_group"))
-    marked = posts.join(label("id"), "id", "left").join(label("centre"), "centre", "left")
-    marked = marked.select(
-        "gram", "id", "n", "others", "centre",
+    members = posts.where("id <> centre").select("centre", "id", "n", "others").distinct()
+    pair = [F.least("id", "centre") == F.col("a"), F.greatest("id", "centre") == F.col("b")]
+    members = members.join(counted.select("a", "b", "overlap"), pair, "left").join(label("id"), "id", "left").join(label("centre"), "centre", "left")
+    # ``common``: n-grams shared with the centre; ``beyond``: others that occur elsewhere. Without a count both may be all.
+    members = members.select(
+        "centre", "id", "n", "others", F.coalesce("overlap", "others").alias("common"),
+        F.coalesce(F.col("others") - F.col("overlap"), F.col("others")).alias("beyond"),
         F.coalesce("id_group", "id").alias("group"), F.coalesce("centre_group", "centre").alias("main"),
     )
-    marked = written(marked, "posts")
+    members = written(members, "members")
+    # What two members share lies in their centre, or beyond it.
+    most = F.least("a.others", "b.others", F.least("a.common", "b.common") + F.least("a.beyond", "b.beyond"))
     rest = (
-        marked.where("group <> main AND id <> centre").alias("a")
-        .join(marked.where("id <> centre").alias("b"), "gram")
-        .where(F.col("a.group") != F.col("b.group"))
-        .where(_possible(percent))
+        members.where("group <> main").alias("a")
+        .join(members.alias("b"), "centre")
+        .where("a.group <> b.group AND (b.group = b.main OR a.id < b.id)")
+        .where(_possible(percent, most))
         .select(F.col("a.id").alias("x"), F.col("b.id").alias("y"))
     )
-    return first.union(_count_overlaps(_ordered(rest), fragments, percent))
+    return first.union(_linked(_overlaps(_ordered(rest), fragments), percent))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
