@@ -18,10 +18,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lossmetrics.llm.tables import written
+
 BUCKETS = 1 << 16
-THRESHOLD = -0.25
-#: Pseudo-counts per bucket in both multinomials.
-PRIOR = 1.0
+THRESHOLD = -0.12
+#: Counts added per bucket on both sides, so that absence from a small target says little.
+PRIOR = 20.0
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 WINDOW = 5
@@ -51,7 +53,18 @@ def _buckets(buckets: int) -> Column:
 
 def with_base_rules(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with the counts of the base rules and ``base_failed``."""
-    return _base(_with_words(df.drop(*RESULTS), text), text).drop("__words", "__hashes")
+    pinned = _base(_with_words(df.drop(*RESULTS), text), text).drop("__words", "__hashes").withColumn("__pin", F.monotonically_increasing_id())
+    return _unpinned(pinned)
+
+
+def _unpinned(df: DataFrame) -> DataFrame:
+    """Results that depend on ``__pin``, a number that Spark may not move.
+
+    Without it a filter on a result is pushed below the steps that compute it, and a list that one step makes is then made
+    anew for every element of the next.
+    """
+    found = [c for c in RESULTS if c in df.columns]
+    return df.withColumns({c: F.when(F.col("__pin") >= 0, F.col(c)) for c in found}).drop("__pin")
 
 
 def _base(df: DataFrame, text: str) -> DataFrame:
@@ -103,14 +116,30 @@ def _base(df: DataFrame, text: str) -> DataFrame:
 
 
 def trusted_ids(labels: DataFrame, key: str = "doc_id", label: str = "quality") -> DataFrame:
-    """Ids all of whose labels are 1."""
+    """(``__bucket``, ``__bits``): a bitmap of the integer ids all of whose labels are 1, 32,768 ids a row.
+
+    It is written, so Spark knows its size, about one bit per id: it is broadcast when that is small and joined by bucket
+    otherwise.
+    """
     known = labels.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.coalesce(F.col(label), F.lit(0))).alias("__label"))
-    return known.where("__label = 1").select(key, F.lit(1).alias("__trusted"))
+    good = known.where("__label = 1").select(F.col(key).cast("long").alias("id"))
+    bits = good.groupBy(F.bitmap_bucket_number("id").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("__bits"))
+    return written(bits, "trusted")
+
+
+def _is_trusted(docs: DataFrame, trusted: DataFrame, key: str, text: str) -> DataFrame:
+    """(``text``, ``__trusted``) of every row; ``__trusted`` is 0 or 1."""
+    ident = F.col(key).cast("long")
+    marked = docs.select(text, F.bitmap_bucket_number(ident).alias("__bucket"), F.bitmap_bit_position(ident).cast("int").alias("__place"))
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(F.col("__place") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.expr("shiftright(__byte, __place % 8) & 1")
+    joined = marked.join(trusted, "__bucket", "left").withColumn("__byte", byte)
+    return joined.select(text, F.coalesce(bit, F.lit(0)).alias("__trusted"))
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS) -> DataFrame:
     """One row: ``weights``, the log ratio of every bucket. Counts are taken over all documents."""
-    marked = docs.select(key, text).join(trusted, key, "left").select(text, F.coalesce("__trusted", F.lit(0)).alias("__trusted"))
+    marked = _is_trusted(docs, trusted, key, text)
     grams = _with_words(marked, text).select("__trusted", F.explode(_buckets(buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("corpus"), F.sum("__trusted").alias("target"))
     full = docs.sparkSession.range(buckets).select(F.col("id").alias("bucket")).join(F.broadcast(counts), "bucket", "left")
@@ -120,10 +149,9 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, key: str = "doc_id", tex
         F.sum("corpus").alias("corpus"),
         F.sum("target").alias("target"),
     )
-    mass = PRIOR * buckets
-    weight = lambda c: (
-        F.log((c["target"] + PRIOR) / (F.col("target") + mass)) - F.log((c["corpus"] + PRIOR) / (F.col("corpus") + mass))
-    )
+    # The corpus multinomial times the size of the target is what the target would hold if it were like the corpus.
+    expected = lambda c: c["corpus"] * F.col("target") / F.col("corpus")
+    weight = lambda c: F.log((c["target"] + PRIOR) / (expected(c) + PRIOR))
     zero = F.lit(0.0)
     return listed.select(
         F.transform("cells", lambda c: F.when(F.col("target") > 0, weight(c)).otherwise(zero).cast("float")).alias("__weights")
@@ -136,12 +164,10 @@ def judge(docs: DataFrame, weights: DataFrame, text: str = "text", buckets: int
         _base(_with_words(docs.drop(*RESULTS), text), text)
         .withColumn("__buckets", _buckets(buckets))
         .drop("__words", "__hashes")
+        .withColumn("__pin", F.monotonically_increasing_id())
         .join(F.broadcast(weights))  # one row of a fixed size
     )
     total = F.aggregate("__buckets", F.lit(0.0), lambda a, b: a + F.col("__weights")[b.cast("int")])
-    return (
-        scored.withColumn("__total", total)
-        .withColumn("llr", F.col("__total") / F.greatest(F.size("__buckets"), F.lit(1)))
-        .withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
-        .drop("__buckets", "__weights", "__total")
-    )
+    judged = scored.withColumn("llr", total / F.greatest(F.size("__buckets"), F.lit(1)))
+    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("llr") >= threshold))
+    return _unpinned(judged.drop("__buckets", "__weights"))
