@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
@@ -72,25 +73,38 @@ def macro_f1(predictions: DataFrame, *keys: str) -> DataFrame:
     return _per_class(_pairs(predictions, *keys), list(keys)).groupBy(*keys).agg(F.avg("f1_score").alias("macro_f1"))
 
 
-def cross_validate(rows: DataFrame, models: dict[str, Callable[[int], Estimator]], folds: int = 5, seed: int = config.SEED) -> DataFrame:
+def cross_validate(
+    rows: DataFrame,
+    models: dict[str, Callable[[int], Estimator]],
+    folds: int = 5,
+    fit_rows: int | None = features.FIT_ROWS,
+    seed: int = config.SEED,
+) -> DataFrame:
     """Macro-F1 of every model on every stratified fold: (model, fold, macro_f1).
 
     ``rows`` are labelled feature rows; ``models`` build an estimator from the number of training rows. The assembly is
-    fitted on the training folds only.
+    fitted on the training folds only, of which ``fit_rows`` bounds the rows; every row of a test fold is predicted. Folds
+    run side by side.
     """
     parts = features.stratified_parts(rows, "label", "claim_id", [1 / folds] * folds, seed, "fold").persist()
-    scores = []
-    for fold in range(folds):
+
+    def scores_of(fold: int) -> list[tuple[str, int, float]]:
         train, test = parts.where(F.col("fold") != fold), parts.where(F.col("fold") == fold)
+        train = features.bounded(train, fit_rows, seed)
         assembly = features.assembler().fit(train)
         train = features.with_class_weights(assembly.transform(train)).persist()
-        test = assembly.transform(test)
-        size = train.count()
-        for name, build in models.items():
-            score = macro_f1(build(size).fit(train).transform(test)).first()[0]
-            scores.append((name, fold, float(score)))
-        train.unpersist()
-    parts.unpersist()
+        try:
+            size = train.count()
+            test = assembly.transform(test)
+            return [(name, fold, float(macro_f1(build(size).fit(train).transform(test)).first()[0])) for name, build in models.items()]
+        finally:
+            train.unpersist()
+
+    try:
+        with ThreadPool(folds) as pool:
+            scores = [row for found in pool.map(scores_of, range(folds)) for row in found]
+    finally:
+        parts.unpersist()
     return values_frame(rows.sparkSession, scores, ["model", "fold", "macro_f1"])
 
 
@@ -155,8 +169,19 @@ def calibration(predictions: DataFrame, bins: int = 10) -> DataFrame:
     )
 
 
-def fit_all(rows: DataFrame, build: Callable[[int], Estimator]) -> tuple[Model, DataFrame]:
-    """Fit on all rows and predict the same rows, as calibration does."""
-    assembled = features.with_class_weights(features.assembler().fit(rows).transform(rows)).persist()
-    model = build(assembled.count()).fit(assembled)
-    return model, model.transform(assembled)
+def fit_all(rows: DataFrame, build: Callable[[int], Estimator], fit_rows: int | None = features.FIT_ROWS) -> tuple[Model, DataFrame]:
+    """Fit on all rows, bounded by ``fit_rows``, and predict all rows, as calibration does."""
+    chosen = features.bounded(rows, fit_rows)
+    assembly = features.assembler().fit(chosen)
+    chosen = features.with_class_weights(assembly.transform(chosen)).persist()
+    try:
+        model = build(chosen.count()).fit(chosen)
+    finally:
+        chosen.unpersist()
+    return model, model.transform(assembly.transform(rows))
+
+
+def calibrations(rows: DataFrame, models: dict[str, Callable[[int], Estimator]], bins: int = 10) -> DataFrame:
+    """The calibration of every model, with its name."""
+    found = [calibration(fit_all(rows, build)[1], bins).select(F.lit(name).alias("model"), "*") for name, build in models.items()]
+    return union_all(found)

@@ -44,7 +44,7 @@ def feature_table(valid: DataFrame) -> DataFrame:
 
 
 def assembler() -> Pipeline:
-    """One-hot categories and numbers, standardised into ``features``.
+    """One-hot categories and numbers, scaled into ``features``; they are not centred, so one-hot vectors stay sparse.
 
     The indexer keeps an extra last level for null and unseen values and the encoder drops that one only, so every real
     level has a column and an unknown value is all zeros.
@@ -56,7 +56,7 @@ def assembler() -> Pipeline:
             StringIndexer(inputCols=CATEGORIES, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
             OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
             VectorAssembler(inputCols=[*encoded, *NUMBERS], outputCol="raw_features"),
-            StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+            StandardScaler(inputCol="raw_features", outputCol="features", withMean=False, withStd=True),
         ]
     )
 
@@ -122,6 +122,25 @@ def split(features: DataFrame, test_size: float = 0.2, seed: int = config.SEED)
     return parts.where("part = 1").drop("part"), parts.where("part = 0").drop("part")
 
 
+#: Labelled rows that a model is fitted on unless told otherwise.
+FIT_ROWS = 4_000
+
+
+def bounded(rows: DataFrame, fit_rows: int | None, seed: int = config.SEED) -> DataFrame:
+    """At most about ``fit_rows`` rows, every class in its share, chosen by a hash of the claim id; all rows for None.
+
+    The bounded rows come in one partition: iterative fits over a few thousand rows are bound by task starts.
+    """
+    if fit_rows is None:
+        return rows
+    found = rows.count()
+    if found <= fit_rows:
+        return rows.coalesce(1)
+    share = fit_rows / found
+    parts = stratified_parts(rows, "severity_level", "claim_id", [share, 1 - share], seed + 1)
+    return parts.where("part = 0").drop("part").coalesce(1)
+
+
 def with_class_weights(rows: DataFrame, label: str = "label") -> DataFrame:
     """Balanced weights: rows / (classes x rows of the class)."""
     counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n"))

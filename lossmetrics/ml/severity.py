@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Callable
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.sql import DataFrame
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.sql import DataFrame, SparkSession
 
 from lossmetrics import config
 from lossmetrics.ml import evaluate, features
+from lossmetrics.ml.boosting import Boosted
 from lossmetrics.sources.lookups import values_frame
 
 MIN_CLAIMS = 50
@@ -29,10 +31,8 @@ def logistic(rows: int, iterations: int = 1000) -> Estimator:
     )
 
 
-def boosted(rounds: int = 150, depth: int = 5, rate: float = 0.1, seed: int = config.SEED) -> Estimator:
-    """Spark's boosted trees are binary, so one model is fitted per class."""
-    trees = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=rate, minInstancesPerNode=2, seed=seed)
-    return OneVsRest(classifier=trees, parallelism=5)
+def boosted(rounds: int = 150, depth: int = 5, rate: float = 0.1) -> Boosted:
+    return Boosted(rounds, depth, rate)
 
 
 @dataclasses.dataclass
@@ -40,7 +40,7 @@ class SeverityModels:
     models: dict[str, Model]
     predictions: dict[str, DataFrame]
     feature_names: list[str]
-    train_rows: DataFrame
+    test_rows: DataFrame
 
     def report(self, name: str) -> DataFrame:
         return evaluate.classification_report(self.predictions[name])
@@ -49,7 +49,7 @@ class SeverityModels:
         return evaluate.confusion(self.predictions[name])
 
     def importances(self) -> DataFrame:
-        return importances(self.train_rows, self.models[FOREST], self.feature_names)
+        return importances(self.test_rows.sparkSession, self.models[FOREST], self.feature_names)
 
 
 def feature_names(assembled: DataFrame) -> list[str]:
@@ -58,10 +58,10 @@ def feature_names(assembled: DataFrame) -> list[str]:
     return [a["name"] for a in sorted(found, key=lambda a: a["idx"])]
 
 
-def importances(rows: DataFrame, model: Model, names: list[str]) -> DataFrame:
+def importances(spark: SparkSession, model: Model, names: list[str]) -> DataFrame:
     """Features by descending importance; one row per feature."""
     values = [(name, float(v)) for name, v in zip(names, model.featureImportances.toArray())]
-    return values_frame(rows.sparkSession, values, ["feature", "importance"]).orderBy("importance", ascending=False)
+    return values_frame(spark, values, ["feature", "importance"]).orderBy("importance", ascending=False)
 
 
 def prepare(claims: DataFrame) -> DataFrame:
@@ -73,26 +73,39 @@ def prepare(claims: DataFrame) -> DataFrame:
     return features.labelled(features.feature_table(valid))
 
 
+def builders(
+    trees: int = 200, depth: int = 15, iterations: int = 1000, rounds: int = 150, boosted_depth: int = 5, seed: int = config.SEED
+) -> dict[str, Callable[[int], Estimator]]:
+    """The three models, each built from the number of its training rows."""
+    return {
+        FOREST: lambda rows: forest(trees, depth, seed),
+        LOGISTIC: lambda rows: logistic(rows, iterations),
+        BOOSTED: lambda rows: boosted(rounds, boosted_depth),
+    }
+
+
 def train(
     claims: DataFrame,
-    names: tuple[str, ...] = (FOREST, LOGISTIC, BOOSTED),
+    models: dict[str, Callable[[int], Estimator]] | None = None,
     test_size: float = 0.2,
-    trees: int = 200,
-    depth: int = 15,
-    iterations: int = 1000,
-    rounds: int = 150,
+    fit_rows: int | None = features.FIT_ROWS,
     seed: int = config.SEED,
 ) -> SeverityModels:
-    """Fit the named models on a stratified train split and predict the test split."""
+    """Fit the models on a stratified train split and predict the whole test split.
+
+    ``fit_rows`` bounds the labelled rows of a fit (None: all): a stratified draw by a hash of the claim id. Rounds, trees
+    and depths are never reduced, and every test row is predicted.
+    """
     train_rows, test_rows = features.split(prepare(claims), test_size, seed)
+    train_rows = features.bounded(train_rows, fit_rows, seed)
     assembly = features.assembler().fit(train_rows)
     train_rows = features.with_class_weights(assembly.transform(train_rows)).persist()
-    test_rows = assembly.transform(test_rows).persist()
-    estimators = {
-        FOREST: lambda: forest(trees, depth, seed),
-        LOGISTIC: lambda: logistic(train_rows.count(), iterations),
-        BOOSTED: lambda: boosted(rounds, seed=seed),
-    }
-    models = {name: estimators[name]().fit(train_rows) for name in names}
-    predictions = {name: model.transform(test_rows) for name, model in models.items()}
-    return SeverityModels(models, predictions, feature_names(train_rows), train_rows)
+    test_rows = assembly.transform(test_rows)
+    try:
+        size = train_rows.count()
+        fitted = {name: build(size).fit(train_rows) for name, build in (models or builders(seed=seed)).items()}
+        names = feature_names(train_rows)
+    finally:
+        train_rows.unpersist()
+    predictions = {name: model.transform(test_rows) for name, model in fitted.items()}
+    return SeverityModels(fitted, predictions, names, test_rows)

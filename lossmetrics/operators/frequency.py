@@ -7,22 +7,26 @@ from pyspark.sql import functions as F
 
 from lossmetrics.functions.columns import change, count_where, exact_sum, mean, month_of, quarter_of, rows, total
 from lossmetrics.functions.distributions import counted_percentile, counted_rows, value_counts
-from lossmetrics.sources.lookups import CLAIM_TYPES
 
 
 def levels(column: str = "severity_level") -> list[Column]:
     return [count_where(F.col(column) == n).alias(f"sev_{n}") for n in range(1, 6)]
 
 
-def monthly_by_type(claims: DataFrame, types: list[str] | None = None) -> DataFrame:
-    """Claims per month and claim type as columns plus a total, 0 where a type has none.
+def monthly_by_type(claims: DataFrame) -> DataFrame:
+    """Claims per month and claim type, for all types found, 0 where a month has none, with the month's total.
 
-    The types are given rather than looked up, so no extra job discovers the pivot columns.
+    Months and types meet on the counted cells; what is joined to every month is one row, the list of types.
     """
-    types = types or CLAIM_TYPES
-    counts = [count_where(F.col("claim_type") == t).alias(t) for t in types]
     known = claims.where(F.col("incident_date").isNotNull() & F.col("claim_type").isNotNull())
-    return known.groupBy(month_of("incident_date").alias("incident_month")).agg(*counts, rows().alias("total"))
+    cells = known.groupBy(month_of("incident_date").alias("incident_month"), "claim_type").agg(rows().alias("n"))
+    months = cells.groupBy("incident_month").agg(
+        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("claim_type", "n"))).alias("counts")
+    )
+    types = cells.agg(F.collect_set("claim_type").alias("types"))
+    filled = months.join(F.broadcast(types)).withColumn("claim_type", F.explode("types"))  # one row
+    count = F.coalesce(F.col("counts")[F.col("claim_type")], F.lit(0))
+    return filled.select("incident_month", "claim_type", count.alias("claim_count"), "total")
 
 
 def quarterly_counts(claims: DataFrame) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lossmetrics import config
+from lossmetrics.session import shared_dir
 from lossmetrics.sources import lookups, schemas
 
 
@@ -28,10 +31,11 @@ def number(c: Column) -> Column:
 
 
 def severity_number(c: str | Column) -> Column:
-    """Severity as a number from digits or from a spelled-out word; anything else is null."""
+    """Severity as a whole number from digits or from a spelled-out word; a fraction and anything else is null."""
     c = F.col(c) if isinstance(c, str) else c
     word = F.lower(F.trim(c.cast("string")))
-    out = F.when(is_number(c), c.try_cast("double").cast("int"))
+    value = c.try_cast("double")
+    out = F.when(is_number(c) & (value == F.floor(value)), value.try_cast("int"))
     for value, text in enumerate(lookups.SEVERITY_WORDS, 1):
         out = out.when(word == text, F.lit(value))
     return out
@@ -77,24 +81,17 @@ def without_copies(claims: DataFrame) -> DataFrame:
     return claims.dropDuplicates()
 
 
-FEW_IDS = 200_000
-
-
-def without_copies_measured(claims: DataFrame, few: int = FEW_IDS) -> DataFrame:
-    """Drop full-row copies after counting which claim ids repeat, for tables too wide to shuffle as a whole.
+def without_copies_measured(claims: DataFrame) -> DataFrame:
+    """Drop full-row copies where only rows of repeated claim ids are shuffled as a whole.
 
-    Copies share their id, so only rows of repeated ids can be copies. Counting ids moves one narrow column. When at
-    most ``few`` ids repeat (a measured bound, some megabytes) they are broadcast and all other rows stay where they
-    are; otherwise the whole table is shuffled. Runs one job when called.
+    Copies share their id. The repeated ids are counted map-side and written to the shared folder, so Spark knows the size
+    of that table: it broadcasts it when it is small and otherwise joins by id, splitting hot ids. Writing them is one job.
     """
     per_id = claims.groupBy("claim_id").agg(F.count(F.lit(1)).alias("n"))
     repeated = per_id.where(F.col("n") > 1).select(F.col("claim_id").alias("_id"))
-    found = repeated.limit(few + 1).count()
-    if found == 0:
-        return claims
-    if found > few:
-        return without_copies(claims)
-    ids = F.broadcast(repeated)
+    path = f"{shared_dir(claims.sparkSession)}/lossmetrics/repeated-{uuid.uuid4().hex}"
+    repeated.write.parquet(path)
+    ids = claims.sparkSession.read.schema(repeated.schema).parquet(path)
     same = F.col("claim_id").eqNullSafe(F.col("_id"))
     single = claims.join(ids, same, "left_anti")
     return single.unionByName(without_copies(claims.join(ids, same, "left_semi")))

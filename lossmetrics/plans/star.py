@@ -110,12 +110,12 @@ def measures(keyed: DataFrame, lag: Column) -> DataFrame:
     """Rename and derive the fact measures on keyed claims."""
     return keyed.withColumns(
         {
-            "severity_level": F.col("severity").cast("int"),
+            "severity_level": F.col("severity").try_cast("int"),
             "reserved_amount": F.col("reserve_amount"),
-            "days_to_report": lag.cast("int"),
+            "days_to_report": lag.try_cast("int"),
             "days_to_close": F.datediff("close_date", "incident_date"),
-            "repeat_event_flag": F.coalesce(F.col("repeat_event_flag"), F.lit(0)).cast("int"),
-            "litigation_flag": F.coalesce(F.col("litigation_flag"), F.lit(0)).cast("int"),
+            "repeat_event_flag": F.coalesce(F.col("repeat_event_flag"), F.lit(0)).try_cast("int"),
+            "litigation_flag": F.coalesce(F.col("litigation_flag"), F.lit(0)).try_cast("int"),
         }
     )
 

@@ -30,7 +30,7 @@ from lossmetrics.operators import (
     survival,
 )
 from lossmetrics.plans import cleaning, star
-from lossmetrics.plans.warehouse import Warehouse, build_dims, open_warehouse, sources_from_tpch
+from lossmetrics.plans.warehouse import Warehouse, build_dims, open_warehouse, sources_from_tpch, write_star
 from lossmetrics.session import shared_dir
 from lossmetrics.sources import csv, sinks, tpch
 
@@ -67,6 +67,58 @@ def _dimension_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.read_dimension(spark, folder, "providers").drop("specialty_id")
 
 
+def _cleaned_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = open_warehouse(spark, sf_dir)
+    path = sinks.write_cleaned({"claims": w.clean}, f"{export_folder(spark, sf_dir)}/cleaned")[0]
+    return sinks.read_back(spark, path, w.clean)
+
+
+def _report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The before/after table of the written quality report."""
+    w = open_warehouse(spark, sf_dir)
+    path = f"{export_folder(spark, sf_dir)}/report"
+    sinks.write_report(w.raw, sinks.quality_report(w.raw, w.clean, "at the end"), path)
+    line = spark.read.text(path).where(F.col("value").rlike(r"^\| .*\| [*]*[0-9,]+[*]* \| [*]*[0-9,]+[*]* \|$"))
+    number = lambda i: F.regexp_replace(F.regexp_extract("value", r"^\| (.*) \| (.*) \| (.*) \|$", i), "[*,]", "")
+    return line.select(number(1).alias("category"), number(2).cast("long").alias("before"), number(3).cast("long").alias("after"))
+
+
+def _sink(expected: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, str], str]) -> Query:
+    """An extract written by its sink and read back."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        claims = open_warehouse(spark, sf_dir).summary
+        return sinks.read_back(spark, write(claims, export_folder(spark, sf_dir)), expected(claims))
+
+    return run
+
+
+def _sheet(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        claims = open_warehouse(spark, sf_dir).summary
+        paths = sinks.bi_extract(claims, f"{export_folder(spark, sf_dir)}/bi_extract")
+        sheets = extracts.sheets(claims)
+        return sinks.read_back(spark, paths[list(sheets).index(name)], sheets[name])
+
+    return run
+
+
+def _star(spark: SparkSession, sf_dir: str):
+    """The full reload: dimensions, fact and summary as tables of their own."""
+    sources = sources_from_tpch(spark, sf_dir)
+    return write_star(open_warehouse(spark, sf_dir).raw, sources, f"{export_folder(spark, sf_dir)}/star")
+
+
+def _occurring(key: str, member: str, code: str) -> Query:
+    """Dimension members that occur in the clean claims."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        w = open_warehouse(spark, sf_dir)
+        return w.dims[key].join(w.clean.select(F.col(code).alias(member)).distinct(), member, "left_semi")
+
+    return run
+
+
 def _copies(raw: DataFrame) -> DataFrame:
     twice = raw.unionByName(raw)
     counted = twice.agg(F.count(F.lit(1)).alias("rows"))
@@ -141,8 +193,8 @@ def warehouse_queries() -> dict[str, Query]:
         ),
         "w1_dim_provider": _dim("provider_key"),
         "w2_dim_region": _dim("region_key"),
-        "w3_dim_diagnosis": _dim("diagnosis_key"),
-        "w4_dim_root_cause": _dim("root_cause_key"),
+        "w3_dim_diagnosis": _occurring("diagnosis_key", "diagnosis_code", "diagnosis_id"),
+        "w4_dim_root_cause": _occurring("root_cause_key", "root_cause_code", "root_cause_id"),
         "w5_fact_claim": with_warehouse(lambda w: star.fact_claim(w.clean, w.dims)),
         "w5_unmapped": with_warehouse(lambda w: star.unmapped_counts(w.clean, w.dims)),
         "w6_claims_summary": with_warehouse(lambda w: star.claims_summary(w.fact, w.dims)),
@@ -272,10 +324,18 @@ def page_queries() -> dict[str, Query]:
         "e2_provider_scorecard": on("summary", extracts.provider_scorecard),
         "e3_severity_sheet": on("summary", extracts.severity_sheet),
         "e4_state_summary": on("summary", extracts.state_summary),
-        "k3_claims_detail": on("summary", lambda s: extracts.sheets(s)["claims_detail"]),
-        "k4_loss_triangle": on("summary", lambda s: reserving.wide_triangle(s, 3).drop("segment")),
+        "k1_cleaned": _cleaned_round_trip,
+        "k2_report": _report_round_trip,
+        "k3_claims_detail": _sink(lambda s: s, sinks.claims_detail),
+        "k4_loss_triangle": _sink(lambda s: reserving.wide_triangle(s, sinks.development_years(s)).drop("segment"), sinks.loss_triangle),
+        "k5_monthly_metrics": _sink(extracts.monthly_metrics, sinks.monthly_metrics),
+        "k6_provider_scorecard": _sink(extracts.provider_scorecard, sinks.provider_scorecard),
+        "k7_severity_sheet": _sheet("severity_analysis"),
+        "k8_fact_table": lambda spark, sf_dir: _star(spark, sf_dir)[1],
+        "k8_summary_table": lambda spark, sf_dir: _star(spark, sf_dir)[2],
         "k9_triangle_download": on(
-            "summary", lambda s: reserving.wide_triangle(s, 3, prefix="dev_year_", masked=True).drop("segment")
+            "summary",
+            lambda s: reserving.wide_triangle(s, sinks.development_years(s), prefix="dev_year_", masked=True).drop("segment"),
         ),
         "k9_operations": on("summary", extracts.operations),
         "k9_scenario_summary": on("summary", extracts.scenario_summary),
@@ -321,9 +381,6 @@ def advanced_queries() -> dict[str, Query]:
     }
 
 
-# Boosted trees are fitted per class and round, so the registered comparison runs fewer rounds and trees than the
-# defaults of ``ml.severity`` (200 trees, 150 rounds).
-_TREES, _ROUNDS = 20, 2
 _fitted: dict[tuple, object] = {}
 
 
@@ -339,21 +396,12 @@ def fitted(name: str, make: Callable, read: Callable) -> Query:
     return lambda spark, sf_dir: read(once(spark, sf_dir, name, make))
 
 
-def _models(claims: DataFrame) -> severity.SeverityModels:
-    return severity.train(claims, trees=_TREES, rounds=_ROUNDS)
-
-
 def _scores(claims: DataFrame) -> DataFrame:
-    builders = {
-        severity.FOREST: lambda n: severity.forest(_TREES, 10),
-        severity.LOGISTIC: lambda n: severity.logistic(n, 100),
-        severity.BOOSTED: lambda n: severity.boosted(_ROUNDS, 3),
-    }
-    return evaluate.cross_validate(severity.prepare(claims), builders)
+    return evaluate.cross_validate(severity.prepare(claims), severity.builders())
 
 
 def _calibration(claims: DataFrame) -> DataFrame:
-    return evaluate.calibration(evaluate.fit_all(severity.prepare(claims), severity.logistic)[1])
+    return evaluate.calibrations(severity.prepare(claims), severity.builders())
 
 
 def _anomalies(claims: DataFrame):
@@ -385,7 +433,7 @@ def _predicted(name: str) -> Query:
     def read(models: severity.SeverityModels) -> DataFrame:
         return models.predictions[name].select("claim_id", "severity_level", (F.col("prediction") + 1).cast("int").alias("predicted"))
 
-    return fitted("severity", _models, read)
+    return fitted("severity", severity.train, read)
 
 
 def model_queries() -> dict[str, Query]:
@@ -399,13 +447,15 @@ def model_queries() -> dict[str, Query]:
         "m4_forest": _predicted(severity.FOREST),
         "m5_logistic": _predicted(severity.LOGISTIC),
         "m6_boosted": _predicted(severity.BOOSTED),
-        "m7_importances": fitted("severity", _models, lambda m: m.importances()),
-        "m8_report": fitted("severity", _models, lambda m: m.report(severity.FOREST)),
-        "m8_confusion": fitted("severity", _models, lambda m: m.confusion(severity.FOREST)),
+        "m7_importances": fitted("severity", severity.train, lambda m: m.importances()),
+        "m8_report": fitted("severity", severity.train, lambda m: m.report(severity.FOREST)),
+        "m8_confusion": fitted("severity", severity.train, lambda m: m.confusion(severity.FOREST)),
+        "m8_report_logistic": fitted("severity", severity.train, lambda m: m.report(severity.LOGISTIC)),
+        "m8_confusion_logistic": fitted("severity", severity.train, lambda m: m.confusion(severity.LOGISTIC)),
         "m8_report_fixed": on("summary", lambda s: evaluate.classification_report(_fixed_prediction(s))),
         "m8_confusion_fixed": on("summary", lambda s: evaluate.confusion(_fixed_prediction(s))),
         "m9_cross_validation": fitted("scores", _scores, lambda scores: scores),
-        "m10_calibration": on("summary", _calibration),
+        "m10_calibration": fitted("calibration", _calibration, lambda c: c),
         "m11_ranking": fitted("scores", _scores, evaluate.ranking),
         "m11_paired_test": fitted("scores", _scores, evaluate.paired_test),
         "m12_monthly_series": on("summary", forecast.monthly_series),

@@ -2,34 +2,27 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lossmetrics.sources import schemas
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path and spark.sparkContext.master.startswith("local"):
-        return os.path.exists(path)
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
-    # Columns are matched by header name, so their order in the file does not matter.
-    header = spark.read.option("header", True).csv(path).columns
-    ordered = [schema[c] if c in schema.names else None for c in header]
-    if all(ordered) and header != schema.names:
-        schema = type(schema)(ordered)
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .csv(path)
+    """Columns are matched by header name: their order does not matter, unknown ones are left out, missing ones are null."""
+    options = {"header": True, "mode": "PERMISSIVE", "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"', "multiLine": True}
+    header = spark.read.options(**options).csv(path).columns
+    found = spark.read.schema(StructType([StructField(c, StringType()) for c in header])).options(**options).csv(path)
+    named = {c.lstrip("\ufeff"): c for c in header}
+    return found.select(
+        *(F.col(f"`{named[c]}`").alias(c) if c in named else F.lit(None).cast("string").alias(c) for c in schema.names)
     )
 
 

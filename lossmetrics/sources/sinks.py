@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossmetrics import config
@@ -21,10 +21,17 @@ def write_csv(df: DataFrame, path: str, bom: bool = False) -> str:
     """CSV parts with a header, written in parallel; null is an empty field. ``bom`` marks the header as UTF-8."""
     if bom:
         df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
-    df.write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", '""').csv(path)
+    options = {"header": True, "nullValue": "", "emptyValue": '""', "quote": '"', "escape": '"'}
+    df.write.mode("overwrite").options(**options).csv(path)
     return path
 
 
+def read_back(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A written CSV folder with the columns and types of ``like``; columns are taken in order, as the header may hold a mark."""
+    options = {"header": True, "nullValue": "", "emptyValue": "", "quote": '"', "escape": '"', "multiLine": True}
+    return spark.read.schema(like.schema).options(**options).csv(path)
+
+
 def write_cleaned(tables: dict[str, DataFrame], folder: str) -> list[str]:
     """Every cleaned table as CSV."""
     return [write_csv(df, f"{folder}/{name}.csv") for name, df in tables.items()]
@@ -69,44 +76,57 @@ def export_all(claims: DataFrame, folder: str) -> list[str]:
     ]
 
 
+# Texts of the report.
+TITLE, SUMMARY, DETAIL = "# Data Quality Report", "## Summary", "## Issues Detail"
+COMPARISON = "## Before/After Comparison"
+NULLS = "## Column Null Counts (After Cleaning)"
+RANGES = "## Numeric Column Ranges (After Cleaning)"
+SUMMARY_LINES = (
+    "- Total records examined: {records:,}",
+    "- Issues found: {before:,}",
+    "- Issues resolved: {resolved:,}",
+    "- Issues remaining: {after:,}",
+    "- Cleaning time: {seconds:.2f}s",
+)
+
+
+def _table(title: str, header: list[str], rows: list[list[str]]) -> list[str]:
+    """A section with a table; nothing without rows."""
+    if not rows:
+        return []
+    line = lambda cells: "| " + " | ".join(cells) + " |"
+    rule = "|" + "|".join("-" * (len(cell) + 2) for cell in header) + "|"
+    return [title, line(header), rule, *map(line, rows), ""]
+
+
 def quality_report(
     raw: DataFrame, clean: DataFrame, generated: str, seconds: float = 0.0, as_of: datetime.date = config.AS_OF
 ) -> str:
     """Markdown report of a cleaning run: summary, issues, before/after, nulls and ranges."""
-    records = raw.count()
-    found = {r["category"]: r for r in quality.comparison(raw, clean, as_of).collect()}
-    overall = found.pop("Total")
-    lines = ["# Data Quality Report", f"Generated: {generated}", "", "## Summary"]
-    lines += [
-        f"- Total records examined: {records:,}",
-        f"- Issues found: {overall['before']:,}",
-        f"- Issues resolved: {overall['resolved']:,}",
-        f"- Issues remaining: {overall['after']:,}",
-        f"- Cleaning time: {seconds:.2f}s",
-        "",
-    ]
-    details = quality.issues(raw, as_of).orderBy("position").collect()
-    if details:
-        lines.append("## Issues Detail")
-    for issue in details:
-        category = issue["category"]
-        lines += [f"### {category}", f"- Found: {issue['issue_count']:,} records — {issue['description']}"]
-        if category in quality.ACTIONS:
-            lines.append(f"- Action: {quality.ACTIONS[category]}")
-        lines += [f"- Remaining: {found[category]['after'] if category in found else 0:,}", ""]
-    if found:
-        lines += ["## Before/After Comparison", "| Metric | Before | After |", "|--------|--------|-------|"]
-        lines += [f"| {c} | {r['before']:,} | {r['after']:,} |" for c, r in sorted(found.items())]
-        lines += [f"| **Total** | **{overall['before']:,}** | **{overall['after']:,}** |", ""]
-    nulls = quality.null_counts(clean).where(F.col("null_count") > 0).orderBy(F.desc("null_count"), "column_name").collect()
-    if nulls:
-        lines += ["## Column Null Counts (After Cleaning)", "| Column | Null Count |", "|--------|------------|"]
-        lines += [f"| {r['column_name']} | {r['null_count']:,} |" for r in nulls] + [""]
+    compared = {r["category"]: r for r in quality.comparison(raw, clean, as_of).collect()}
+    overall = compared.pop("Total")
+    facts = {"records": raw.count(), "seconds": seconds} | {c: overall[c] for c in ("before", "resolved", "after")}
+
+    def issue(row) -> list[str]:
+        action = quality.ACTIONS.get(row["category"])
+        left = compared[row["category"]]["after"] if row["category"] in compared else 0
+        lines = [f"### {row['category']}", f"- Found: {row['issue_count']:,} records — {row['description']}"]
+        return [*lines, *([f"- Action: {action}"] if action else []), f"- Remaining: {left:,}", ""]
+
+    issues = [line for row in quality.issues(raw, as_of).orderBy("position").collect() for line in issue(row)]
+    both = [[c, f"{r['before']:,}", f"{r['after']:,}"] for c, r in sorted(compared.items())]
+    total = [["**Total**", f"**{overall['before']:,}**", f"**{overall['after']:,}**"]] if both else []
+    nulls = quality.null_counts(clean).where("null_count > 0").orderBy(F.desc("null_count"), "column_name").collect()
     ranges = quality.numeric_ranges(clean).orderBy("column_name").collect()
-    if ranges:
-        lines += ["## Numeric Ranges (After Cleaning)", "| Column | Min | Max |", "|--------|-----|-----|"]
-        lines += [f"| {r['column_name']} | {r['min_value']:,.2f} | {r['max_value']:,.2f} |" for r in ranges] + [""]
-    return "\n".join(lines)
+    sections = [
+        [TITLE, f"Generated: {generated}", ""],
+        [SUMMARY, *(line.format(**facts) for line in SUMMARY_LINES), ""],
+        [DETAIL, *issues] if issues else [],
+        _table(COMPARISON, ["Metric", "Before", "After"], both + total),
+        _table(NULLS, ["Column", "Null Count"], [[r["column_name"], f"{r['null_count']:,}"] for r in nulls]),
+        _table(RANGES, ["Column", "Min", "Max"], [[r["column_name"], f"{r['min_value']:,.2f}", f"{r['max_value']:,.2f}"] for r in ranges]),
+    ]
+    return "\n".join(line for section in sections for line in section)
 
 
 def write_report(df: DataFrame, text: str, path: str) -> str:

@@ -113,9 +113,9 @@ def slow(factor: int) -> str:
 
 SQL = {
     "f1_monthly_by_type": S(
-        f"SELECT {M} AS incident_month, "
-        + ", ".join(f"count(*) FILTER (WHERE claim_type = '{t}') AS {t}" for t in CLAIM_TYPES)
-        + ", count(*) AS total FROM s GROUP BY 1"
+        f"""SELECT m.incident_month, t.claim_type, count(s.claim_id) AS claim_count, any_value(m.total) AS total
+        FROM (SELECT {M} AS incident_month, count(*) AS total FROM s GROUP BY 1) m CROSS JOIN (SELECT DISTINCT claim_type FROM s) t
+        LEFT JOIN s ON {M} = m.incident_month AND s.claim_type = t.claim_type GROUP BY 1, 2"""
     ),
     "f2_quarterly_counts": S(f"SELECT {Q} AS incident_quarter, count(*) AS claim_count FROM s GROUP BY 1"),
     "f3_yearly_counts": S(

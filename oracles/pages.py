@@ -208,3 +208,6 @@ SQL = {
         )
     ),
 }
+SQL["k5_monthly_metrics"] = SQL["e1_monthly_metrics"]
+SQL["k6_provider_scorecard"] = SQL["e2_provider_scorecard"]
+SQL["k7_severity_sheet"] = SQL["e3_severity_sheet"]

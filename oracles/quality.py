@@ -162,9 +162,12 @@ SQL = {
     "q16_audit": AUDIT,
     "w1_dim_provider": with_dims("SELECT * FROM dim_provider"),
     "w2_dim_region": with_dims("SELECT * FROM dim_region"),
-    "w3_dim_diagnosis": with_dims("SELECT * FROM dim_diagnosis"),
-    "w4_dim_root_cause": with_dims("SELECT * FROM dim_root_cause"),
+    "w3_dim_diagnosis": with_fact("SELECT * FROM dim_diagnosis WHERE diagnosis_code IN (SELECT diagnosis_id FROM clean)"),
+    "w4_dim_root_cause": with_fact("SELECT * FROM dim_root_cause WHERE root_cause_code IN (SELECT root_cause_id FROM clean)"),
     "w5_fact_claim": with_fact("SELECT * FROM fact"),
+    "k8_fact_table": with_fact("SELECT * FROM fact"),
+    "k8_summary_table": with_summary("SELECT * FROM s"),
+    "k1_cleaned": with_clean(f"SELECT {_cleaned} FROM clean"),
     "w5_unmapped": with_clean(
         """, d AS (SELECT count(*) AS n FROM clean) SELECT * FROM (VALUES ('provider', 0::BIGINT), ('region', 0::BIGINT),
         ('diagnosis', 0::BIGINT), ('root_cause', 0::BIGINT), ('dropped_rows', 0::BIGINT)) AS t(dimension, unmapped)"""
@@ -187,3 +190,4 @@ SQL = {
     "s2_read_dimension": with_dims("SELECT provider_id, specialty_name, department, risk_tier FROM providers"),
     "s3_read_summary": with_summary("SELECT claim_id, specialty, state_code, diagnosis_category, root_cause_category, loss_ratio FROM s"),
 }
+SQL["k2_report"] = f"""SELECT category, "before", "after" FROM ({SQL["q11_comparison"]})"""

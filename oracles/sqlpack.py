@@ -20,11 +20,9 @@ SQL = {
     "v1_claims_summary": with_summary("SELECT * FROM s"),
     "v2_monthly_metrics": with_summary(MONTHLY),
     "v3_loss_triangle": with_fact(
-        """SELECT a.accident_year, a.development_year, a.paid AS incremental_paid,
-        (SELECT round(sum(b.paid_amount), 2) FROM fact b WHERE b.accident_year = a.accident_year
-          AND b.development_year <= a.development_year) AS cumulative_paid, a.claim_count
-        FROM (SELECT accident_year, development_year, round(sum(paid_amount), 2) AS paid, count(*) AS claim_count
-          FROM fact GROUP BY 1, 2) a"""
+        """SELECT accident_year, development_year, round(sum(paid_amount), 2) AS incremental_paid, count(*) AS claim_count,
+        round(sum(sum(paid_amount)) OVER (PARTITION BY accident_year ORDER BY development_year), 2) AS cumulative_paid
+        FROM fact GROUP BY accident_year, development_year"""
     ),
     "v4_provider_scorecard": with_summary(SCORECARD),
     "a1_running_frequency": with_summary(
@@ -72,9 +70,9 @@ SQL = {
         CAST(sum(litigation_flag) AS BIGINT) AS litigation_count FROM s GROUP BY 1, 2 HAVING avg(severity_level) > 2.5"""
     ),
     "a10_diagnosis_pareto": with_summary(
-        """, r AS (SELECT diagnosis_category, count(*) AS claim_count, round(sum(paid_amount), 2) AS total_paid FROM s GROUP BY 1)
-        SELECT *, round(100.0::DOUBLE * sum(total_paid) OVER (ORDER BY total_paid DESC, diagnosis_category ROWS UNBOUNDED PRECEDING)
-        / sum(total_paid) OVER (), 2) AS cumulative_pct FROM r"""
+        """SELECT diagnosis_category, count(*) AS claim_count, round(sum(paid_amount), 2) AS total_paid,
+        round(sum(round(sum(paid_amount), 2)) OVER (ORDER BY round(sum(paid_amount), 2) DESC, diagnosis_category ROWS UNBOUNDED PRECEDING)
+        * 100.0::DOUBLE / sum(round(sum(paid_amount), 2)) OVER (), 2) AS cumulative_pct FROM s GROUP BY diagnosis_category"""
     ),
     "a11_lag_by_specialty": with_summary(
         """, r AS (SELECT specialty, days_to_report, row_number() OVER (PARTITION BY specialty ORDER BY days_to_report) AS rn,
@@ -101,16 +99,17 @@ SQL = {
     ),
     "a15_quality_audit": AUDIT,
     "a16_cohorts": with_fact(
-        """, t AS (SELECT accident_year, sum(paid_amount) AS u FROM fact GROUP BY 1),
-        d AS (SELECT accident_year, development_year, sum(paid_amount) AS p FROM fact GROUP BY 1, 2)
-        SELECT accident_year, development_year, round(p, 2) AS stage_paid, round(u, 2) AS ultimate_paid,
-        round(100.0::DOUBLE * p / nullif(u, 0), 2) AS pct_of_ultimate, round(100.0::DOUBLE * sum(p) OVER (PARTITION BY accident_year
-        ORDER BY development_year ROWS UNBOUNDED PRECEDING) / nullif(u, 0), 2) AS cumulative_pct FROM d JOIN t USING (accident_year)"""
+        """SELECT accident_year, development_year, round(paid, 2) AS stage_paid, round(whole, 2) AS ultimate_paid,
+        round(paid / nullif(whole, 0) * 100.0::DOUBLE, 2) AS pct_of_ultimate, round(upto / nullif(whole, 0) * 100.0::DOUBLE, 2) AS cumulative_pct
+        FROM (SELECT accident_year, development_year, sum(paid_amount) AS paid,
+          sum(sum(paid_amount)) OVER (PARTITION BY accident_year) AS whole,
+          sum(sum(paid_amount)) OVER (PARTITION BY accident_year ORDER BY development_year) AS upto
+          FROM fact GROUP BY accident_year, development_year)"""
     ),
     "a17_outliers": with_summary(
-        """, st AS (SELECT avg(paid_amount) AS m, avg(paid_amount * paid_amount) - avg(paid_amount) * avg(paid_amount) AS v FROM s),
-        th AS (SELECT m, sqrt(greatest(v, 0.0001::DOUBLE)) AS sd FROM st)
-        SELECT claim_id, paid_amount, severity_level, status, specialty, region, diagnosis_category, round(m, 2) AS population_mean,
-        round(m + 3 * sd, 2) AS upper_threshold, round((paid_amount - m) / sd, 2) AS z_score FROM s, th WHERE paid_amount > m + 3 * sd"""
+        """SELECT claim_id, paid_amount, severity_level, status, specialty, region, diagnosis_category, round(middle, 2) AS population_mean,
+        round(middle + 3 * spread, 2) AS upper_threshold, round((paid_amount - middle) / spread, 2) AS z_score
+        FROM s CROSS JOIN (SELECT avg(paid_amount) AS middle, greatest(stddev_pop(paid_amount), 0.01) AS spread FROM s)
+        WHERE paid_amount - middle > 3 * spread"""
     ),
 }

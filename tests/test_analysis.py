@@ -71,8 +71,11 @@ def test_frequency(make_claims, as_dict):
     )
     years = as_dict(frequency.yearly_counts(claims), "incident_year")
     assert years[2022]["yoy_change_pct"] is None and years[2023]["yoy_change_pct"] == 100.0
-    months = as_dict(frequency.monthly_by_type(claims), "incident_month")
-    assert months["2022-01"]["workers_comp"] == 1 and months["2022-01"]["medical_malpractice"] == 0
+    months = {(r["incident_month"], r["claim_type"]): (r["claim_count"], r["total"]) for r in frequency.monthly_by_type(claims).collect()}
+    assert months["2022-01", "workers_comp"] == (1, 1) and months["2022-01", "medical_malpractice"] == (0, 1)
+    assert len(months) == 6
+    other = make_claims([{"claim_type": "a sixth type"}, {"claim_type": "workers_comp"}])
+    assert {r["claim_type"]: r["claim_count"] for r in frequency.monthly_by_type(other).collect()} == {"a sixth type": 1, "workers_comp": 1}
     mix = as_dict(frequency.severity_distribution(claims), "severity_level")
     assert mix[1]["percentage"] == 33.33 and mix[1]["median_severity"] == 2.0
 

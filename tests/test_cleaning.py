@@ -69,9 +69,18 @@ def test_clean_claims(dirty_28, measured):
     assert max(r["paid_amount"] or 0 for r in rows) == 5e6
 
 
-def test_measured_removal_falls_back_to_full_shuffle(dirty_28):
-    few = cleaning.without_copies_measured(dirty_28, few=1)
-    assert few.count() == 30
+def test_measured_removal_without_broadcast(spark, dirty_28):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = cleaning.without_copies_measured(dirty_28)
+        assert sorted(map(str, found.collect())) == sorted(map(str, cleaning.without_copies(dirty_28).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_severity_of_fractions_and_large_numbers(spark):
+    df = spark.createDataFrame([("3",), ("2.7",), ("1e12",), ("4.0",), ("five",), ("x",)], "severity string")
+    assert [r[0] for r in df.select(cleaning.severity_number("severity")).collect()] == [3, None, None, 4, 5, None]
 
 
 def test_measured_removal_with_null_ids_and_hot_copies(make_raw):

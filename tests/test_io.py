@@ -27,6 +27,25 @@ def test_raw_folder(spark, tmp_path):
     assert (provider["provider_id"], provider["specialty_name"], provider["department"]) == ("007", "NA", None)
 
 
+def test_columns_are_bound_by_name(spark, tmp_path):
+    """An unknown column is left out, a missing one is null, order does not matter, and quotes are doubled."""
+    (tmp_path / "claims.csv").write_text(
+        'severity,notes,paid_amount,claim_id,claim_type\n2.7,hello,5,A,"a ""b"", c\nd"\n1e12,"x,y",6,B,\n', encoding="utf-8"
+    )
+    rows = csv.read_claims(spark, str(tmp_path)).orderBy("claim_id").collect()
+    assert [(r["claim_id"], r["paid_amount"], r["severity"], r["claim_type"]) for r in rows] == [("A", "5", "2.7", 'a "b", c\nd'), ("B", "6", "1e12", None)]
+    assert rows[0]["incident_date"] is None and "notes" not in rows[0].asDict()
+    clean = {r["claim_id"]: r for r in cleaning.clean_claims(csv.read_claims(spark, str(tmp_path))).collect()}
+    assert clean["A"]["severity"] is None and clean["B"]["severity"] is None
+
+
+def test_quotes_survive_a_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("1", 'say "no", then\nleave'), ("2", "back\\slash"), ("3", None)], "claim_id string, claim_type string")
+    sinks.write_csv(df, f"{tmp_path}/claims.csv")
+    back = {r["claim_id"]: r["claim_type"] for r in csv.read_claims(spark, str(tmp_path)).collect()}
+    assert back == {"1": 'say "no", then\nleave', "2": "back\\slash", "3": None}
+
+
 def test_round_trip_cleans_to_the_same_rows(spark, dirty_28, tmp_path):
     sinks.write_csv(dirty_28, f"{tmp_path}/claims.csv")
     back = csv.read_claims(spark, str(tmp_path))
@@ -52,6 +71,7 @@ def test_report(spark, dirty_28, tmp_path):
     text = sinks.quality_report(dirty_28, cleaning.clean_claims(dirty_28), "2024-01-01 00:00:00", 1.5)
     assert "- Total records examined: 31" in text and "### Swapped Dates" in text
     assert "- Action: Mapped text labels to integers 1-5" in text and "| **Total** | **" in text
+    assert "## Numeric Column Ranges (After Cleaning)" in text and "## Before/After Comparison" in text
     assert "## Column Null Counts (After Cleaning)" in text and "| paid_amount | 1.00 | 5,000,000.00 |" in text
     sinks.write_report(dirty_28, text, f"{tmp_path}/report.md")
     assert "\n".join(r[0] for r in spark.read.text(f"{tmp_path}/report.md").collect()) == text

@@ -32,6 +32,11 @@ def book(make_claims):
     return make_claims(rows).repartition(4).cache()
 
 
+def _small(*names):
+    found = severity.builders(trees=10, depth=6, iterations=50, rounds=2)
+    return {name: found[name] for name in names}
+
+
 def test_valid_claims(make_claims):
     claims = make_claims([{"status": "Closed"}, {"status": "open"}, {"status": "closed", "severity_level": 6}, {"status": "closed", "severity_level": None}])
     assert [r["claim_id"] for r in features.valid_claims(claims).collect()] == ["C0"]
@@ -74,7 +79,7 @@ def test_hash_slices_with_many_rows_per_slice(spark, monkeypatch):
 
 
 def test_training_learns_from_paid(book):
-    models = severity.train(book, (severity.FOREST, severity.LOGISTIC), trees=10, depth=6, iterations=50)
+    models = severity.train(book, _small(severity.FOREST, severity.LOGISTIC))
     for name in (severity.FOREST, severity.LOGISTIC):
         accuracy = models.report(name).where("row = 'accuracy'").first()["precision"]
         assert accuracy > 0.6
@@ -87,7 +92,7 @@ def test_training_learns_from_paid(book):
 
 
 def test_boosted_predicts_all_classes(book):
-    models = severity.train(book, (severity.BOOSTED,), rounds=2)
+    models = severity.train(book, _small(severity.BOOSTED))
     assert models.report(severity.BOOSTED).where("row = 'accuracy'").first()["precision"] > 0.5
 
 
