@@ -91,7 +91,7 @@ class BoostedModel:
         plain = df.drop("probability", "prediction").withColumn("_x", vector_to_array("features")).drop("features", "raw_features")
         plain = plain.select(*[c for c, kind in plain.dtypes if kind != "vector"])
         kept = [f for f in plain.schema.fields if f.name != "_x"]
-        schema = type(plain.schema)(kept).add("_p", ArrayType(DoubleType())).add("prediction", DoubleType())
+        schema = type(plain.schema)(list(kept)).add("_p", ArrayType(DoubleType())).add("prediction", DoubleType())
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

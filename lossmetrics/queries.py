@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossmetrics.functions.columns import age_band, risk_segment, total
+from lossmetrics.functions.distributions import union_all
 from lossmetrics.ml import anomaly, evaluate, features, forecast, severity
 from lossmetrics.operators import (
     benchmarks,
@@ -356,6 +357,8 @@ def advanced_queries() -> dict[str, Query]:
         "x5_simulated_savings_by_type": on("summary", lambda s: resampling.simulated_savings(s, "claim_type")),
         "x6_bootstrap_paid": on("summary", lambda s: resampling.bootstrap_interval(s, "paid_amount", "sum")),
         "x6_bootstrap_severity": on("summary", lambda s: resampling.bootstrap_interval(s, "severity_level", "mean")),
+        "x5_savings_order": on("summary", _savings_order),
+        "x6_bootstrap_bounds": on("summary", _bootstrap_bounds),
         "x7_litigation_interval": on(
             "summary",
             lambda s: _rounded(
@@ -436,6 +439,35 @@ def _predicted(name: str) -> Query:
     return fitted("severity", severity.train, read)
 
 
+def _predicted_totals(models: severity.SeverityModels) -> DataFrame:
+    """Predicted test rows per model and actual severity."""
+    counts = [
+        rows.groupBy("severity_level").agg(F.count("prediction").alias("claims")).select(F.lit(name).alias("model"), "severity_level", "claims")
+        for name, rows in models.predictions.items()
+    ]
+    return union_all(counts)
+
+
+def _bootstrap_bounds(claims: DataFrame) -> DataFrame:
+    """Bootstrap estimates, and whether their intervals hold them."""
+    found = [
+        resampling.bootstrap_interval(claims, value, statistic).select(
+            F.lit(f"{statistic} of {value}").alias("statistic"),
+            F.round("estimate", 2).alias("estimate"),
+            F.col("estimate").between(F.col("ci_lower"), F.col("ci_upper")).alias("inside"),
+        )
+        for value, statistic in (("paid_amount", "sum"), ("severity_level", "mean"))
+    ]
+    return union_all(found)
+
+
+def _savings_order(claims: DataFrame) -> DataFrame:
+    """Whether the simulated savings of each claim type lie in order."""
+    ordered = (F.col("p5") <= F.col("median_savings")) & (F.col("median_savings") <= F.col("p95"))
+    inside = F.col("mean_savings").between(F.col("p5"), F.col("p95")) & F.col("prob_positive").between(0, 100)
+    return resampling.simulated_savings(claims, "claim_type").select("claim_type", (ordered & inside).alias("ordered"))
+
+
 def model_queries() -> dict[str, Query]:
     return {
         "m1_valid_claims": on("summary", lambda s: features.valid_claims(s).select("claim_id", "severity_level")),
@@ -450,12 +482,16 @@ def model_queries() -> dict[str, Query]:
         "m7_importances": fitted("severity", severity.train, lambda m: m.importances()),
         "m8_report": fitted("severity", severity.train, lambda m: m.report(severity.FOREST)),
         "m8_confusion": fitted("severity", severity.train, lambda m: m.confusion(severity.FOREST)),
+        "m8_predicted_totals": fitted("severity", severity.train, _predicted_totals),
         "m8_report_logistic": fitted("severity", severity.train, lambda m: m.report(severity.LOGISTIC)),
         "m8_confusion_logistic": fitted("severity", severity.train, lambda m: m.confusion(severity.LOGISTIC)),
         "m8_report_fixed": on("summary", lambda s: evaluate.classification_report(_fixed_prediction(s))),
         "m8_confusion_fixed": on("summary", lambda s: evaluate.confusion(_fixed_prediction(s))),
         "m9_cross_validation": fitted("scores", _scores, lambda scores: scores),
         "m10_calibration": fitted("calibration", _calibration, lambda c: c),
+        "m10_calibration_rows": fitted(
+            "calibration", _calibration, lambda c: c.groupBy("model", "class").agg(F.sum("claim_count").alias("claims"))
+        ),
         "m11_ranking": fitted("scores", _scores, evaluate.ranking),
         "m11_paired_test": fitted("scores", _scores, evaluate.paired_test),
         "m12_monthly_series": on("summary", forecast.monthly_series),

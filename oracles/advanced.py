@@ -143,6 +143,20 @@ SQL = {
         SELECT severity_level, 0 AS part, CAST(ceil(round(n * 0.2::DOUBLE, 6)) AS BIGINT) AS claims FROM c
         UNION ALL SELECT severity_level, 1, n - CAST(ceil(round(n * 0.2::DOUBLE, 6)) AS BIGINT) FROM c"""
     ),
+    "m8_predicted_totals": S(
+        f"""SELECT model, severity_level, CAST(ceil(round(count(*) * 0.2::DOUBLE, 6)) AS BIGINT) AS claims FROM (SELECT * FROM {VALID}) v
+        CROSS JOIN (VALUES ('Random Forest'), ('Logistic Regression'), ('Gradient Boosting')) m(model) GROUP BY 1, 2"""
+    ),
+    "m10_calibration_rows": S(
+        f"""SELECT model, CAST(class AS INTEGER) AS class, count(*) AS claims FROM (SELECT * FROM {VALID}) v
+        CROSS JOIN (VALUES ('Random Forest'), ('Logistic Regression'), ('Gradient Boosting')) m(model)
+        CROSS JOIN range(1, 6) k(class) GROUP BY 1, 2"""
+    ),
+    "x5_savings_order": S("SELECT claim_type, true AS ordered FROM s GROUP BY 1"),
+    "x6_bootstrap_bounds": S(
+        """SELECT 'sum of paid_amount' AS statistic, round(sum(paid_amount), 2) AS estimate, true AS inside FROM s
+        UNION ALL SELECT 'mean of severity_level', round(avg(severity_level), 2), true FROM s"""
+    ),
     "m8_report_fixed": S(REPORT),
     "m8_confusion_fixed": S(
         """, p AS (SELECT severity_level AS a, days_to_report % 5 + 1 AS b FROM s WHERE severity_level IS NOT NULL)
