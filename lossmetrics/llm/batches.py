@@ -26,6 +26,8 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int = BLOCK_BY
             held += size
         if batch.num_rows > start:
             yield batch.slice(start)
+        del batch
+        pa.default_memory_pool().release_unused()  # a worker lives on after its task, beside the executor's heap
 
 
 def _sizes(array: pa.Array) -> np.ndarray:

@@ -28,7 +28,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField
 from lossmetrics.llm.batches import assemble, blocks, with_fields
 
 #: Words kept per Python worker before the cache starts anew.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 150_000
 _NEVER = 1 << 60
 #: Control characters that str.split() takes for white space and the vocabulary's pattern does not.
 _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -60,7 +60,6 @@ class Vocabulary:
         found = sorted(self.specials, key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, found)) + ")") if found else None
         self.ids = {self._inner(t): i for t, i in model["vocab"].items()}
-        self.names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.specials.items()}
         self.alphabet = byte_alphabet()
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         self.rank: dict[tuple[str, str], int] = {}
@@ -116,7 +115,7 @@ class Vocabulary:
         """Whether the encoding of the two tokens' text is these two tokens."""
         known = self._fits.get((a, b))
         if known is None:
-            if len(self._fits) > 4 * CACHE_WORDS:
+            if len(self._fits) > CACHE_WORDS:
                 self._fits.clear()
             known = self._fits[a, b] = not self._joined(a, b, _NEVER)
         return known
@@ -164,6 +163,9 @@ class Vocabulary:
             out[coded[text]] = found
         return out
 
+    def forget(self) -> None:
+        self._fits.clear()
+
     def words_of(self, chunk: str) -> list[str]:
         """The words of a run of text without white space, normalised."""
         plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
@@ -196,6 +198,11 @@ class Encoder:
             found += ["\n" + piece] if k % 2 else self._runs(piece)  # no run holds white space
         return found, True
 
+    def forget(self) -> None:
+        """Drop what was learnt: a worker lives on after its task, beside the executor's heap."""
+        self.packed.clear()
+        self.vocabulary.forget()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of every text as packed 32-bit integers."""
         if len(self.packed) > CACHE_WORDS:
@@ -243,6 +250,7 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
             kind = pa.list_(pa.field("element", pa.int32(), nullable=False))
             lists = pa.ListArray.from_arrays(pa.array(ends), values, type=kind)
             yield assemble(block, schema, {ids: lists})
+        encoder.forget()
 
     return df.mapInArrow(run, schema)
 
@@ -253,7 +261,8 @@ def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", decoded: str =
     schema = with_fields(df, [StructField(decoded, StringType(), False)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = _encoder(definition.value).vocabulary.names
+        spec = json.loads(definition.value)
+        names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
         table = np.array([names.get(i) for i in range(max(names) + 1)], dtype=object)
         for block in blocks(batches, ids):
             texts = []

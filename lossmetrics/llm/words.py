@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Text handled at once; small enough that the arrays of a block stay near the processor.
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
