@@ -9,7 +9,7 @@ linear, a trained model is one number per bucket, and scoring reads every text o
 
 Defined cases: a null or empty text has no feature and gets the score of the bias; null ids and labels are not learnt from;
 an id labelled more than once counts with its lowest label; without labels of both classes the bias alone decides
-(0.5 without any); repeated rows score alike; an existing column of the result's name is replaced.
+(0.5 without any); equal texts score alike, wherever they stand; an existing column of the result's name is replaced.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def features(block: Block, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     where = np.repeat(np.arange(block.texts), np.diff(block.bounds))
     for n in WINDOWS:
         starts = np.arange(0, max(0, len(block.symbols) - n + 1))
-        # Windows without white space but for their two borders; a text ends with a line feed.
+        # Windows without white space but for their two borders; a text starts with its own line feed.
         middle = blank[starts + n - 1] - blank[starts + 1] == 0
         starts = starts[middle]
         owners.append(where[starts])

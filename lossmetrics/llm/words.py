@@ -38,10 +38,10 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """The symbols of some texts, one after another with a line feed behind each, and where their words are."""
+    """The symbols of some texts, one after another with a line feed before each and behind the last, and where their words are."""
 
     def __init__(self, texts: list[str | None], code_points: bool = False, lower_ascii: bool = False):
-        joined = "\n".join([*(t or "" for t in texts), ""])
+        joined = "\n".join(["", *(t or "" for t in texts), ""])
         if code_points:
             self.symbols = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
             lengths = [len(t or "") + 1 for t in texts]

@@ -244,6 +244,18 @@ def test_classifier_is_repeatable_and_takes_one_class():
     assert classifier.fit([], np.zeros(0, int), 64).scores([None, "x"]).tolist() == [0.5, 0.5]
 
 
+def test_classifier_scores_a_text_alike_wherever_it_stands():
+    model = classifier.Model(np.random.default_rng(3).uniform(-9, 9, 1 << 16).astype(np.float32), 0.1)
+    texts = ["hello there", "", None, "a", "\n", " b", "été \U0001f600", "the end\n"]
+    alone = [model.scores([t])[0] for t in texts]
+    assert alone[1] == alone[2] == alone[4] == 1 / (1 + np.exp(-0.1))
+    for before in texts:
+        for text, score in zip(texts, alone):
+            assert model.scores([before, text])[1] == score and model.scores([text, before])[0] == score
+    owner, _ = classifier.features(classifier.Block(["", "ab c", ""], code_points=True), 64)
+    assert owner.tolist() == [1] * 7  # two words, their pair, and the windows "\nab", "ab ", " c\n", "\nab "
+
+
 @pytest.mark.parametrize("name", ["op1_bpe", "op2_quality_rules", "op3_spotsigs", "op9_ngram_jaccard", "op10_quality_classifier"])
 def test_empty_tables(spark, empty, name):
     assert queries.registry()[name](spark, empty).count() == 0
