@@ -5,7 +5,14 @@ templates' words are counted over all files; a word of no template counts as occ
 when they hold a word without which no template reaches the threshold: for each template the shortest list of its heaviest
 words whose absence leaves less than the threshold. That filter loses nothing.
 
-A file with a matching line has that license. A file without one takes the license of a licence file (``LICENSE``,
+Files that hold one of a few licence words are read more closely, with dampened term counts: the whole file is compared with
+full licence texts, and joined passages (2 to 20 lines from each line with such a word, or from the line before it) with
+headers, short texts and statements, so that wrapped statements count. A full text goes before passages and lines.
+
+Near variants resemble each other, so a match also has to hold its licence's deciding words, as its version, and none of
+those of another variant; a line that names a licence or version of no template gets none.
+
+A file with a match has that license. A file without one takes the license of a licence file (``LICENSE``,
 ``COPYING``, ``NOTICE``) in its directory or the nearest one above. Directories, not files, are joined with their ancestors.
 
 Everything is DataFrame functions. The driver gets the heaviest words of the templates, no more than the templates have.
@@ -17,6 +24,9 @@ all come back; an empty table gives an empty table; columns named like a result
 
 from __future__ import annotations
 
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,13 +39,69 @@ TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
     ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+_GNU = (
+    "This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} General Public License as published by "
+    "the Free Software Foundation, either version {2} of the License, or (at your option) any later version."
+)
+#: Headers that span lines.
+HEADERS = (
+    ("AGPL-3.0", _GNU.format("program", "Affero", "3")),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("GPL-2.0", _GNU.format("program", "", "2")),
+    ("GPL-3.0", _GNU.format("program", "", "3")),
+    ("LGPL-2.1", _GNU.format("library", "Lesser", "2.1")),
+    ("LGPL-3.0", _GNU.format("library", "Lesser", "3")),
+)
+_V2, _V3, _V21 = (rf"\b(version |v ?|[al]?gpl ?v?){n}\b(?! ?{no})" for n, no in (("2", "1"), ("3", "[1-9]"), ("2 1", "[0-9]")))
+_CC = r"\b(nc|nd|sa|noncommercial|noderivatives|noderivs|sharealike)\b"
+#: License to (pattern that its statements and headers hold, pattern that they do not hold), over words joined by spaces.
+DECIDING = {
+    "AGPL-3.0": (rf"\b(affero|agpl\w*)\b.*?{_V3}|\bagpl ?v?3\b", ""),
+    "Apache-2.0": (r"\bapache\b.*\b(version |v)?2( 0)?\b", r"\bapache license version 1\b"),
+    "BSD-2-Clause": ("", r"\bendorse or promote\b|\backnowledge?ment\b"),
+    "BSD-3-Clause": (r"\bbsd style\b|\bendorse or promote\b", r"\b(2|4|two|four) clause\b"),
+    "CC-BY-4.0": (r"\b4 0\b", _CC),
+    "CC-BY-NC-4.0": (r"\bnc 4 0\b", r"\b(nd|sa)\b"),
+    "CC-BY-NC-ND-4.0": (r"\bnc nd 4 0\b", ""),
+    "CC-BY-NC-SA-4.0": (r"\bnc sa 4 0\b", ""),
+    "CC-BY-ND-4.0": (r"\bby nd 4 0\b", ""),
+    "CC-BY-SA-4.0": (r"\bby sa 4 0\b", ""),
+    "GPL-2.0": (_V2, r"\b(affero|lesser|library general|lgpl\w*|agpl\w*)\b"),
+    "GPL-3.0": (_V3, r"\b(affero|lesser|library general|lgpl\w*|agpl\w*)\b"),
+    "ISC": (r"\bprovided that the above copyright notice\b", ""),
+    "LGPL-2.1": (rf"\b(lesser|lgpl\w*)\b.*?{_V21}", ""),
+    "LGPL-3.0": (rf"\b(lesser|lgpl\w*)\b.*?{_V3}", ""),
+    "MIT": (r"\bmit\b|\bpermission notice shall be included\b", r"\bmit 0\b|\bno attribution\b"),
+    "MPL-2.0": (r"\bmozilla\b.*\b(version |v ?)?2( 0)?\b", ""),
+}
+#: The same for whole files, where other licences are only mentioned.
+DECIDING_WHOLE = {
+    "BSD-2-Clause": DECIDING["BSD-2-Clause"],
+    "BSD-3-Clause": (r"\bendorse or promote\b", r"\badvertising materials\b"),
+    "GPL-3.0": ("", r"\bremote network interaction\b"),
+    "ISC": DECIDING["ISC"],
+    "MIT": (r"\bpermission notice shall be included\b", ""),
+}
+#: A file without any of these is compared by single lines only; every header and text holds some.
+LICENCE_WORDS = ("apache", "copying", "copyright", "copyrights", "gpl", "licence", "license", "licensed", "licenses", "permission", "permitted", "redistribute", "redistribution", "redistributions", "warranties", "warranty")
+PASSAGES = (2, 3, 4, 6, 9, 14, 20)
+SHORT = 400
 LICENSE_FILES = ("COPYING", "LICENSE", "NOTICE")
 RESULTS = ["license", "basis", "cosine"]
 
@@ -44,6 +110,21 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
+@cache
+def texts() -> tuple[tuple[str, str], ...]:
+    """(license, full text) of the texts beside this module, with those of few words."""
+    return tuple((file.stem, file.read_text(encoding="utf-8")) for file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")))
+
+
+def _decided(name: Column, words: Column, deciding: dict[str, tuple[str, str]]) -> Column:
+    """Whether joined words hold the deciding words of the license ``name`` and none of another variant."""
+    out = F.lit(True)
+    for license, (held, barred) in deciding.items():
+        fits = (words.rlike(held) if held else F.lit(True)) & (~words.rlike(barred) if barred else F.lit(True))
+        out = F.when(name == license, fits).otherwise(out)
+    return out
+
+
 def _counts(words: str, *keys: str):
     """Frames of (keys, ``term``, ``tf``) from rows with a list of words."""
     return lambda df: df.select(*keys, F.explode(words).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
@@ -86,16 +167,58 @@ def own_licenses(files: DataFrame, key: str, text: str, templates=TEMPLATES, thr
     lines = files.select(F.col(key), F.posexplode(F.split(whole, "\n")).alias("line", "body")).withColumn("words", _words(F.col("body")))
     lines = lines.where(F.arrays_overlap("words", needed))
     tf = _counts("words", key, "line")(lines)
+    said = lines.groupBy(key, "line").agg(F.array_join(F.first("words"), " ").alias("said"))
     valued = tf.join(F.broadcast(idf), "term", "left").join(F.broadcast(idf.agg(F.max("rare").alias("most"))))
     valued = valued.withColumn("weight", F.col("tf") * F.coalesce("idf", "most")).select(key, "line", "term", "weight")
     norms = valued.groupBy(key, "line").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     dots = valued.join(F.broadcast(weights.withColumnRenamed("weight", "unit")), "term").groupBy(key, "line", "template")
     dots = dots.agg(F.sum(F.col("weight") * F.col("unit")).alias("dot"))
     scored = dots.join(norms, [key, "line"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9))
-    best = scored.where(F.col("cosine") >= threshold).groupBy(key).agg(F.min(F.struct(-F.col("cosine"), "template")).alias("best"))
+    scored = scored.where(F.col("cosine") >= threshold).join(said, [key, "line"]).where(_decided(F.col("template"), F.col("said"), DECIDING))
+    best = scored.groupBy(key).agg(F.min(F.struct(-F.col("cosine"), "template")).alias("best"))
     return best.select(key, F.col("best.template").alias("own"), (-F.col("best.col1")).alias("cosine"))
 
 
+def _dampened(df: DataFrame, words: str, *keys: str) -> DataFrame:
+    return _counts(words, *keys)(df).withColumn("tf", 1 + F.log("tf"))
+
+
+def long_licenses(files: DataFrame, key: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
+    """(``key``, ``whole``, ``own``, ``cosine``) of the rows whose whole text or joined lines match; ``whole`` is 0 for a full text."""
+    spark = files.sparkSession
+    full = [(f"{k}|{name}|0", body) for k, (name, body) in enumerate(texts())]
+    brief = [(name, body) for name, body in texts() if len(body.split()) <= SHORT]
+    parts = [(f"{k}|{name}|1", body) for k, (name, body) in enumerate([*TEMPLATES, *HEADERS, *brief])]
+    given = spark.createDataFrame([*full, *parts], "template string, body string").select("template", _words(F.col("body")).alias("words"))
+    near = files.select(key, F.coalesce(text, F.lit("")).alias("text")).withColumn("words", _words(F.col("text")))
+    near = near.where(F.arrays_overlap("words", F.lit(list(LICENCE_WORDS)))).dropDuplicates([key])
+    near = written(near, "near")
+    rows = F.transform(F.split("text", "\n"), _words)
+    marked = F.filter(F.sequence(F.lit(1), F.size("rows")), lambda i: F.arrays_overlap(F.get("rows", i - 1), F.lit(list(LICENCE_WORDS))))
+    starts = F.array_distinct(F.flatten(F.transform(marked, lambda i: F.array(F.greatest(i - 1, F.lit(1)), i))))
+    passages = near.withColumn("rows", rows).select(key, "rows", F.explode(starts).alias("start"))
+    passages = passages.select(key, "start", F.explode(F.lit(list(PASSAGES))).alias("size"), "rows")
+    passages = passages.select(key, (F.col("start") * 32 + F.col("size")).alias("unit"), F.flatten(F.slice("rows", F.col("start"), F.col("size"))).alias("words"))
+    units = near.select(key, F.lit(0).alias("unit"), "words").unionByName(passages).where(F.size("words") > 0)
+    units = written(units, "units")
+    # Weights: documents that hold a word, over all files; of other words than those of templates, none.
+    _, idf = vectors(files, spark, text, tuple((name, body) for name, body in [*full, *parts]))
+    raw = _dampened(given, "words", "template").join(F.broadcast(idf), "term").withColumn("weight", F.col("tf") * F.col("idf"))
+    size = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("template")))
+    unit = written(raw.select("template", "term", (F.col("weight") / size).alias("share")), "long")
+    valued = _dampened(units, "words", key, "unit").join(F.broadcast(idf), "term", "left").join(F.broadcast(idf.agg(F.max("rare").alias("most"))))
+    valued = valued.withColumn("weight", F.col("tf") * F.coalesce("idf", "most"))
+    norms = valued.groupBy(key, "unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    kind = F.substring_index("template", "|", -1) == F.when(F.col("unit") == 0, "0").otherwise("1")
+    dots = valued.join(F.broadcast(unit), "term").where(kind).groupBy(key, "unit", "template").agg(F.sum(F.col("weight") * F.col("share")).alias("dot"))
+    scored = dots.join(norms, [key, "unit"]).withColumn("cosine", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("cosine") >= threshold)
+    scored = scored.join(units.select(key, "unit", F.array_join("words", " ").alias("said")), [key, "unit"])
+    name, whole = F.split("template", r"\|")[1], (F.col("unit") != 0).cast("int")
+    fits = F.when(whole == 0, _decided(name, F.col("said"), DECIDING_WHOLE)).otherwise(_decided(name, F.col("said"), DECIDING))
+    best = scored.where(fits).groupBy(key).agg(F.min(F.struct(whole.alias("whole"), (-F.col("cosine")).alias("less"), name.alias("own"))).alias("b"))
+    return best.select(key, F.col("b.whole").alias("whole"), F.col("b.own").alias("own"), (-F.col("b.less")).alias("cosine"))
+
+
 def _folder(path: str) -> Column:
     """Directory of a path; empty at the top."""
     return F.regexp_replace(F.col(path), r"(^|/)[^/]*$", "")
@@ -104,7 +227,11 @@ def _folder(path: str) -> Column:
 def scan(files: DataFrame, path: str = "path", text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``files`` without its text, with ``license``, ``basis`` (header, licence file or inherited) and ``cosine``."""
     rows = files.drop(*RESULTS).withColumn("__row", F.xxhash64(path, text))
-    own = own_licenses(rows.select("__row", text), "__row", text, templates, threshold)
+    own = own_licenses(rows.select("__row", text), "__row", text, templates, threshold).withColumn("whole", F.lit(1))
+    if templates is TEMPLATES:
+        own = own.unionByName(long_licenses(rows.select("__row", text), "__row", text, threshold))
+    own = own.groupBy("__row").agg(F.min(F.struct("whole", (-F.col("cosine")).alias("less"), "own")).alias("b"))
+    own = own.select("__row", F.col("b.own").alias("own"), (-F.col("b.less")).alias("cosine"))
     own = written(own, "own")
     light = rows.drop(text).join(own, "__row", "left").withColumn("__folder", _folder(path))
     name = F.substring_index(path, "/", -1)

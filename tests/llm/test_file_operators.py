@@ -184,6 +184,38 @@ def test_license_inheritance(spark):
     })
 
 
+GPL_HEADER = """# {0} is free software: you can redistribute it and/or modify
+# it under the terms of the GNU {1}General Public License as published by
+# the Free Software Foundation, either version {2} of the License, or
+# (at your option) any later version.
+x = 1"""
+
+
+def test_license_texts_headers_and_variants(spark):
+    full = dict(licenses.texts())
+    first = lambda name, n: "\n".join(full[name].splitlines()[:n])
+    want = {f"{name}/LICENSE": (body, name) for name, body in full.items()}
+    want |= {
+        "mit/LICENSE": ("Copyright (c) 2020 Some Body\n\n" + full["MIT"], "MIT"),
+        "mit/no/title.py": (None, "MIT"),
+        "code/mit.c": ("/*\n * " + full["MIT"].replace("\n", "\n * ") + "*/\nint main() { return 0; }\n" * 30, "MIT"),
+        "code/isc.c": ("// " + first("ISC", 3).replace("\n", "\n// ") + "\nint x;", "ISC"),
+        "apache/LICENSE": ("Apache License\nVersion 2.0, January 2004\nhttp://www.apache.org/licenses/", "Apache-2.0"),
+        "code/gpl3.py": (GPL_HEADER.format("This program", "", "3"), "GPL-3.0"),
+        "code/gpl2.py": (GPL_HEADER.format("This program", "", "2"), "GPL-2.0"),
+        "code/agpl.py": (GPL_HEADER.format("This program", "Affero ", "3"), "AGPL-3.0"),
+        "code/lgpl.py": (GPL_HEADER.format("This library", "Lesser ", "2.1"), "LGPL-2.1"),
+        "one/a": ("GNU General Public License, version 2", "GPL-2.0"),
+        "one/b": ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+        "one/c": ("Licensed under CC BY 3.0.", None),
+        "one/d": ("This work is licensed under\nthe GNU General Public\nLicense, version 3.", "GPL-3.0"),
+        "one/e": ("a story of the permission to sell copies of the house\nand of the river", None),
+    }
+    df = spark.createDataFrame([(p, t) for p, (t, _) in want.items()], "path string, text string")
+    got = {r["path"]: r["license"] for r in licenses.scan(df).collect()}
+    assert got == {p: name for p, (_, name) in want.items()}
+
+
 def test_resharding_query(spark, awkward, texts):
     got = collect(queries.registry()["op8_resharding"](spark, awkward), "doc_id")
     sizes = defaultdict(int)
