@@ -48,7 +48,7 @@ def ngram_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     words, owner = block.word_hashes(), block.owner
     found = np.zeros(max(0, len(words) - n + 1), np.uint64)
     for k in range(n):
-        found = found * np.uint64(0x9E3779B97F4A7C15) + words[k : len(words) - n + 1 + k]
+        found = found * np.uint64(0x9E3779B97F4A7C15) + words[k : k + len(found)]
     inside = owner[: len(found)] == owner[n - 1 :] if len(found) else np.zeros(0, bool)
     hashes, owners = mix(found[inside]), owner[: len(found)][inside]
     count = np.bincount(owner, minlength=block.texts)

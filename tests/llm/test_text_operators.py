@@ -202,6 +202,13 @@ def test_jaccard_chain_of_near_copies(spark):
         assert [(r["n_shingles"], r["component_id"]) for r in got] == brute_components(texts, n, percent)
 
 
+@pytest.mark.parametrize("n", [3, 5])
+def test_ngram_sets_of_short_blocks(n):
+    for count in range(n + 1):
+        sets = jaccard.ngram_sets([" ".join("abcde"[:count])], n)
+        assert [len(s) for s in sets] == [min(count, 1)]
+
+
 def test_jaccard_null_and_repeated_ids(spark):
     text = "some words that are long enough to have shingles"
     df = spark.createDataFrame([(5, text), (5, text), (7, text), (None, text), (None, None)], "doc_id long, text string")
