@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe, classifier, jaccard, licenses, mixing, quality_rules, resharding, spotsigs, url_filter, warc
+from lossmetrics.llm import bpe, classifier, filter_audit, jaccard, licenses, mixing, quality_rules, resharding, spotsigs, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -132,6 +132,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove from the documents of each language, at each step of each order."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -144,6 +150,7 @@ def registry() -> dict[str, Query]:
         "op8_resharding": op8_resharding,
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_filter_audit": op11_filter_audit,
     }
 
 
@@ -183,5 +190,54 @@ FROM h
 """
 
 
+OP11_SQL = """
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part FROM documents),
+words AS (SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM texts),
+marks AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+fails AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        len(words) < 200 AS a,
+        100 * len(list_distinct(words)) < 50 * len(words) AS b,
+        100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS c,
+        regexp_matches(text, '[#$%&*|]') AS d,
+        coalesce(doc_id > first, false) AS e
+    FROM words LEFT JOIN marks USING (doc_id)
+),
+sets AS (
+    SELECT part, CASE WHEN a THEN 'A' ELSE '' END || CASE WHEN b THEN 'B' ELSE '' END || CASE WHEN c THEN 'C' ELSE '' END
+        || CASE WHEN d THEN 'D' ELSE '' END || CASE WHEN e THEN 'E' ELSE '' END AS failed,
+        count(*) AS n, sum(good::INT) AS good, sum(toxic::INT) AS toxic
+    FROM fails GROUP BY 1, 2
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+    FROM letters p JOIN letters q ON q.x <> p.x JOIN letters r ON r.x NOT IN (p.x, q.x) JOIN letters s ON s.x NOT IN (p.x, q.x, r.x)
+    JOIN letters t ON t.x NOT IN (p.x, q.x, r.x, s.x)
+),
+steps AS (
+    SELECT filter_order, step::INT AS step, substr(filter_order, step, 1) AS own, substr(filter_order, 1, step - 1) AS before
+    FROM orders, range(1, 6) AS g(step)
+),
+totals AS (
+    SELECT part, filter_order, step, own,
+        sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) AS kept,
+        sum(CASE WHEN NOT gone AND hit THEN n ELSE 0 END) AS removed,
+        sum(CASE WHEN gone AND hit THEN n ELSE 0 END) AS redundant,
+        sum(CASE WHEN failed = own THEN n ELSE 0 END) AS unique_fails,
+        sum(CASE WHEN NOT gone AND hit THEN good ELSE 0 END) AS good_lost,
+        sum(CASE WHEN NOT gone AND hit THEN toxic ELSE 0 END) AS toxic_lost
+    FROM (
+        SELECT *, contains(failed, own) AS hit, translate(before, failed, '') <> before AS gone FROM sets, steps
+    )
+    GROUP BY 1, 2, 3, 4
+)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+    unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+    (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM totals
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": OP5_SQL, "op6_mixing": OP6_SQL}
+    return {"op5_warc": OP5_SQL, "op6_mixing": OP6_SQL, "op11_filter_audit": OP11_SQL}
