@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe, classifier, filter_audit, jaccard, licenses, mixing, quality_rules, resharding, spotsigs, url_filter, warc
+from lossmetrics.llm import bpe, classifier, divergence, filter_audit, jaccard, licenses, mixing, quality_rules, resharding, spotsigs, url_filter, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,6 +138,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How differently the sources of each language use its terms: all pairs of sources, and the leading terms of each."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_bpe": op1_bpe,
@@ -151,6 +156,7 @@ def registry() -> dict[str, Query]:
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_quality_classifier": op10_quality_classifier,
         "op11_filter_audit": op11_filter_audit,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
@@ -239,5 +245,48 @@ FROM totals
 """
 
 
+OP13_SQL = """
+WITH docs AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+),
+found AS (
+    SELECT row, lang, source,
+        unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM docs
+),
+kept AS (SELECT lang, term FROM found GROUP BY 1, 2 HAVING count(DISTINCT row) >= 30),
+known AS (SELECT lang, count(*) AS v FROM kept GROUP BY 1),
+counts AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+groups AS (
+    SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0) AS total
+    FROM (SELECT DISTINCT lang, source FROM docs) LEFT JOIN known USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY 1, 2) USING (lang, source)
+),
+shares AS (
+    SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 5)) // (total + 5 * v) AS p
+    FROM groups JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)
+),
+whole AS (
+    SELECT lang, term, 1 + (1000000000::HUGEINT * (sum(n) + 5)) // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q
+    FROM counts GROUP BY 1, 2
+),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN (
+        SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value
+        FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3
+    ) d ON d.lang = a.lang AND d.source = a.source AND d.other = b.source
+),
+terms AS (SELECT lang, source, term AS item, p - q AS value FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": OP5_SQL, "op6_mixing": OP6_SQL, "op11_filter_audit": OP11_SQL}
+    return {"op5_warc": OP5_SQL, "op6_mixing": OP6_SQL, "op11_filter_audit": OP11_SQL, "op13_source_divergence": OP13_SQL}
