@@ -5,7 +5,15 @@ encoding of its prefix: the one vocabulary entry that ends the prefix and that n
 it. Words with a common prefix share those states, so a prefix is encoded once, and the tokens of a word are read off by
 stepping back from its last token. The result equals that of merging pairs by rank.
 
-Both directions are map-only: no shuffle, no group, a bounded word cache per Python worker.
+A node's candidates are the vocabulary entries that end its prefix. They follow from the longest end of the prefix that begins
+an entry, which is handed from node to node beside the state.
+
+A distinct word is encoded and decoded once and kept: a text's ids, their decimal form and its decoded form are the joined
+ones of its words, as the vocabulary drops white space and decodes token by token. All directions are map-only: no shuffle,
+no group, a bounded cache of words per Python worker.
+
+What is a letter or a number, and which lower case a letter has, differs between Unicode versions. The driver asks the
+library for its own answers, in one call over all code points, and sends them along with the vocabulary.
 
 Defined cases: a null or empty text has no tokens and decodes to an empty string; repeated rows are encoded alike; an
 empty table gives an empty table; a column that is already named like the result is replaced; ids outside the vocabulary
@@ -14,25 +22,29 @@ are skipped by the decoder.
 
 from __future__ import annotations
 
+import functools
+import gc
+import hashlib
 import json
 import re
+import sys
 import unicodedata
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField
+from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructField
 
 from lossmetrics.llm.batches import assemble, blocks, with_fields
 
-#: Words kept per Python worker before the cache starts anew.
-CACHE_WORDS = 150_000
+#: Words kept per Python worker; beyond that only those of the block at hand stay.
+CACHE_WORDS = 300_000
 _NEVER = 1 << 60
-#: Control characters that str.split() takes for white space and the vocabulary's pattern does not.
-_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
-_WHITE = re.compile("[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+")
+#: White space as the vocabulary's pattern has it; fixed values. Python's own class holds four control characters more.
+_WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+_HIGH = re.compile("[\\U00010000-\\U0010ffff]")
 #: Ends the last symbol of a word inside this module; the byte alphabet has no space.
 _END = " "
 
@@ -44,18 +56,55 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in own else chr(next(spare)) for b in range(256)]
 
 
+def _every_code_point() -> list[str]:
+    """All code points but the surrogates, which no text holds."""
+    return [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+
+
+@functools.cache
+def library_tables() -> dict[str, dict]:
+    """Ranges of letters and of numbers, and the lower cases that differ from Python's, as the library has them."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    points = _every_code_point()
+    text = "".join(points)
+    found: dict[str, dict] = {}
+    for name in ("L", "N"):
+        split = pre_tokenizers.Split(Regex(f"[\\p{{{name}}}]+"), "removed", invert=True)
+        found[name] = {text[start]: text[end - 1] for _, (start, end) in split.pre_tokenize_str(text)}
+    lowered = normalizers.Lowercase().normalize_str("\n".join(c for c in points if c != "\n")).split("\n")
+    found["lower"] = {c: low for c, low in zip((c for c in points if c != "\n"), lowered) if low != c.lower() and c != "Σ"}
+    return found
+
+
+def character_class(ranges: dict[str, str], last: int = sys.maxunicode) -> str:
+    """Ranges of code points (first to last) up to ``last``, as a pattern writes them."""
+    return "".join(f"\\U{ord(a):08x}-\\U{min(ord(b), last):08x}" for a, b in ranges.items() if ord(a) <= last)
+
+
+def word_pattern(split: str, tables: dict[str, dict], last: int = sys.maxunicode) -> re.Pattern:
+    """The vocabulary's own pattern with white space, letters and numbers spelled out, for texts of code points up to ``last``."""
+    found = split.replace("\\s", _WHITE)
+    for name in ("L", "N"):
+        found = found.replace(f"\\p{{{name}}}", character_class(tables[name], last))
+    return re.compile(found)
+
+
 class Vocabulary:
     """A word-end BPE vocabulary file and the compatibility of its tokens."""
 
-    def __init__(self, definition: str):
-        spec = json.loads(definition)
+    def __init__(self, definition: str, tables: dict[str, dict] | None = None):
+        spec, tables = json.loads(definition), tables or library_tables()
         model = spec["model"]
         self.suffix = model.get("end_of_word_suffix") or ""
         steps = [n["type"] for n in spec["normalizer"]["normalizers"]]
         split = spec["pre_tokenizer"]["pretokenizers"][0]
         if model["type"] != "BPE" or not self.suffix or steps != ["NFC", "Replace", "Lowercase"] or not split["invert"]:
             raise ValueError("the file does not hold a lower-casing BPE vocabulary with word ends")
-        self.pieces = regex.compile(split["pattern"]["Regex"])
+        # The classes of higher planes are long lists of ranges, which few texts need.
+        self.pieces, self.low_pieces, self.ascii_pieces = (word_pattern(split["pattern"]["Regex"], tables, last) for last in (sys.maxunicode, 0xFFFF, 0x7F))
+        self.odd = re.compile("[" + character_class({c: c for c in tables["lower"]}) + "]") if tables["lower"] else None
+        self.odd_lower = {ord(c): low for c, low in tables["lower"].items()}
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         found = sorted(self.specials, key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, found)) + ")") if found else None
@@ -81,10 +130,12 @@ class Vocabulary:
         self.tokens = {t for t, ok in whole.items() if ok}
         if not self.tokens.issuperset(self.alphabet):
             raise ValueError("the vocabulary has no token for a byte")
-        #: Length of the longest token by its last two symbols.
-        self.reach: dict[str, int] = {}
-        for token in self.tokens:
-            self.reach[token[-2:]] = max(self.reach.get(token[-2:], 1), len(token))
+        #: What a vocabulary entry can begin with, and what follows from the end of a prefix (see ``_step``).
+        self.beginnings = {t[:k] for t in self.tokens for k in range(1, len(t) + 1)}
+        self._steps: dict[str, tuple[str, tuple[tuple[str, int], ...]]] = {}
+        self._numbers = {t: array("i", [i]).tobytes() for t, i in self.ids.items()}
+        self._symbols = {n: c for n, c in enumerate(self.alphabet)}
+        self.names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.specials.items()}
 
     def _inner(self, token: str) -> str:
         return token[: -len(self.suffix)] + _END if token.endswith(self.suffix) else token
@@ -120,136 +171,217 @@ class Vocabulary:
             known = self._fits[a, b] = not self._joined(a, b, _NEVER)
         return known
 
-    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Ids of every distinct word: a depth-first walk of their trie in sorted order."""
-        coded = {}
-        for word in words:
-            coded["".join(map(self.alphabet.__getitem__, word.encode("utf-8")))] = word
-        tokens, ids, reach, known, fits = self.tokens, self.ids, self.reach, self._fits, self.fits
-        out: dict[str, list[int]] = {}
-        state = [""]  # last token of each prefix on the path from the root
+    def _step(self, prefix: str) -> tuple[str, tuple[tuple[str, int], ...]]:
+        """The longest end of a prefix that begins an entry, and the entries that end the prefix, longest first, with their lengths."""
+        end = prefix
+        while end and end not in self.beginnings:
+            end = end[1:]
+        found = (end[k:] for k in range(len(end)))
+        known = end, tuple((t, len(t)) for t in found if t in self.tokens)
+        if len(self._steps) > CACHE_WORDS:
+            self._steps.clear()
+        self._steps[prefix] = known
+        return known
+
+    def _coded(self, word: str) -> str:
+        """A word in the byte alphabet."""
+        return word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._symbols)
+
+    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of every distinct word as packed 32-bit integers: a depth-first walk of the words' trie in sorted order.
+
+        A node of the path holds the last token of its prefix, the longest end that begins an entry, and the prefix's ids.
+        """
+        coded = {self._coded(word): word for word in words}
+        numbers, steps, step_of, known, fits = self._numbers, self._steps, self._step, self._fits, self.fits
+        out: dict[str, bytes] = {}
+        nodes: list[tuple[str, str, bytes]] = [("", "", b"")]
         path = ""
         for text in sorted(coded):
             inner = len(text) - 1
-            depth, most = 0, min(len(path), inner)
-            while depth < most and path[depth] == text[depth]:
+            depth = 0
+            for a, b in zip(path, text):
+                if a != b:
+                    break
                 depth += 1
-            del state[depth + 1 :]
+            if depth > inner:  # the last symbol ends the word, so it is no inner symbol
+                depth = inner
+            del nodes[depth + 1 :]
+            at = nodes[depth][1]
+            end = depth
+            for symbol in text[depth:inner]:
+                end += 1
+                key = at + symbol
+                at, candidates = steps.get(key) or step_of(key)
+                for token, size in candidates:
+                    before, _, ids = nodes[end - size]
+                    if size == end:
+                        break
+                    fit = known.get((before, token))
+                    if fit or (fit is None and fits(before, token)):
+                        break
+                nodes.append((token, at, ids + numbers[token]))
             path = text[:inner]
-            for end in range(depth + 1, inner + 1):
-                start = end - reach.get(text[end - 2 : end], 1) if end > 1 else 0
-                for start in range(start if start > 0 else 0, end):
-                    token = text[start:end]
-                    if token in tokens:
-                        if start == 0:
-                            break
-                        pair = (state[start], token)
-                        if known[pair] if pair in known else fits(*pair):
-                            break
-                state.append(token)
-            leaf = text + _END
-            for start in range(inner + 1):
-                token = leaf[start:]
-                if token in tokens and (start == 0 or fits(state[start], token)):
+            key = at + text[inner] + _END
+            for token, size in (steps.get(key) or step_of(key))[1]:
+                if size == inner + 2:
+                    ids = b""
+                    break
+                before, _, ids = nodes[inner + 2 - size]
+                fit = known.get((before, token))
+                if fit or (fit is None and fits(before, token)):
                     break
-            else:
-                raise ValueError("the vocabulary has no token for a byte")
-            found = [ids[token]]
-            while start > 0:
-                token = state[start]
-                found.append(ids[token])
-                start -= len(token)
-            found.reverse()
-            out[coded[text]] = found
+            out[coded[text]] = ids + numbers[token]
         return out
 
     def forget(self) -> None:
         self._fits.clear()
+        self._steps.clear()
+
+    def words_of(self, text: str) -> list[str]:
+        """The words of a text without special tokens, normalised."""
+        if text.isascii():
+            return self.ascii_pieces.findall(text.lower())
+        plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        if self.odd is not None and self.odd.search(plain):
+            plain = plain.translate(self.odd_lower)
+        return (self.pieces if _HIGH.search(plain) else self.low_pieces).findall(plain)
+
 
-    def words_of(self, chunk: str) -> list[str]:
-        """The words of a run of text without white space, normalised."""
-        plain = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return self.pieces.findall(plain)
+#: What can be kept of a word: a function of its packed ids and the vocabulary's names, and what stands between two words of a text.
+_VIEWS: dict[str, tuple[Callable[[bytes, dict[int, str]], bytes], bytes]] = {
+    "packed": (lambda ids, names: ids, b""),
+    "decimal": (lambda ids, names: " ".join(map(str, array("i", ids))).encode(), b" "),
+    "decoded": (lambda ids, names: " ".join(map(names.__getitem__, array("i", ids))).encode(), b" "),
+}
 
 
 class Encoder:
-    """Encodes blocks of texts; keeps the ids of recent runs between white space as packed integers."""
+    """Encodes blocks of texts; keeps the asked views of recent words."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.packed: dict[str, bytes] = {}
-
-    def _runs(self, text: str) -> list[str]:
-        return [r for r in _WHITE.split(text) if r] if any(c in text for c in _SEPARATORS) else text.split()
-
-    def _learn(self, runs: set[str]) -> None:
-        words = {run: self.vocabulary.words_of(run) for run in runs}
-        known = self.vocabulary.encode_words({w for found in words.values() for w in found})
-        for run, found in words.items():
-            self.packed[run] = np.array([i for w in found for i in known[w]], np.int32).tobytes()
-
-    def _split(self, text: str) -> tuple[list[str], bool]:
-        """Runs and special tokens of a text in order, and whether there are special tokens."""
+        self.kept: dict[str, dict[str, bytes]] = {}
+
+    def _learn(self, words: set[str]) -> None:
+        known = self.vocabulary.encode_words(words)
+        names = self.vocabulary.names
+        for view, kept in self.kept.items():
+            make = _VIEWS[view][0]
+            for word, ids in known.items():
+                kept[word] = make(ids, names)
+            for content, number in self.vocabulary.specials.items():
+                kept["\n" + content] = make(array("i", [number]).tobytes(), names)
+
+    def _split(self, text: str) -> list[str]:
+        """Words and special tokens of a text in order; special tokens have a line feed before them, which no word holds."""
         special = self.vocabulary.special_pattern
         if special is None or not special.search(text):
-            return self._runs(text), False
+            return self.vocabulary.words_of(text)
         found: list[str] = []
         for k, piece in enumerate(special.split(text)):
-            found += ["\n" + piece] if k % 2 else self._runs(piece)  # no run holds white space
-        return found, True
+            found += ["\n" + piece] if k % 2 else self.vocabulary.words_of(piece)
+        return found
 
     def forget(self) -> None:
         """Drop what was learnt: a worker lives on after its task, beside the executor's heap."""
-        self.packed.clear()
+        self.kept.clear()
         self.vocabulary.forget()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of every text as packed 32-bit integers."""
-        if len(self.packed) > CACHE_WORDS:
-            self.packed.clear()
-        parts = [self._split(text) if text else ([], False) for text in texts]
-        new: set[str] = set()
-        for found, _ in parts:
-            new.update(found)
-        new.difference_update(self.packed)
-        self._learn({run for run in new if run[0] != "\n"})
-        for content, number in self.vocabulary.specials.items():
-            self.packed["\n" + content] = np.int32(number).tobytes()
-        return [b"".join(map(self.packed.__getitem__, found)) for found, _ in parts]
+    def views(self, texts: Sequence[str | None], names: Sequence[str] = ("packed",)) -> dict[str, list[bytes]]:
+        """The asked views of every text: packed 32-bit ids, their decimal form, the decoded text."""
+        if set(self.kept) != set(names):
+            self.kept = {name: {} for name in names}
+        collecting = gc.isenabled()
+        gc.disable()  # millions of strings and no cycles
+        try:
+            parts = [self._split(text) if text else [] for text in texts]
+            words: set[str] = set()
+            for found in parts:
+                words.update(found)
+            first = self.kept[names[0]]
+            new = words.difference(first)
+            if len(first) + len(new) > CACHE_WORDS:
+                stay = words.difference(new)
+                self.kept = {name: {word: kept[word] for word in stay} for name, kept in self.kept.items()}
+            self._learn({word for word in new if word[0] != "\n"})
+            joined = {}
+            for name, kept in self.kept.items():
+                between, get = _VIEWS[name][1], kept.__getitem__
+                joined[name] = [between.join(map(get, found)) for found in parts]
+            return joined
+        finally:
+            if collecting:
+                gc.enable()
 
 
 _loaded: dict[int, Encoder] = {}
 
 
-def _encoder(definition: str) -> Encoder:
+def encoder_of(sent: tuple[str, dict]) -> Encoder:
     """One encoder per Python worker and vocabulary."""
+    definition, tables = sent
     key = hash(definition)
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = Encoder(Vocabulary(definition))
+        _loaded[key] = Encoder(Vocabulary(definition, tables))
     return _loaded[key]
 
 
-def _definition(df: DataFrame, tokenizer_path: str):
-    """The vocabulary file's text, about 2 MB whatever the data, for every executor."""
+def broadcast_vocabulary(df: DataFrame, tokenizer_path: str):
+    """The vocabulary file's text and the library's tables, about 2 MB whatever the data, for every executor."""
     with open(tokenizer_path, encoding="utf-8") as file:
-        return df.sparkSession.sparkContext.broadcast(file.read())
+        return df.sparkSession.sparkContext.broadcast((file.read(), library_tables()))
+
+
+def id_lists(packed: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
+    kind = pa.list_(pa.field("element", pa.int32(), nullable=False))
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), np.int32)), type=kind)
+
+
+def _digests(values: list[bytes]) -> pa.Array:
+    return pa.array([hashlib.sha256(v).hexdigest() for v in values], pa.string())
+
+
+#: Results of ``round_trip``: type, the view it is made of, and how.
+RESULTS: dict[str, tuple[DataType, str, Callable[[list[bytes]], pa.Array]]] = {
+    "ids": (ArrayType(IntegerType(), False), "packed", id_lists),
+    "n_tokens": (LongType(), "decimal", lambda v: pa.array([x.count(b" ") + 1 if x else 0 for x in v], pa.int64())),
+    "ids_sha256": (StringType(), "decimal", _digests),
+    "decoded": (StringType(), "decoded", lambda v: pa.array(v, pa.binary()).cast(pa.string())),
+    "decoded_sha256": (StringType(), "decoded", _digests),
+}
+
+
+def round_trip(df: DataFrame, tokenizer_path: str, results: Sequence[str], text: str = "text", keep_text: bool = False) -> DataFrame:
+    """``df`` with the asked results of encoding and decoding every whole text, in one pass.
+
+    ``ids``, ``n_tokens``, the SHA-256 of the decimal ids joined by spaces, the decoded text and its SHA-256.
+    """
+    definition = broadcast_vocabulary(df, tokenizer_path)
+    schema = with_fields(df, [StructField(name, RESULTS[name][0], False) for name in results], drop=[] if keep_text else [text])
+    needed = tuple(dict.fromkeys(RESULTS[name][1] for name in results))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(definition.value)
+        for block in blocks(batches, text):
+            views = encoder.views(block.column(text).to_pylist(), needed)
+            yield assemble(block, schema, {name: RESULTS[name][2](views[RESULTS[name][1]]) for name in results})
+        encoder.forget()
+
+    return df.mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` without its text, with ``ids``: the token ids of the whole text, empty for null."""
-    definition = _definition(df, tokenizer_path)
+    definition = broadcast_vocabulary(df, tokenizer_path)
     schema = with_fields(df, [StructField(ids, ArrayType(IntegerType(), False), False)], drop=[text])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(definition.value)
+        encoder = encoder_of(definition.value)
         for block in blocks(batches, text):
-            packed = encoder.encode(block.column(text).to_pylist())
-            ends = np.cumsum([0] + [len(p) // 4 for p in packed], dtype=np.int32)
-            values = pa.array(np.frombuffer(b"".join(packed), np.int32))
-            kind = pa.list_(pa.field("element", pa.int32(), nullable=False))
-            lists = pa.ListArray.from_arrays(pa.array(ends), values, type=kind)
-            yield assemble(block, schema, {ids: lists})
+            yield assemble(block, schema, {ids: id_lists(encoder.views(block.column(text).to_pylist())["packed"])})
         encoder.forget()
 
     return df.mapInArrow(run, schema)
@@ -257,11 +389,11 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
 
 def decode(df: DataFrame, tokenizer_path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """``df`` with ``decoded``: the tokens of ``ids`` joined by spaces, as a vocabulary without a decoder does."""
-    definition = _definition(df, tokenizer_path)
+    definition = broadcast_vocabulary(df, tokenizer_path)
     schema = with_fields(df, [StructField(decoded, StringType(), False)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        spec = json.loads(definition.value)
+        spec = json.loads(definition.value[0])
         names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
         table = np.array([names.get(i) for i in range(max(names) + 1)], dtype=object)
         for block in blocks(batches, ids):

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe, classifier, divergence, filter_audit, jaccard, licenses, mixing, quality_rules, resharding, spotsigs, url_filter, warc
+from lossmetrics.llm import bpe, classifier, divergence, filter_audit, jaccard, licenses, mixing, packing, quality_rules, resharding, spotsigs, url_filter, warc
+from lossmetrics.llm.tables import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,14 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the token ids and of the decoded text of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    path = tokenizer_path()
-    coded = bpe.decode(bpe.encode(docs, path), path)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(docs, tokenizer_path(), ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +132,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(docs, table(spark, sf_dir, "labels"))
 
 
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens cut and packed in sequences of 2,048."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(written(packing.pieces(docs, tokenizer_path()), "pieces"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How differently the sources of each language use its terms: all pairs of sources, and the leading terms of each."""
     return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
@@ -156,6 +156,7 @@ def registry() -> dict[str, Query]:
         "op9_ngram_jaccard": op9_ngram_jaccard,
         "op10_quality_classifier": op10_quality_classifier,
         "op11_filter_audit": op11_filter_audit,
+        "op12_packing": op12_packing,
         "op13_source_divergence": op13_source_divergence,
     }
 
