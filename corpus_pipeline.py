@@ -50,16 +50,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row with their digest and that of the decoded text."""
-    path = tokenizer_path()
     rows = docs.select("doc_id", "lang", "source", "n_chars", "text")
-    coded = bpe.decode(bpe.encode(rows, path), path)
-    return coded.select(
-        "doc_id", "lang", "source", "n_chars",
-        F.size("ids").cast("long").alias("n_tokens"),
-        "ids",
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(rows, tokenizer_path(), ("n_tokens", "ids", "ids_sha256", "decoded_sha256"))
 
 
 STAGES: list[tuple[str, Stage]] = [
