@@ -39,8 +39,8 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, String
 
 from lossmetrics.llm.batches import assemble, blocks, with_fields
 
-#: Words kept per Python worker; beyond that only those of the block at hand stay.
-CACHE_WORDS = 300_000
+#: Words kept per Python worker, beyond which only those of the block at hand stay, and facts kept about pairs of tokens and prefixes.
+CACHE_WORDS, CACHE_FACTS = 400_000, 300_000
 _NEVER = 1 << 60
 #: White space as the vocabulary's pattern has it; fixed values. Python's own class holds four control characters more.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -166,7 +166,7 @@ class Vocabulary:
         """Whether the encoding of the two tokens' text is these two tokens."""
         known = self._fits.get((a, b))
         if known is None:
-            if len(self._fits) > CACHE_WORDS:
+            if len(self._fits) > CACHE_FACTS:
                 self._fits.clear()
             known = self._fits[a, b] = not self._joined(a, b, _NEVER)
         return known
@@ -178,7 +178,7 @@ class Vocabulary:
             end = end[1:]
         found = (end[k:] for k in range(len(end)))
         known = end, tuple((t, len(t)) for t in found if t in self.tokens)
-        if len(self._steps) > CACHE_WORDS:
+        if len(self._steps) > CACHE_FACTS:
             self._steps.clear()
         self._steps[prefix] = known
         return known
@@ -234,10 +234,6 @@ class Vocabulary:
             out[coded[text]] = ids + numbers[token]
         return out
 
-    def forget(self) -> None:
-        self._fits.clear()
-        self._steps.clear()
-
     def words_of(self, text: str) -> list[str]:
         """The words of a text without special tokens, normalised."""
         if text.isascii():
@@ -284,9 +280,8 @@ class Encoder:
         return found
 
     def forget(self) -> None:
-        """Drop what was learnt: a worker lives on after its task, beside the executor's heap."""
+        """Drop the words: a worker lives on after its task, beside the executor's heap. What holds for all texts stays."""
         self.kept.clear()
-        self.vocabulary.forget()
 
     def views(self, texts: Sequence[str | None], names: Sequence[str] = ("packed",)) -> dict[str, list[bytes]]:
         """The asked views of every text: packed 32-bit ids, their decimal form, the decoded text."""
