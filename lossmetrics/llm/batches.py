@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -30,6 +31,14 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str, limit: int = BLOCK_BY
         pa.default_memory_pool().release_unused()  # a worker lives on after its task, beside the executor's heap
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system where the C library can: a Python worker lives on beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def _sizes(array: pa.Array) -> np.ndarray:
     """Bytes of each string, binary or list of integers."""
     wide = pa.types.is_list(array.type)

@@ -30,6 +30,7 @@ import re
 import sys
 import unicodedata
 from array import array
+from collections import deque
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -37,10 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructField
 
-from lossmetrics.llm.batches import assemble, blocks, with_fields
+from lossmetrics.llm.batches import assemble, blocks, give_back, with_fields
 
-#: Words kept per Python worker, beyond which only those of the block at hand stay, and facts kept about pairs of tokens and prefixes.
-CACHE_WORDS, CACHE_FACTS = 400_000, 300_000
+#: Words kept per Python worker, beyond which only those of the last blocks stay, and facts kept about pairs of tokens and prefixes.
+CACHE_WORDS, CACHE_FACTS = 300_000, 300_000
+#: Bytes of text encoded at once.
+BLOCK = 1 << 20
 _NEVER = 1 << 60
 #: White space as the vocabulary's pattern has it; fixed values. Python's own class holds four control characters more.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -134,6 +137,8 @@ class Vocabulary:
         self.beginnings = {t[:k] for t in self.tokens for k in range(1, len(t) + 1)}
         self._steps: dict[str, tuple[str, tuple[tuple[str, int], ...]]] = {}
         self._numbers = {t: array("i", [i]).tobytes() for t, i in self.ids.items()}
+        self._token = {i: t for t, i in self.ids.items()}
+        self._stored = np.zeros(0, "i4, i4, ?")
         self._symbols = {n: c for n, c in enumerate(self.alphabet)}
         self.names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.specials.items()}
 
@@ -183,6 +188,19 @@ class Vocabulary:
         self._steps[prefix] = known
         return known
 
+    def store(self) -> None:
+        """Put the facts about pairs of tokens away as numbers, so that the memory of the words among them can be given back."""
+        facts = ((self.ids[a], self.ids[b], fit) for (a, b), fit in self._fits.items())
+        self._stored = np.fromiter(facts, "i4, i4, ?", len(self._fits))
+        self._fits.clear()
+        self._steps.clear()
+
+    def restore(self) -> None:
+        if len(self._stored):
+            token = self._token.__getitem__
+            self._fits.update({(token(a), token(b)): fit for a, b, fit in self._stored.tolist()})
+            self._stored = self._stored[:0]
+
     def _coded(self, word: str) -> str:
         """A word in the byte alphabet."""
         return word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self._symbols)
@@ -258,6 +276,7 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.kept: dict[str, dict[str, bytes]] = {}
+        self.recent: deque[set[str]] = deque(maxlen=8)
 
     def _learn(self, words: set[str]) -> None:
         known = self.vocabulary.encode_words(words)
@@ -280,8 +299,11 @@ class Encoder:
         return found
 
     def forget(self) -> None:
-        """Drop the words: a worker lives on after its task, beside the executor's heap. What holds for all texts stays."""
+        """Drop what was learnt: a worker lives on after its task, beside the executor's heap."""
         self.kept.clear()
+        self.recent.clear()
+        self.vocabulary.store()
+        give_back()
 
     def views(self, texts: Sequence[str | None], names: Sequence[str] = ("packed",)) -> dict[str, list[bytes]]:
         """The asked views of every text: packed 32-bit ids, their decimal form, the decoded text."""
@@ -289,6 +311,7 @@ class Encoder:
             self.kept = {name: {} for name in names}
         collecting = gc.isenabled()
         gc.disable()  # millions of strings and no cycles
+        self.vocabulary.restore()
         try:
             parts = [self._split(text) if text else [] for text in texts]
             words: set[str] = set()
@@ -297,8 +320,9 @@ class Encoder:
             first = self.kept[names[0]]
             new = words.difference(first)
             if len(first) + len(new) > CACHE_WORDS:
-                stay = words.difference(new)
+                stay = set().union(*self.recent, words).intersection(first)
                 self.kept = {name: {word: kept[word] for word in stay} for name, kept in self.kept.items()}
+            self.recent.append(words)
             self._learn({word for word in new if word[0] != "\n"})
             joined = {}
             for name, kept in self.kept.items():
@@ -360,7 +384,7 @@ def round_trip(df: DataFrame, tokenizer_path: str, results: Sequence[str], text:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(definition.value)
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, BLOCK):
             views = encoder.views(block.column(text).to_pylist(), needed)
             yield assemble(block, schema, {name: RESULTS[name][2](views[RESULTS[name][1]]) for name in results})
         encoder.forget()
@@ -375,7 +399,7 @@ def encode(df: DataFrame, tokenizer_path: str, text: str = "text", ids: str = "i
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(definition.value)
-        for block in blocks(batches, text):
+        for block in blocks(batches, text, BLOCK):
             yield assemble(block, schema, {ids: id_lists(encoder.views(block.column(text).to_pylist())["packed"])})
         encoder.forget()
 

@@ -55,7 +55,7 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end: in
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.encoder_of(definition.value)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", bpe.BLOCK):
             packed = [p + last for p in encoder.views(block.column("text").to_pylist())["packed"]]
             row, piece, cut = [], [], []
             for k, p in enumerate(packed):
