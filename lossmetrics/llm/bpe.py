@@ -26,6 +26,7 @@ import functools
 import gc
 import hashlib
 import json
+import os
 import re
 import sys
 import unicodedata
@@ -41,13 +42,12 @@ from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, String
 from lossmetrics.llm.batches import assemble, blocks, give_back, with_fields
 
 #: Words kept per Python worker, beyond which only those of the last blocks stay, and facts kept about pairs of tokens and prefixes.
-CACHE_WORDS, CACHE_FACTS = 300_000, 300_000
+CACHE_WORDS, CACHE_FACTS = 400_000, 300_000
 #: Bytes of text encoded at once.
 BLOCK = 1 << 20
 _NEVER = 1 << 60
 #: White space as the vocabulary's pattern has it; fixed values. Python's own class holds four control characters more.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_HIGH = re.compile("[\\U00010000-\\U0010ffff]")
 #: Ends the last symbol of a word inside this module; the byte alphabet has no space.
 _END = " "
 
@@ -87,6 +87,11 @@ def character_class(ranges: dict[str, str], last: int = sys.maxunicode) -> str:
 
 def word_pattern(split: str, tables: dict[str, dict], last: int = sys.maxunicode) -> re.Pattern:
     """The vocabulary's own pattern with white space, letters and numbers spelled out, for texts of code points up to ``last``."""
+    # Letters first, as most words are: the other alternatives begin with other symbols, so their order stays right.
+    letters = "[\\p{L}]+"
+    parts = split.split("|")
+    if letters in parts and all(p.startswith("'") for p in parts[: parts.index(letters)]):
+        split = "|".join([letters, *(p for p in parts if p != letters)])
     found = split.replace("\\s", _WHITE)
     for name in ("L", "N"):
         found = found.replace(f"\\p{{{name}}}", character_class(tables[name], last))
@@ -106,11 +111,13 @@ class Vocabulary:
             raise ValueError("the file does not hold a lower-casing BPE vocabulary with word ends")
         # The classes of higher planes are long lists of ranges, which few texts need.
         self.pieces, self.low_pieces, self.ascii_pieces = (word_pattern(split["pattern"]["Regex"], tables, last) for last in (sys.maxunicode, 0xFFFF, 0x7F))
-        self.odd = re.compile("[" + character_class({c: c for c in tables["lower"]}) + "]") if tables["lower"] else None
+        odd = character_class({c: c for c in tables["lower"]}, 0xFFFF)
+        self.rare = re.compile(f"[{odd}\\U00010000-\\U0010ffff]")
         self.odd_lower = {ord(c): low for c, low in tables["lower"].items()}
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         found = sorted(self.specials, key=len, reverse=True)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, found)) + ")") if found else None
+        self.special_mark = os.path.commonprefix(found)
         self.ids = {self._inner(t): i for t, i in model["vocab"].items()}
         self.alphabet = byte_alphabet()
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -257,9 +264,9 @@ class Vocabulary:
         if text.isascii():
             return self.ascii_pieces.findall(text.lower())
         plain = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        if self.odd is not None and self.odd.search(plain):
-            plain = plain.translate(self.odd_lower)
-        return (self.pieces if _HIGH.search(plain) else self.low_pieces).findall(plain)
+        if self.rare.search(plain):
+            return self.pieces.findall(plain.translate(self.odd_lower))
+        return self.low_pieces.findall(plain)
 
 
 #: What can be kept of a word: a function of its packed ids and the vocabulary's names, and what stands between two words of a text.
@@ -291,7 +298,7 @@ class Encoder:
     def _split(self, text: str) -> list[str]:
         """Words and special tokens of a text in order; special tokens have a line feed before them, which no word holds."""
         special = self.vocabulary.special_pattern
-        if special is None or not special.search(text):
+        if special is None or self.vocabulary.special_mark not in text or not special.search(text):
             return self.vocabulary.words_of(text)
         found: list[str] = []
         for k, piece in enumerate(special.split(text)):
