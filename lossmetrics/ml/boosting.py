@@ -1,8 +1,16 @@
-"""Multinomial gradient boosting of regression trees, fitted on a bounded sample inside one Spark task.
+"""Multinomial gradient boosting of regression trees, grown level by level from sums that Spark adds up.
 
-A round adds one tree per class to the class scores; a tree is grown level by level from histograms of binned features, and
-its leaves take a Newton step. Hundreds of small trees over a few thousand rows would otherwise be thousands of Spark jobs.
-Prediction runs over all rows in Arrow batches. Fits of several folds are separate jobs that run side by side.
+Features are binned once: their borders come from quantile sketches. Binned rows lie in blocks of a cached table. A round adds
+one tree per class, all classes side by side. For a level, every task adds up slope and curvature of its rows by (tree, node,
+feature, bin), the sums of the tasks are added up in a tree, and the driver looks for the best split of every node in that
+small table. Leaves take a Newton step. What reaches the driver is classes x nodes x features x bins numbers, whatever the
+number of rows.
+
+Scores of the rows follow from the trees so far; every ten rounds they are computed from the binned rows anew and cached, so
+that a lost block is never more than one pass away. Slopes and curvatures are summed as whole numbers of 2**-24, so a model
+does not depend on how the rows are dealt out.
+
+Defined cases: a feature with one value is never split; a class without rows keeps its start; no rows are an error.
 """
 
 from __future__ import annotations
@@ -13,56 +21,106 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 BINS = 32
-
-
-def _edges(x: np.ndarray) -> np.ndarray:
-    """Inner bin borders per feature, from quantiles; unused ones are infinite."""
-    out = np.full((x.shape[1], BINS - 1), np.inf)
-    for k in range(x.shape[1]):
-        values = np.unique(x[:, k])
-        if len(values) > BINS:
-            values = np.unique(np.quantile(x[:, k], np.linspace(0, 1, BINS), method="lower"))
-        middle = (values[1:] + values[:-1]) / 2
-        out[k, : len(middle)] = middle
+#: Slopes and curvatures are summed in this unit.
+UNIT = 1 << 24
+#: Rows of a block, rounds between two passes over all trees, and blocks whose sums may meet on the driver.
+BLOCK_ROWS, ROUNDS_KEPT, BLOCKS = 1 << 16, 10, 64
+
+Tree = tuple[int, np.ndarray, np.ndarray, np.ndarray]
+
+
+def borders(df: DataFrame, features: str = "features") -> np.ndarray:
+    """Inner bin borders per feature, halfway between neighbouring quantiles; unused ones are infinite.
+
+    The quantiles are those of a sketch with an error of one in 10,000, with least and greatest value among them.
+    """
+    values = df.select(F.posexplode(vector_to_array(features)).alias("feature", "x"))
+    grid = [k / BINS for k in range(BINS + 1)]
+    found = values.groupBy("feature").agg(F.percentile_approx("x", grid, 10_000).alias("q"), F.min("x").alias("low"), F.max("x").alias("high")).collect()
+    out = np.full((len(found), BINS - 1), np.inf)
+    for row in found:
+        cuts = np.unique([row["low"], *row["q"], row["high"]])
+        if len(cuts) > BINS:
+            cuts = cuts[np.unique(np.linspace(0, len(cuts) - 1, BINS).astype(int))]
+        middle = (cuts[1:] + cuts[:-1]) / 2
+        out[row["feature"], : len(middle)] = middle
     return out
 
 
-def _grow(codes: np.ndarray, slope: np.ndarray, curve: np.ndarray, depth: int, least: int, rate: float):
-    """(feature, bin, value) arrays of a tree in heap order, and the step of every row; feature -1 marks a leaf."""
-    rows, width = codes.shape
-    size = 2 ** (depth + 1)
-    feature, cut, value = np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)
-    at = np.ones(rows, np.int64)
-    base = codes + np.arange(width) * BINS
-    for level in range(depth):
-        first, nodes = 2**level, 2**level
-        inside = at >= first
-        slot = ((at[inside] - first)[:, None] * (width * BINS) + base[inside]).ravel()
-        shape = (nodes, width, BINS)
-        total = lambda w: np.bincount(slot, np.repeat(w[inside], width), nodes * width * BINS).reshape(shape).cumsum(axis=2)
-        g, h, n = total(slope), total(curve), total(np.ones(rows))
-        whole_g, whole_h, whole_n = g[:, :, -1:], h[:, :, -1:], n[:, :, -1:]
-        gain = g**2 / (h + 1e-9) + (whole_g - g) ** 2 / (whole_h - h + 1e-9) - whole_g**2 / (whole_h + 1e-9)
-        gain[(n < least) | (whole_n - n < least)] = -np.inf
-        flat = gain.reshape(nodes, -1)
-        best = flat.argmax(axis=1)
-        split = flat[np.arange(nodes), best] > 1e-9
-        ids = first + np.flatnonzero(split)
-        feature[ids], cut[ids] = best[split] // BINS, best[split] % BINS
-        moves = inside & (feature[at] >= 0)
-        right = codes[moves, feature[at[moves]]] > cut[at[moves]]
-        at[moves] = 2 * at[moves] + right
-        if not split.any():
-            break
-    g, h = np.bincount(at, slope, size), np.bincount(at, curve, size)
-    value = -rate * g / (h + 1e-9)
-    return feature, cut, value, value[at]
+def _walk(codes: np.ndarray, tree: Tree) -> np.ndarray:
+    """The node, in heap order, that every row comes to."""
+    _, feature, cut, _ = tree
+    at = np.ones(len(codes), np.int64)
+    rows = np.arange(len(codes))
+    for _ in range(int(np.log2(len(feature))) - 1):
+        used = feature[at]
+        at = np.where(used >= 0, 2 * at + (codes[rows, used] > cut[at]), at)
+    return at
+
+
+def _raised(raw: np.ndarray, codes: np.ndarray, trees: Iterable[Tree]) -> np.ndarray:
+    raw = raw.copy()
+    for tree in trees:
+        raw[:, tree[0]] += tree[3][_walk(codes, tree)]
+    return raw
+
+
+def _chances(raw: np.ndarray) -> np.ndarray:
+    chance = np.exp(raw - raw.max(axis=1, keepdims=True))
+    return chance / chance.sum(axis=1, keepdims=True)
+
+
+def bin_starts(edges: np.ndarray) -> np.ndarray:
+    """Where the bins of each feature begin in one row of all used bins, and how many there are."""
+    return np.concatenate([[0], np.cumsum(np.isfinite(edges).sum(axis=1) + 1)])
+
+
+def level_sums(codes: np.ndarray, y: np.ndarray, raw: np.ndarray, growing: list[Tree], level: int, starts: np.ndarray) -> np.ndarray:
+    """Slope, curvature and rows by (tree, node of the level, bin of a feature), as whole numbers."""
+    width, nodes, bins = codes.shape[1], 2**level, int(starts[-1])
+    chance = _chances(raw)
+    base = codes + starts[:-1]
+    out = np.zeros((3, len(growing), nodes * bins), np.int64)
+    for k, tree in enumerate(growing):
+        at = _walk(codes, tree)
+        inside = at >= nodes
+        slot = ((at[inside] - nodes)[:, None] * bins + base[inside]).ravel()
+        p = chance[inside, tree[0]]
+        for n, weight in enumerate((p - (y[inside] == tree[0]), p * (1 - p), np.full(len(p), 1 / UNIT))):
+            out[n, k] = np.bincount(slot, np.repeat(np.rint(weight * UNIT), width), nodes * bins)
+    return out.reshape(3, len(growing), nodes, bins)
+
+
+def split_level(sums: np.ndarray, growing: list[Tree], level: int, starts: np.ndarray, least: int, enough: int, rate: float) -> bool:
+    """Split the nodes of a level where that gains, give the new leaves their values; whether any was split."""
+    first, any_split = 2**level, False
+    feature_of = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    for k, (_, feature, cut, value) in enumerate(growing):
+        upto = sums[:, k].cumsum(axis=2)
+        before = np.concatenate([np.zeros_like(upto[:, :, :1]), upto[:, :, starts[1:-1] - 1]], axis=2)
+        whole = upto[:, :, starts[1] - 1 : starts[1]]
+        left = upto - before[:, :, feature_of]
+        right = whole - left
+        score = lambda part: (part[0] / UNIT) ** 2 / (part[1] / UNIT + 1e-9)
+        gain = score(left) + score(right) - score(whole)
+        gain[(left[2] < least) | (right[2] < least) | (whole[2] < enough)] = -np.inf
+        best = gain.argmax(axis=1)
+        step = lambda part, *place: -rate * (part[(0, *place)] / UNIT) / (part[(1, *place)] / UNIT + 1e-9)
+        if level == 0:
+            value[1] = step(whole, 0, 0)
+        for node in np.flatnonzero(gain[np.arange(len(gain)), best] > 1e-9):
+            at, place = first + node, int(best[node])
+            feature[at], cut[at] = feature_of[place], place - starts[feature_of[place]]
+            value[2 * at], value[2 * at + 1] = step(left, node, place), step(right, node, place)
+            any_split = True
+    return any_split
 
 
 @dataclasses.dataclass
@@ -70,20 +128,10 @@ class BoostedModel:
     classes: int
     start: np.ndarray
     edges: np.ndarray
-    trees: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]
+    trees: list[Tree]
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        codes = _codes(x, self.edges)
-        raw = np.tile(self.start, (len(x), 1))
-        rows = np.arange(len(x))
-        for label, feature, cut, value in self.trees:
-            at = np.ones(len(x), np.int64)
-            for _ in range(int(np.log2(len(feature))) - 1):
-                used = feature[at]
-                at = np.where(used >= 0, 2 * at + (codes[rows, used] > cut[at]), at)
-            raw[:, label] += value[at]
-        chance = np.exp(raw - raw.max(axis=1, keepdims=True))
-        return chance / chance.sum(axis=1, keepdims=True)
+        return _chances(_raised(np.tile(self.start, (len(x), 1)), _codes(x, self.edges), self.trees))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``df`` with ``probability`` and ``prediction``."""
@@ -104,47 +152,95 @@ class BoostedModel:
 
 
 def _codes(x: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    return np.stack([np.searchsorted(edges[k], x[:, k]) for k in range(x.shape[1])], axis=1)
-
-
-def fit_trees(x: np.ndarray, y: np.ndarray, classes: int, rounds: int, depth: int, rate: float, least: int) -> BoostedModel:
-    edges = _edges(x)
-    codes = _codes(x, edges)
-    start = np.log(np.maximum(np.bincount(y, minlength=classes) / len(y), 1e-6))
-    raw = np.tile(start, (len(y), 1))
-    trees = []
-    for _ in range(rounds):
-        chance = np.exp(raw - raw.max(axis=1, keepdims=True))
-        chance /= chance.sum(axis=1, keepdims=True)
-        steps = np.zeros_like(raw)
-        for label in range(classes):
-            p = chance[:, label]
-            feature, cut, value, steps[:, label] = _grow(codes, p - (y == label), p * (1 - p), depth, least, rate)
-            trees.append((label, feature, cut, value))
-        raw += steps
-    return BoostedModel(classes, start, edges, trees)
+    return np.stack([np.searchsorted(edges[k], x[:, k]) for k in range(x.shape[1])], axis=1).astype(np.uint8)
+
+
+def binned(df: DataFrame, edges: np.ndarray) -> DataFrame:
+    """(block): codes and labels of up to ``BLOCK_ROWS`` rows each, packed."""
+    rows = df.select(vector_to_array("features").alias("x"), F.col("label").cast("int").alias("y"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def block() -> pa.RecordBatch:
+            made = pickle.dumps((np.concatenate([c for c, _ in held]), np.concatenate([y for _, y in held])))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["block"])
+
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                held.append((_codes(x, edges), batch.column("y").to_numpy(zero_copy_only=False).astype(np.int64)))
+            if sum(len(y) for _, y in held) >= BLOCK_ROWS:
+                yield block()
+        if held:
+            yield block()
+
+    return rows.mapInArrow(run, "block binary")
 
 
 @dataclasses.dataclass
 class Boosted:
-    """Estimator over ``features`` and ``label``; the rows must be bounded by the caller, as ``features.bounded`` does."""
+    """Estimator over ``features`` and ``label``; fits all rows it is given, wherever they lie.
+
+    ``least`` rows at least stay in a leaf, a node of fewer than ``enough`` rows is not split.
+    """
 
     rounds: int = 150
     depth: int = 5
     rate: float = 0.1
     least: int = 2
+    enough: int = 5
     classes: int = 5
 
-    def fit(self, df: DataFrame) -> BoostedModel:
-        settings = dataclasses.astuple(self)
-        rows = df.select(vector_to_array("features").alias("x"), F.col("label").cast("int").alias("y"), F.xxhash64("claim_id").alias("k"))
+    def _grow(self, state: RDD, since: list[Tree], starts: np.ndarray) -> list[Tree]:
+        """One tree per class, each level from one aggregate over all blocks."""
+        size = 2 ** (self.depth + 1)
+        growing: list[Tree] = [(k, np.full(size, -1), np.zeros(size, np.int64), np.zeros(size)) for k in range(self.classes)]
+        for level in range(self.depth):
+
+            def sums(blocks: Iterator[bytes], level: int = level, trees: tuple = (since, growing)) -> Iterator[np.ndarray]:
+                total = None
+                for data in blocks:
+                    codes, y, raw = pickle.loads(data)
+                    own = level_sums(codes, y, _raised(raw, codes, trees[0]), trees[1], level, starts)
+                    total = own if total is None else total + own
+                if total is not None:
+                    yield total
+
+            found = state.mapPartitions(sums)
+            parts = state.getNumPartitions()
+            total = sum(found.collect()) if parts <= BLOCKS else found.treeReduce(np.add, depth=3)
+            if not split_level(total, growing, level, starts, self.least, self.enough, self.rate):
+                break
+        return growing
 
-        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(list(batches)).sort_by("k")
-            rounds, depth, rate, least, classes = settings
-            x, y = np.array(table.column("x").to_pylist(), float), table.column("y").to_numpy()
-            model = fit_trees(x, y, classes, rounds, depth, rate, least)
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
-
-        found = rows.coalesce(1).mapInArrow(run, "model binary").first()
-        return pickle.loads(found["model"])
+    def fit(self, df: DataFrame) -> BoostedModel:
+        edges = borders(df)
+        blocks = binned(df, edges).persist(StorageLevel.MEMORY_AND_DISK)
+        base = blocks.rdd.map(lambda row: bytes(row[0]))
+        counts = {int(r["label"]): r["count"] for r in df.groupBy("label").count().collect()}
+        total = sum(counts.values())
+        if not total:
+            raise ValueError("no rows to fit on")
+        start = np.log(np.maximum([counts.get(k, 0) / total for k in range(self.classes)], 1e-6))
+        trees: list[Tree] = []
+        state, older = None, None
+        try:
+            for done in range(self.rounds):
+                if done % ROUNDS_KEPT == 0:
+
+                    def scored(data: bytes, known: tuple = (start, list(trees))) -> bytes:
+                        codes, y = pickle.loads(data)
+                        return pickle.dumps((codes, y, _raised(np.tile(known[0], (len(y), 1)), codes, known[1])))
+
+                    state, older = base.map(scored).persist(StorageLevel.MEMORY_AND_DISK), state
+                    if older is not None:
+                        older.unpersist()
+                    kept = len(trees)
+                trees += self._grow(state, trees[kept:], bin_starts(edges))
+        finally:
+            if state is not None:
+                state.unpersist()
+            blocks.unpersist()
+        return BoostedModel(self.classes, start, edges, trees)

@@ -96,7 +96,9 @@ def cross_validate(
         try:
             size = train.count()
             test = assembly.transform(test)
-            return [(name, fold, float(macro_f1(build(size).fit(train).transform(test)).first()[0])) for name, build in models.items()]
+            score = lambda build: float(macro_f1(build(size).fit(train).transform(test)).first()[0])
+            with ThreadPool(len(models)) as pool:
+                return [(name, fold, found) for name, found in zip(models, pool.map(score, models.values()))]
         finally:
             train.unpersist()
 
@@ -169,19 +171,21 @@ def calibration(predictions: DataFrame, bins: int = 10) -> DataFrame:
     )
 
 
-def fit_all(rows: DataFrame, build: Callable[[int], Estimator], fit_rows: int | None = features.FIT_ROWS) -> tuple[Model, DataFrame]:
-    """Fit on all rows, bounded by ``fit_rows``, and predict all rows, as calibration does."""
+def fit_all(rows: DataFrame, models: dict[str, Callable[[int], Estimator]], fit_rows: int | None = features.FIT_ROWS) -> tuple[dict[str, Model], DataFrame]:
+    """All models, fitted side by side on one draw of all rows, and all rows ready to be predicted."""
     chosen = features.bounded(rows, fit_rows)
     assembly = features.assembler().fit(chosen)
     chosen = features.with_class_weights(assembly.transform(chosen)).persist()
     try:
-        model = build(chosen.count()).fit(chosen)
+        size = chosen.count()
+        with ThreadPool(len(models)) as pool:
+            fitted = dict(zip(models, pool.map(lambda build: build(size).fit(chosen), models.values())))
     finally:
         chosen.unpersist()
-    return model, model.transform(assembly.transform(rows))
+    return fitted, assembly.transform(rows)
 
 
-def calibrations(rows: DataFrame, models: dict[str, Callable[[int], Estimator]], bins: int = 10) -> DataFrame:
+def calibrations(rows: DataFrame, models: dict[str, Callable[[int], Estimator]], bins: int = 10, fit_rows: int | None = features.FIT_ROWS) -> DataFrame:
     """The calibration of every model, with its name."""
-    found = [calibration(fit_all(rows, build)[1], bins).select(F.lit(name).alias("model"), "*") for name, build in models.items()]
-    return union_all(found)
+    fitted, ready = fit_all(rows, models, fit_rows)
+    return union_all([calibration(model.transform(ready), bins).select(F.lit(name).alias("model"), "*") for name, model in fitted.items()])

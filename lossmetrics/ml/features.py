@@ -126,19 +126,29 @@ def split(features: DataFrame, test_size: float = 0.2, seed: int = config.SEED)
 FIT_ROWS = 4_000
 
 
-def bounded(rows: DataFrame, fit_rows: int | None, seed: int = config.SEED) -> DataFrame:
+#: Rows of a class and hash slice are counted in this many slices of the hash.
+_CUT_SLICES = 1 << 16
+
+
+def bounded(rows: DataFrame, fit_rows: int | None, seed: int = config.SEED, label: str = "severity_level", row_id: str = "claim_id") -> DataFrame:
     """At most about ``fit_rows`` rows, every class in its share, chosen by a hash of the claim id; all rows for None.
 
-    The bounded rows come in one partition: iterative fits over a few thousand rows are bound by task starts.
+    Threshold sampling: rows are counted by class and slice of the hash, which gives each class the slice up to which its
+    share reaches; every task then keeps the rows below that cut, and only these are shuffled. The last slice is kept whole, so
+    a class may have a few rows more than its share and has at least one.
     """
     if fit_rows is None:
         return rows
-    found = rows.count()
-    if found <= fit_rows:
-        return rows.coalesce(1)
-    share = fit_rows / found
-    parts = stratified_parts(rows, "severity_level", "claim_id", [share, 1 - share], seed + 1)
-    return parts.where("part = 0").drop("part").coalesce(1)
+    cut = F.pmod(F.xxhash64(F.lit(seed + 1), F.lit("cut"), row_id), F.lit(_CUT_SLICES)).cast("int")
+    counts = rows.groupBy(label, cut.alias("slice")).agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(label).orderBy("slice"))  # at most 65,536 rows per class
+    placed = counts.select(label, "slice", "n", upto.alias("upto"), F.sum("n").over(Window.partitionBy(label)).alias("class_rows"))
+    whole = counts.agg(F.sum("n").alias("rows"))  # one row
+    wanted = F.ceil(F.least(F.lit(1.0), F.lit(float(fit_rows)) / F.col("rows")) * F.col("class_rows"))
+    cuts = placed.join(F.broadcast(whole)).where(F.col("upto") - F.col("n") < wanted).groupBy(label).agg(F.max("slice").alias("_last"))
+    parts = max(1, min(rows.sparkSession.sparkContext.defaultParallelism, fit_rows // 1000))
+    kept = rows.join(F.broadcast(cuts), label).where(cut <= F.col("_last"))  # one row per class
+    return kept.select(*rows.columns).repartition(parts, row_id)
 
 
 def with_class_weights(rows: DataFrame, label: str = "label") -> DataFrame:

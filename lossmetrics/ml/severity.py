@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -103,7 +104,9 @@ def train(
     test_rows = assembly.transform(test_rows)
     try:
         size = train_rows.count()
-        fitted = {name: build(size).fit(train_rows) for name, build in (models or builders(seed=seed)).items()}
+        wanted = models or builders(seed=seed)
+        with ThreadPool(len(wanted)) as pool:  # the fits are many small jobs, so they run side by side
+            fitted = dict(zip(wanted, pool.map(lambda build: build(size).fit(train_rows), wanted.values())))
         names = feature_names(train_rows)
     finally:
         train_rows.unpersist()

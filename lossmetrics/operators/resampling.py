@@ -6,15 +6,17 @@ cluster layout.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lossmetrics import config
 from lossmetrics.functions.columns import exact_sum, mean_amount, rows, wilson
+from lossmetrics.functions.distributions import quantiles
 
 
 def proportion_interval(claims: DataFrame, flag: str | Column, *keys: str, level: float = 0.95) -> DataFrame:
@@ -175,3 +177,98 @@ def bootstrap_interval(
             F.coalesce((F.col("q")[1] - F.col("q")[0]) / 2 * scale, F.lit(0.0)).alias("margin_of_error"),
         )
     )
+
+
+#: Distinct values whose counts every task of a bootstrap may hold.
+MAX_VALUES = 1 << 21
+#: Standard deviations of a resampled rank that a percentile's window spans to either side.
+RANK_SPREAD = 9.0
+
+#: A statistic of ascending values and of how often each occurs.
+Statistic = Callable[[np.ndarray, np.ndarray], float]
+
+
+def weighted_percentile(p: float) -> Statistic:
+    """The interpolated percentile of values that occur ``weights`` times each; nan without any."""
+
+    def at(values: np.ndarray, weights: np.ndarray) -> float:
+        upto = np.cumsum(weights)
+        if not len(upto) or upto[-1] == 0:
+            return float("nan")
+        place = p * (upto[-1] - 1)
+        low, high = (values[np.searchsorted(upto, k, side="right")] for k in (math.floor(place), math.ceil(place)))
+        return float(low if low == high else low + (high - low) * (place - math.floor(place)))
+
+    return at
+
+
+def _replicated(spark: SparkSession, values: np.ndarray, counts: np.ndarray, statistic: Statistic, n_boot: int, seed: int) -> DataFrame:
+    """(replicate, statistic): a value that occurs n times gets a Poisson(n) weight in every replicate, as n rows with weights of Poisson(1) would."""
+    sent = spark.sparkContext.broadcast((values, counts))  # at most MAX_VALUES
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        values, counts = sent.value
+        for batch in batches:
+            found = [statistic(values, np.random.Generator(np.random.Philox(key=[seed, int(k)])).poisson(counts)) for k in batch["id"]]
+            yield pd.DataFrame({"replicate": batch["id"], "statistic": np.array(found, float)})
+
+    tasks = max(1, min(n_boot, spark.sparkContext.defaultParallelism))
+    return spark.range(0, n_boot, 1, tasks).mapInPandas(draw, "replicate long, statistic double")
+
+
+def _interval(replicates: DataFrame, estimate: float, level: float) -> DataFrame:
+    edge = (1 - level) / 2
+    known = F.when(~F.isnan("statistic"), F.col("statistic"))
+    q = replicates.agg(F.percentile(known, F.array(F.lit(edge), F.lit(1 - edge))).alias("q"))
+    whole = None if math.isnan(estimate) else estimate
+    return q.select(
+        F.lit(whole).cast("double").alias("estimate"), F.col("q")[0].alias("ci_lower"), F.col("q")[1].alias("ci_upper"),
+        ((F.col("q")[1] - F.col("q")[0]) / 2).alias("margin_of_error"),
+    )
+
+
+def _counted(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending values and their counts; an error beyond ``MAX_VALUES``."""
+    found = rows.groupBy("v").agg(F.count(F.lit(1)).alias("n")).limit(MAX_VALUES + 1).toPandas().sort_values("v")
+    if len(found) > MAX_VALUES:
+        raise ValueError(f"more than {MAX_VALUES} distinct values: use a percentile, a sum or a mean, or round the values")
+    return found["v"].to_numpy(float), found["n"].to_numpy(np.int64)
+
+
+def bootstrap_statistic(
+    claims: DataFrame, value: str, statistic: Statistic, n_boot: int = 1000, level: float = 0.95, seed: int = config.SEED
+) -> DataFrame:
+    """Percentile bootstrap interval of any statistic of a column, given as a function of ascending values and counts.
+
+    Rows are counted by value, so the table is read once and a value that many rows share costs as much as any other. Null
+    values are left out; without values all results are null.
+    """
+    rows = claims.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    values, counts = _counted(rows)
+    estimate = statistic(values, counts) if len(values) else float("nan")
+    if not len(values):
+        n_boot = 0
+    return _interval(_replicated(claims.sparkSession, values, counts, statistic, n_boot, seed), estimate, level)
+
+
+def bootstrap_percentile(
+    claims: DataFrame, value: str, p: float = 0.5, n_boot: int = 1000, level: float = 0.95, seed: int = config.SEED
+) -> DataFrame:
+    """Percentile bootstrap interval of a percentile, at any number of distinct values.
+
+    In a resample of N rows the wanted rank moves by about sqrt(N p (1 - p)). Values farther away than ``RANK_SPREAD`` times that
+    only matter by how many they are: those below and those above are one value each, and what lies between, about
+    the square root of the rows, is counted by value. The window's edges are exact quantiles.
+    """
+    if not 0 <= p <= 1:
+        raise ValueError("p lies between 0 and 1")
+    rows = claims.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    total = rows.count()
+    spread = (RANK_SPREAD * math.sqrt(total * p * (1 - p)) + RANK_SPREAD**2) / max(total, 1)
+    statistic = weighted_percentile(p)
+    if spread > 0.25:
+        return bootstrap_statistic(claims, value, statistic, n_boot, level, seed)
+    edges = quantiles(rows, "v", {"low": max(0.0, p - spread), "high": min(1.0, p + spread)}).first()
+    outside = F.when(F.col("v") < edges["low"], float("-inf")).when(F.col("v") > edges["high"], float("inf"))
+    values, counts = _counted(rows.select(F.coalesce(outside, F.col("v")).alias("v")))
+    return _interval(_replicated(claims.sparkSession, values, counts, statistic, n_boot, seed), statistic(values, counts), level)

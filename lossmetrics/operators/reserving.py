@@ -62,7 +62,7 @@ def wide_triangle(claims: DataFrame, devs: int, *segments: str, prefix: str = "d
         columns = [
             F.coalesce(F.round(c["cumulative_paid"], 2), F.lit(0.0)).alias(f"{prefix}{d}") for d, c in enumerate(before)
         ]
-    return grid.agg(*columns)
+    return grid.agg(*columns) if columns else cells(claims, *segments).select(*KEY).distinct()  # no claims, no development year
 
 
 def _links(grid: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lossmetrics.plans import star
 from lossmetrics.plans.cleaning import clean_claims
@@ -65,7 +66,8 @@ def write_table(df: DataFrame, path: str, partition: str | None = None) -> DataF
         df.hint("rebalance", F.col(partition)).write.mode("overwrite").partitionBy(partition).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    fields = sorted(df.schema.fields, key=lambda f: f.name == partition)  # a table without rows has no file to take them from
+    return df.sparkSession.read.schema(StructType(fields)).parquet(path)
 
 
 def write_dims(sources: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:

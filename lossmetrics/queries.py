@@ -9,6 +9,7 @@ import functools
 import os
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,17 +98,16 @@ def _sink(expected: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame
 def _sheet(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         claims = open_warehouse(spark, sf_dir).summary
-        paths = sinks.bi_extract(claims, f"{export_folder(spark, sf_dir)}/bi_extract")
-        sheets = extracts.sheets(claims)
-        return sinks.read_back(spark, paths[list(sheets).index(name)], sheets[name])
+        (path,) = sinks.bi_extract(claims, f"{export_folder(spark, sf_dir)}/bi_extract", [name])
+        return sinks.read_back(spark, path, extracts.sheets(claims)[name])
 
     return run
 
 
 def _star(spark: SparkSession, sf_dir: str):
     """The full reload: dimensions, fact and summary as tables of their own."""
-    sources = sources_from_tpch(spark, sf_dir)
-    return write_star(open_warehouse(spark, sf_dir).raw, sources, f"{export_folder(spark, sf_dir)}/star")
+    w = open_warehouse(spark, sf_dir)
+    return write_star(w.raw, w.sources, f"{export_folder(spark, sf_dir)}/star")
 
 
 def _occurring(key: str, member: str, code: str) -> Query:
@@ -332,6 +332,10 @@ def page_queries() -> dict[str, Query]:
         "k5_monthly_metrics": _sink(extracts.monthly_metrics, sinks.monthly_metrics),
         "k6_provider_scorecard": _sink(extracts.provider_scorecard, sinks.provider_scorecard),
         "k7_severity_sheet": _sheet("severity_analysis"),
+        "k7_claims_sheet": _sheet("claims_detail"),
+        "k7_monthly_sheet": _sheet("monthly_summary"),
+        "k7_provider_sheet": _sheet("provider_scorecard"),
+        "k7_regional_sheet": _sheet("regional_summary"),
         "k8_fact_table": lambda spark, sf_dir: _star(spark, sf_dir)[1],
         "k8_summary_table": lambda spark, sf_dir: _star(spark, sf_dir)[2],
         "k9_triangle_download": on(
@@ -358,6 +362,9 @@ def advanced_queries() -> dict[str, Query]:
         "x6_bootstrap_paid": on("summary", lambda s: resampling.bootstrap_interval(s, "paid_amount", "sum")),
         "x6_bootstrap_severity": on("summary", lambda s: resampling.bootstrap_interval(s, "severity_level", "mean")),
         "x5_savings_order": on("summary", _savings_order),
+        "x6_bootstrap_median": on("summary", lambda s: resampling.bootstrap_percentile(s, "paid_amount", 0.5)),
+        "x6_bootstrap_p95": on("summary", lambda s: resampling.bootstrap_percentile(s, "paid_amount", 0.95)),
+        "x6_bootstrap_severity_spread": on("summary", lambda s: resampling.bootstrap_statistic(s, "severity_level", _spread)),
         "x6_bootstrap_bounds": on("summary", _bootstrap_bounds),
         "x7_litigation_interval": on(
             "summary",
@@ -396,7 +403,13 @@ def once(spark: SparkSession, sf_dir: str, name: str, make: Callable):
 
 
 def fitted(name: str, make: Callable, read: Callable) -> Query:
-    return lambda spark, sf_dir: read(once(spark, sf_dir, name, make))
+    """A query that reads the fit called ``name``, which it carries as ``fit``."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return read(once(spark, sf_dir, name, make))
+
+    run.fit = name
+    return run
 
 
 def _scores(claims: DataFrame) -> DataFrame:
@@ -448,17 +461,26 @@ def _predicted_totals(models: severity.SeverityModels) -> DataFrame:
     return union_all(counts)
 
 
+def _spread(values: np.ndarray, weights: np.ndarray) -> float:
+    """Population deviation of counted values."""
+    rows = weights.sum()
+    if not rows:
+        return float("nan")
+    mean = (values * weights).sum() / rows
+    return float(np.sqrt((weights * (values - mean) ** 2).sum() / rows))
+
+
 def _bootstrap_bounds(claims: DataFrame) -> DataFrame:
     """Bootstrap estimates, and whether their intervals hold them."""
-    found = [
-        resampling.bootstrap_interval(claims, value, statistic).select(
-            F.lit(f"{statistic} of {value}").alias("statistic"),
-            F.round("estimate", 2).alias("estimate"),
-            F.col("estimate").between(F.col("ci_lower"), F.col("ci_upper")).alias("inside"),
-        )
-        for value, statistic in (("paid_amount", "sum"), ("severity_level", "mean"))
-    ]
-    return union_all(found)
+    found = {
+        "sum of paid_amount": resampling.bootstrap_interval(claims, "paid_amount", "sum"),
+        "mean of severity_level": resampling.bootstrap_interval(claims, "severity_level", "mean"),
+        "median of paid_amount": resampling.bootstrap_percentile(claims, "paid_amount", 0.5),
+        "95th percentile of paid_amount": resampling.bootstrap_percentile(claims, "paid_amount", 0.95),
+        "deviation of severity_level": resampling.bootstrap_statistic(claims, "severity_level", _spread),
+    }
+    inside = F.col("estimate").between(F.col("ci_lower"), F.col("ci_upper")).alias("inside")
+    return union_all([df.select(F.lit(name).alias("statistic"), F.round("estimate", 2).alias("estimate"), inside) for name, df in found.items()])
 
 
 def _savings_order(claims: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ column, so collecting them is bounded by the schema.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,9 +62,9 @@ def provider_scorecard(claims: DataFrame, folder: str) -> str:
     return write_csv(extracts.provider_scorecard(claims), f"{folder}/provider_scorecard.csv", bom=True)
 
 
-def bi_extract(claims: DataFrame, folder: str) -> list[str]:
-    """The five sheets, one folder each."""
-    return [write_csv(df, f"{folder}/{name}", bom=True) for name, df in extracts.sheets(claims).items()]
+def bi_extract(claims: DataFrame, folder: str, names: Iterable[str] | None = None) -> list[str]:
+    """The five sheets, or those named, one folder each."""
+    return [write_csv(df, f"{folder}/{name}", bom=True) for name, df in extracts.sheets(claims).items() if names is None or name in set(names)]
 
 
 def export_all(claims: DataFrame, folder: str) -> list[str]:
@@ -104,7 +105,7 @@ def quality_report(
 ) -> str:
     """Markdown report of a cleaning run: summary, issues, before/after, nulls and ranges."""
     compared = {r["category"]: r for r in quality.comparison(raw, clean, as_of).collect()}
-    overall = compared.pop("Total")
+    overall = compared.pop("Total", None) or dict.fromkeys(("before", "resolved", "after"), 0)  # no rows, no comparison
     facts = {"records": raw.count(), "seconds": seconds} | {c: overall[c] for c in ("before", "resolved", "after")}
 
     def issue(row) -> list[str]:

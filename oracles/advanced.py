@@ -155,7 +155,10 @@ SQL = {
     "x5_savings_order": S("SELECT claim_type, true AS ordered FROM s GROUP BY 1"),
     "x6_bootstrap_bounds": S(
         """SELECT 'sum of paid_amount' AS statistic, round(sum(paid_amount), 2) AS estimate, true AS inside FROM s
-        UNION ALL SELECT 'mean of severity_level', round(avg(severity_level), 2), true FROM s"""
+        UNION ALL SELECT 'mean of severity_level', round(avg(severity_level), 2), true FROM s
+        UNION ALL SELECT 'median of paid_amount', round(quantile_cont(paid_amount::DOUBLE, 0.5), 2), true FROM s
+        UNION ALL SELECT '95th percentile of paid_amount', round(quantile_cont(paid_amount::DOUBLE, 0.95), 2), true FROM s
+        UNION ALL SELECT 'deviation of severity_level', round(stddev_pop(severity_level), 2), true FROM s"""
     ),
     "m8_report_fixed": S(REPORT),
     "m8_confusion_fixed": S(

@@ -211,3 +211,7 @@ SQL = {
 SQL["k5_monthly_metrics"] = SQL["e1_monthly_metrics"]
 SQL["k6_provider_scorecard"] = SQL["e2_provider_scorecard"]
 SQL["k7_severity_sheet"] = SQL["e3_severity_sheet"]
+SQL["k7_claims_sheet"] = SQL["k3_claims_detail"]
+SQL["k7_monthly_sheet"] = SQL["e1b_monthly_sheet"]
+SQL["k7_provider_sheet"] = SQL["e2_provider_scorecard"]
+SQL["k7_regional_sheet"] = SQL["e4_state_summary"]

@@ -1,4 +1,5 @@
 import glob
+import gzip
 
 import pytest
 
@@ -32,17 +33,63 @@ def test_columns_are_bound_by_name(spark, tmp_path):
     (tmp_path / "claims.csv").write_text(
         'severity,notes,paid_amount,claim_id,claim_type\n2.7,hello,5,A,"a ""b"", c\nd"\n1e12,"x,y",6,B,\n', encoding="utf-8"
     )
-    rows = csv.read_claims(spark, str(tmp_path)).orderBy("claim_id").collect()
+    rows = csv.read_claims(spark, str(tmp_path), multiline=True).orderBy("claim_id").collect()
     assert [(r["claim_id"], r["paid_amount"], r["severity"], r["claim_type"]) for r in rows] == [("A", "5", "2.7", 'a "b", c\nd'), ("B", "6", "1e12", None)]
     assert rows[0]["incident_date"] is None and "notes" not in rows[0].asDict()
-    clean = {r["claim_id"]: r for r in cleaning.clean_claims(csv.read_claims(spark, str(tmp_path))).collect()}
+    clean = {r["claim_id"]: r for r in cleaning.clean_claims(csv.read_claims(spark, str(tmp_path), multiline=True)).collect()}
     assert clean["A"]["severity"] is None and clean["B"]["severity"] is None
 
 
+def test_parts_have_headers_of_their_own(spark, tmp_path):
+    """Reordered, missing, unknown and repeated columns, a mark, an empty part and a compressed one."""
+    folder = tmp_path / "claims.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text("claim_id,severity,paid_amount\nA,4,20.5\n", encoding="utf-8")
+    (folder / "b.csv").write_text("\ufeffclaim_id,paid_amount,severity\nB,20.5,4\n", encoding="utf-8")
+    (folder / "c.csv").write_text('state_code,"claim_id",other,state_code\nNY,C,x,TX\n', encoding="utf-8")
+    (folder / "d.csv").write_text("", encoding="utf-8")
+    (folder / "_SUCCESS").write_text("", encoding="utf-8")
+    (folder / ".hidden.csv").write_text("claim_id\nno\n", encoding="utf-8")
+    with gzip.open(folder / "e.csv.gz", "wt", encoding="utf-8") as f:
+        f.write("severity,claim_id\n2,E\n")
+    rows = csv.read_claims(spark, str(tmp_path)).orderBy("claim_id").collect()
+    found = [(r["claim_id"], r["severity"], r["paid_amount"], r["state_code"]) for r in rows]
+    assert found == [("A", "4", "20.5", None), ("B", "4", "20.5", None), ("C", None, None, "NY"), ("E", "2", None, None)]
+
+
+def test_a_large_file_is_read_by_several_tasks(spark, tmp_path):
+    with open(tmp_path / "claims.csv", "w", encoding="utf-8") as f:
+        f.write("claim_id,severity\n")
+        f.writelines(f"C{k},{k % 5}\n" for k in range(200_000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        claims = csv.read_claims(spark, str(tmp_path))
+        assert claims.rdd.getNumPartitions() > 4
+        assert claims.count() == 200_000 and claims.where("claim_id is null or claim_id = 'claim_id'").count() == 0
+        assert csv.read_claims(spark, str(tmp_path), multiline=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_malformed_rows_are_named(spark, tmp_path):
+    path = tmp_path / "claims.csv"
+    path.write_text("claim_id,severity\nA,1\nB\nC,1,2,3\nD,2\n", encoding="utf-8")
+    found = {r["_corrupt_record"] for r in csv.malformed(spark, str(path), schemas.raw_claims_schema()).collect()}
+    assert found == {"B", "C,1,2,3"}
+    assert csv.read_claims(spark, str(tmp_path)).count() == 4
+
+
+def test_empty_folder_of_claims(spark, tmp_path):
+    (tmp_path / "claims.csv").mkdir()
+    claims = csv.read_claims(spark, str(tmp_path))
+    assert claims.count() == 0 and claims.columns == schemas.raw_claims_schema().names
+
+
 def test_quotes_survive_a_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("1", 'say "no", then\nleave'), ("2", "back\\slash"), ("3", None)], "claim_id string, claim_type string")
     sinks.write_csv(df, f"{tmp_path}/claims.csv")
-    back = {r["claim_id"]: r["claim_type"] for r in csv.read_claims(spark, str(tmp_path)).collect()}
+    back = {r["claim_id"]: r["claim_type"] for r in csv.read_claims(spark, str(tmp_path), multiline=True).collect()}
     assert back == {"1": 'say "no", then\nleave', "2": "back\\slash", "3": None}
 
 
