@@ -2,7 +2,8 @@
 
 The global order of the n-grams is that of their 64-bit hashes. Equal steps in it cut every document's set into fragments.
 
-1. Documents with equal sets form a class; the smallest id stands for it.
+1. Documents with equal sets form a class, which a hash of the set names. Classes are compared, not ids: rows of one id with
+   different texts are different documents. Ids come back in at the end, the smallest of each component.
 2. The first fragment of every set is compared over the whole corpus. In a link at ratio t a set keeps at most the share
    1 - t of its n-grams to itself, so a class with more n-grams of its own in that fragment alone has no link. Nearly all
    documents end here, at the price of shuffling one fragment.
@@ -18,8 +19,9 @@ The global order of the n-grams is that of their 64-bit hashes. Equal steps in i
 Hashes have 64 bits: a wrong link needs a collision of n-grams or of whole sets.
 
 Defined cases: a text with fewer words than n is one n-gram; a null, empty or blank text has an empty set, links with
-nothing and is its own component; repeated rows and equal texts fall in one class; a null id comes back with a null
-component; an empty table gives an empty table.
+nothing and is its own component; repeated rows and equal texts fall in one class; rows of one id with different texts
+are linked each by its own text; a null id comes back with a null component, and a text that only rows without an id have
+links with nothing; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -32,7 +34,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from lossmetrics.llm.batches import blocks
+from lossmetrics.functions.distributions import union_all
+from lossmetrics.llm.batches import assemble, blocks, with_fields
 from lossmetrics.llm.graph import components
 from lossmetrics.llm.tables import written
 from lossmetrics.llm.words import BLOCK_BYTES, Block, mix
@@ -73,6 +76,11 @@ def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), values)
 
 
+def _class_of(sets: list[np.ndarray]) -> np.ndarray:
+    """A hash of each set; n-gram hashes are mixed already."""
+    return mix(np.array([s.sum() for s in sets], np.uint64)).view(np.int64)
+
+
 def _first_fragments(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     """(``id``, ``n``, ``class``, ``head``): set size, hash of the set, and its first fragment in 32 bits."""
     schema = StructType(
@@ -83,13 +91,12 @@ def _first_fragments(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, text, BLOCK_BYTES):
             sets = ngram_sets(part.column(text).to_pylist(), n)
-            marks = mix(np.array([s.sum() for s in sets], np.uint64))  # n-gram hashes are mixed already
             heads = [(s[: np.searchsorted(s, step)] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(key),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array(marks.view(np.int64)),
+                    pa.array(_class_of(sets)),
                     _lists(heads, pa.int32()),
                 ],
                 [key, "n", "class", "head"],
@@ -99,16 +106,30 @@ def _first_fragments(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
 
 
 def _all_fragments(docs: DataFrame, n: int) -> DataFrame:
-    """(``id``, ``n``, ``grams``) with the whole set of each row of (``id``, ``text``)."""
-    schema = StructType([docs.schema["id"], StructField("n", LongType()), StructField("grams", ArrayType(LongType()))])
+    """(``class``, ``n``, ``grams``) with the whole set of each row's ``text``."""
+    schema = StructType([StructField("class", LongType()), StructField("n", LongType()), StructField("grams", ArrayType(LongType()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, "text", BLOCK_BYTES):
             sets = ngram_sets(part.column("text").to_pylist(), n)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array([len(s) for s in sets], pa.int64()), _lists([s.view(np.int64) for s in sets], pa.int64())],
-                ["id", "n", "grams"],
-            )
+            found = [pa.array(_class_of(sets)), pa.array([len(s) for s in sets], pa.int64()), _lists([s.view(np.int64) for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays(found, schema.fieldNames())
+
+    return docs.select("text").mapInArrow(run, schema)
+
+
+#: Columns that ``with_class`` adds.
+CLASS, SIZE = "__class", "__n"
+
+
+def with_class(docs: DataFrame, text: str, n: int) -> DataFrame:
+    """``docs`` with the class and the size of each row's set."""
+    schema = with_fields(docs, [StructField(CLASS, LongType()), StructField(SIZE, LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in blocks(batches, text, BLOCK_BYTES):
+            sets = ngram_sets(part.column(text).to_pylist(), n)
+            yield assemble(part, schema, {CLASS: pa.array(_class_of(sets)), SIZE: pa.array([len(s) for s in sets], pa.int64())})
 
     return docs.mapInArrow(run, schema)
 
@@ -142,7 +163,7 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def _candidates(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(``id``, ``n``, ``grams``) of the classes that the first fragment does not rule out."""
+    """(``id``, ``n``, ``grams``) of the classes that the first fragment does not rule out; from here on ``id`` is the class."""
     single = (
         heads.select("class", F.explode("head").alias("gram"))
         .groupBy("gram")
@@ -152,14 +173,16 @@ def _candidates(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int,
         .agg(F.count(F.lit(1)).alias("own"))
     )
     classes = heads.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.max("n").alias("n"))
-    left = classes.join(single, "class", "left").where(F.coalesce("own", F.lit(0)) <= _spare(percent)).select("id")
+    left = classes.join(single, "class", "left").where(F.coalesce("own", F.lit(0)) <= _spare(percent)).select("class", "id")
     left = written(left.where(F.col("id").isNotNull()), "left")
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(left, "id", "left_semi")
-    return written(_all_fragments(texts, n).dropDuplicates(["id"]), "sets")
+    # Other texts of these ids are read as well; only the classes asked for stay, once each.
+    sets = _all_fragments(texts, n).join(left, "class", "left_semi").dropDuplicates(["class"])
+    return written(sets.withColumnRenamed("class", "id"), "sets")
 
 
 def links(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(``a``, ``b``): links between class representatives that connect all that is connected."""
+    """(``a``, ``b``): links between classes that connect all that is connected."""
     sets = _candidates(docs, heads, key, text, n, percent)
     grams = sets.select("id", "n", F.explode("grams").alias("gram"))
     often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -207,15 +230,44 @@ def links(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percen
     return first.union(_linked(_overlaps(_ordered(rest), fragments), percent))
 
 
+def _groups(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
+    """(``class``, ``id``, ``rows``, ``component``) of every class: its smallest id, and the component's name if it has links."""
+    found = components(links(docs, heads, key, text, n, percent))
+    classes = heads.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("rows"))
+    return classes.join(found.withColumnRenamed("node", "class"), "class", "left")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """(``key``, ``n_shingles``, ``component_id``) per row: documents are linked at ``percent`` of their union or more."""
     heads = written(_first_fragments(docs, key, text, n), "heads")
-    groups = components(links(docs, heads, key, text, n, percent))
-    classes = heads.where("n > 0").groupBy("class").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("rows"))
-    labels = classes.join(groups, "node", "left").where("rows > 1 OR component IS NOT NULL")
-    labels = labels.select("class", F.lit(True).alias("known"), F.coalesce("component", "node").alias("component"))
+    groups = _groups(docs, heads, key, text, n, percent).where("rows > 1 OR component IS NOT NULL")
+    first = groups.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("first"))
+    labels = groups.join(first, "component", "left").select("class", F.coalesce("first", "id").alias("component"))
     joined = heads.select("id", "n", F.when(F.col("n") > 0, F.col("class")).alias("class")).join(labels, "class", "left")
     return joined.select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that with the smallest id.
+
+    Rows of one id and one set of n-grams are one document; rows of one id with different texts are judged each by its own
+    text. Rows without an id or without words are in no group and stay.
+    """
+    heads = written(_first_fragments(docs, key, text, n), "heads")
+    known = heads.where("n > 0 AND id IS NOT NULL").groupBy("id", "class").agg(F.count(F.lit(1)).alias("copies"))
+    groups = _groups(docs, heads, key, text, n, percent).select("class", F.coalesce("component", "class").alias("group"), (F.col("component").isNotNull() | (F.col("rows") > 1)).alias("shared"))
+    # Rows of classes of their own are neither compared nor moved.
+    several = known.join(groups.where("shared"), "class")
+    stays = several.groupBy("group").agg(F.min(F.struct("id", "class")).alias("first")).select("group", F.lit(True).alias("stays"), "first.*")
+    gone = several.join(stays, ["group", "id", "class"], "left").where("stays IS NULL").select(F.col("id").alias(key), F.col("class").alias(CLASS))
+    repeated = known.where("copies > 1").select(F.col("id").alias(key), F.col("class").alias(CLASS))
+    gone, repeated = written(gone, "gone"), written(repeated, "repeated")
+    marked = with_class(docs, text, n)
+    grouped = marked.where(F.col(key).isNotNull() & (F.col(SIZE) > 0))
+    left = grouped.join(gone, [key, CLASS], "left_anti")
+    once = left.join(repeated, [key, CLASS], "left_semi").dropDuplicates([key, CLASS])
+    alone = marked.where(F.col(key).isNull() | (F.col(SIZE) == 0))
+    return union_all([df.select(*docs.columns) for df in (left.join(repeated, [key, CLASS], "left_anti"), once, alone)])

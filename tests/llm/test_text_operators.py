@@ -216,6 +216,20 @@ def test_jaccard_null_and_repeated_ids(spark):
     assert got == [(-1, -1), (-1, -1), (5, 5), (5, 5), (7, 5)]
 
 
+def test_jaccard_one_id_with_two_texts(spark):
+    """Every text is linked by itself, in whatever order the rows come."""
+    a = " ".join(f"a{k}" for k in range(40))
+    b = " ".join(f"b{k}" for k in range(40))
+    near = b.replace("b39", "c39")
+    rows = [(5, a), (5, b), (7, near), (8, a), (9, "x y z w v u t"), (9, "x y z w v u t"), (9, None), (None, b), (None, "only without an id at all")]
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        df = spark.createDataFrame(order, "doc_id long, text string").repartition(3)
+        got = {(r["doc_id"], r["component_id"]) for r in jaccard.near_duplicates(df).collect()}
+        assert got == {(5, 5), (7, 5), (8, 5), (9, 9), (None, None)}
+        kept = sorted((r["doc_id"] or 0, r["text"] or "") for r in jaccard.one_of_each(df.withColumn("own", F.lit(1))).collect())
+        assert kept == sorted([(5, a), (5, b), (9, "x y z w v u t"), (9, ""), (0, b), (0, "only without an id at all")])
+
+
 def test_components_of_long_paths(spark):
     links = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (101, 102), (7, 7)]
     df = spark.createDataFrame(links, "a long, b long")
