@@ -45,7 +45,7 @@ SHARD_TERMS = 1 << 14
 #: Distinct terms counted in a task, and slots of its dense arrays, before the counts are handed on.
 HELD_TERMS, HELD_SLOTS = 400_000, 4 << 20
 #: Cells of one matrix of sources and terms.
-CELLS = 1 << 20
+CELLS = 1 << 15
 _TO_TERMS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
