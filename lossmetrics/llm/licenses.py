@@ -24,6 +24,7 @@ all come back; an empty table gives an empty table; columns named like a result
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cache
 from pathlib import Path
 
@@ -130,24 +131,38 @@ def _counts(words: str, *keys: str):
     return lambda df: df.select(*keys, F.explode(words).alias("term")).groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vectors(files: DataFrame, spark: SparkSession, text: str, templates: tuple[tuple[str, str], ...]) -> tuple[DataFrame, DataFrame]:
-    """(``template``, ``term``, ``weight``) with unit length per template, and the ``idf`` of its terms with that of all others."""
-    given = spark.createDataFrame(list(templates), "template string, body string").select("template", _words(F.col("body")).alias("words"))
-    terms = sorted({w for row in given.select("words").collect() for w in row["words"]})  # one row a template
-    known = F.lit(terms)
-    seen = files.select(F.array_intersect(_words(F.coalesce(text, F.lit(""))), known).alias("terms"))
+Templates = Sequence[tuple[str, str]]
+
+
+def _given(spark: SparkSession, templates: Templates) -> DataFrame:
+    return spark.createDataFrame(list(templates), "template string, body string").select("template", _words(F.col("body")).alias("words"))
+
+
+def frequencies(files: DataFrame, text: str, *templates: Templates) -> DataFrame:
+    """(``term``, ``idf``, ``rare``, ``list``) for the words of each list of templates, from one pass over all files.
+
+    ``rare`` is the weight of a word that no file holds, as words of no template of the list are taken.
+    """
+    spark = files.sparkSession
+    lists = [sorted({w for row in _given(spark, t).select("words").collect() for w in row["words"]}) for t in templates]  # one row a template
+    seen = files.select(F.array_intersect(_words(F.coalesce(text, F.lit(""))), F.lit(sorted(set().union(*lists)))).alias("terms"))
     found = seen.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     total = files.agg(F.count(F.lit(1)).alias("files"))
-    idf = spark.createDataFrame([(t,) for t in terms], "term string").join(F.broadcast(found), "term", "left").join(F.broadcast(total))
+    terms = spark.createDataFrame([(t, k) for k, own in enumerate(lists) for t in own], "term string, list int")
+    idf = terms.join(F.broadcast(found), "term", "left").join(F.broadcast(total))
     idf = idf.select(
-        "term",
+        "term", "list",
         (F.log((F.col("files") + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1).alias("idf"),
         (F.log(F.col("files") + F.lit(1.0)) + 1).alias("rare"),
     )
-    idf = written(idf, "idf")
-    raw = _counts("words", "template")(given).join(F.broadcast(idf), "term").withColumn("weight", F.col("tf") * F.col("idf"))
+    return written(idf, "idf")
+
+
+def vectors(given: DataFrame, idf: DataFrame) -> DataFrame:
+    """(``template``, ``term``, ``weight``) with unit length per template, from its counted words (``template``, ``term``, ``tf``)."""
+    raw = given.join(F.broadcast(idf), "term").withColumn("weight", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("template")))
-    return raw.select("template", "term", (F.col("weight") / norm).alias("weight")), idf
+    return raw.select("template", "term", (F.col("weight") / norm).alias("weight"))
 
 
 def needed_terms(weights: DataFrame, threshold: float) -> list[str]:
@@ -157,11 +172,9 @@ def needed_terms(weights: DataFrame, threshold: float) -> list[str]:
     return sorted(r["term"] for r in left.where(F.col("left") >= (threshold - 1e-9) ** 2).select("term").distinct().collect())
 
 
-def own_licenses(files: DataFrame, key: str, text: str, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def own_licenses(files: DataFrame, key: str, text: str, idf: DataFrame, templates: Templates = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """(``key``, ``own``, ``cosine``) of the rows with a line that matches a template; ``key`` tells rows apart."""
-    spark = files.sparkSession
-    weights, idf = vectors(files, spark, text, templates)
-    weights = written(weights, "templates")
+    weights = written(vectors(_counts("words", "template")(_given(files.sparkSession, templates)), idf), "templates")
     needed = F.lit(needed_terms(weights, threshold))
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = files.select(F.col(key), F.posexplode(F.split(whole, "\n")).alias("line", "body")).withColumn("words", _words(F.col("body")))
@@ -183,29 +196,35 @@ def _dampened(df: DataFrame, words: str, *keys: str) -> DataFrame:
     return _counts(words, *keys)(df).withColumn("tf", 1 + F.log("tf"))
 
 
-def long_licenses(files: DataFrame, key: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
-    """(``key``, ``whole``, ``own``, ``cosine``) of the rows whose whole text or joined lines match; ``whole`` is 0 for a full text."""
-    spark = files.sparkSession
+def long_templates() -> list[tuple[str, str]]:
+    """Names and bodies of full texts (ending in 0) and of what joined lines are compared with (ending in 1)."""
     full = [(f"{k}|{name}|0", body) for k, (name, body) in enumerate(texts())]
     brief = [(name, body) for name, body in texts() if len(body.split()) <= SHORT]
-    parts = [(f"{k}|{name}|1", body) for k, (name, body) in enumerate([*TEMPLATES, *HEADERS, *brief])]
-    given = spark.createDataFrame([*full, *parts], "template string, body string").select("template", _words(F.col("body")).alias("words"))
-    near = files.select(key, F.coalesce(text, F.lit("")).alias("text")).withColumn("words", _words(F.col("text")))
-    near = near.where(F.arrays_overlap("words", F.lit(list(LICENCE_WORDS)))).dropDuplicates([key])
-    near = written(near, "near")
-    rows = F.transform(F.split("text", "\n"), _words)
+    return full + [(f"{k}|{name}|1", body) for k, (name, body) in enumerate([*TEMPLATES, *HEADERS, *brief])]
+
+
+def _once(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """One of the rows of each key; only rows of repeated keys are shuffled."""
+    repeated = written(keys.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1").select(key), "repeated")
+    return rows.join(repeated, key, "left_anti").unionByName(rows.join(repeated, key, "left_semi").dropDuplicates([key]))
+
+
+def long_licenses(files: DataFrame, key: str, text: str, idf: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(``key``, ``whole``, ``own``, ``cosine``) of the rows whose whole text or joined lines match; ``whole`` is 0 for a full text."""
+    near = files.select(key, F.coalesce(text, F.lit("")).alias("text"))
+    near = near.where(F.arrays_overlap(_words(F.col("text")), F.lit(list(LICENCE_WORDS))))
+    # The words of every line; those of a text are theirs joined, as no word goes over a line.
+    near = written(_once(near.select(key, F.transform(F.split("text", "\n"), _words).alias("rows")), key, files.select(key)), "near")
     marked = F.filter(F.sequence(F.lit(1), F.size("rows")), lambda i: F.arrays_overlap(F.get("rows", i - 1), F.lit(list(LICENCE_WORDS))))
     starts = F.array_distinct(F.flatten(F.transform(marked, lambda i: F.array(F.greatest(i - 1, F.lit(1)), i))))
-    passages = near.withColumn("rows", rows).select(key, "rows", F.explode(starts).alias("start"))
-    passages = passages.select(key, "start", F.explode(F.lit(list(PASSAGES))).alias("size"), "rows")
-    passages = passages.select(key, (F.col("start") * 32 + F.col("size")).alias("unit"), F.flatten(F.slice("rows", F.col("start"), F.col("size"))).alias("words"))
-    units = near.select(key, F.lit(0).alias("unit"), "words").unionByName(passages).where(F.size("words") > 0)
+    # Each start takes only its own lines along, so a file of many licence words costs its length times the longest passage.
+    parts = F.transform(starts, lambda i: F.struct(i.alias("start"), F.slice("rows", i, max(PASSAGES)).alias("part")))
+    passages = near.select(key, F.explode(parts).alias("p")).select(key, "p.start", "p.part", F.explode(F.lit(list(PASSAGES))).alias("size"))
+    passages = passages.select(key, (F.col("start") * 32 + F.col("size")).alias("unit"), F.flatten(F.slice("part", F.lit(1), F.col("size"))).alias("words"))
+    units = near.select(key, F.lit(0).alias("unit"), F.flatten("rows").alias("words")).unionByName(passages).where(F.size("words") > 0)
     units = written(units, "units")
-    # Weights: documents that hold a word, over all files; of other words than those of templates, none.
-    _, idf = vectors(files, spark, text, tuple((name, body) for name, body in [*full, *parts]))
-    raw = _dampened(given, "words", "template").join(F.broadcast(idf), "term").withColumn("weight", F.col("tf") * F.col("idf"))
-    size = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(Window.partitionBy("template")))
-    unit = written(raw.select("template", "term", (F.col("weight") / size).alias("share")), "long")
+    given = _dampened(_given(files.sparkSession, long_templates()), "words", "template")
+    unit = written(vectors(given, idf).withColumnRenamed("weight", "share"), "long")
     valued = _dampened(units, "words", key, "unit").join(F.broadcast(idf), "term", "left").join(F.broadcast(idf.agg(F.max("rare").alias("most"))))
     valued = valued.withColumn("weight", F.col("tf") * F.coalesce("idf", "most"))
     norms = valued.groupBy(key, "unit").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
@@ -227,9 +246,11 @@ def _folder(path: str) -> Column:
 def scan(files: DataFrame, path: str = "path", text: str = "text", templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """``files`` without its text, with ``license``, ``basis`` (header, licence file or inherited) and ``cosine``."""
     rows = files.drop(*RESULTS).withColumn("__row", F.xxhash64(path, text))
-    own = own_licenses(rows.select("__row", text), "__row", text, templates, threshold).withColumn("whole", F.lit(1))
+    texts_only = rows.select("__row", text)
+    idf = frequencies(texts_only, text, templates, *([long_templates()] if templates is TEMPLATES else []))
+    own = own_licenses(texts_only, "__row", text, idf.where("list = 0"), templates, threshold).withColumn("whole", F.lit(1))
     if templates is TEMPLATES:
-        own = own.unionByName(long_licenses(rows.select("__row", text), "__row", text, threshold))
+        own = own.unionByName(long_licenses(texts_only, "__row", text, idf.where("list = 1"), threshold))
     own = own.groupBy("__row").agg(F.min(F.struct("whole", (-F.col("cosine")).alias("less"), "own")).alias("b"))
     own = own.select("__row", F.col("b.own").alias("own"), (-F.col("b.less")).alias("cosine"))
     own = written(own, "own")
