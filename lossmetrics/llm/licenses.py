@@ -222,7 +222,8 @@ def long_licenses(files: DataFrame, key: str, text: str, idf: DataFrame, thresho
     passages = near.select(key, F.explode(parts).alias("p")).select(key, "p.start", "p.part", F.explode(F.lit(list(PASSAGES))).alias("size"))
     passages = passages.select(key, (F.col("start") * 32 + F.col("size")).alias("unit"), F.flatten(F.slice("part", F.lit(1), F.col("size"))).alias("words"))
     units = near.select(key, F.lit(0).alias("unit"), F.flatten("rows").alias("words")).unionByName(passages).where(F.size("words") > 0)
-    units = written(units, "units")
+    # Dealt out once by unit, before the words are counted: all that follows is grouped and joined by unit.
+    units = written(units, "units").repartition(key, "unit")
     given = _dampened(_given(files.sparkSession, long_templates()), "words", "template")
     unit = written(vectors(given, idf).withColumnRenamed("weight", "share"), "long")
     valued = _dampened(units, "words", key, "unit").join(F.broadcast(idf), "term", "left").join(F.broadcast(idf.agg(F.max("rare").alias("most"))))
