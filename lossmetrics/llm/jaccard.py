@@ -162,8 +162,11 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def _candidates(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(``id``, ``n``, ``grams``) of the classes that the first fragment does not rule out; from here on ``id`` is the class."""
+def _candidates(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(``id``, ``n``, ``grams``) of the classes that the first fragment does not rule out, and their (``class``, ``node``).
+
+    From here on ``id`` is the node: a number that the written list gives a class, small and so cheap to shuffle.
+    """
     single = (
         heads.select("class", F.explode("head").alias("gram"))
         .groupBy("gram")
@@ -174,16 +177,15 @@ def _candidates(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int,
     )
     classes = heads.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.max("n").alias("n"))
     left = classes.join(single, "class", "left").where(F.coalesce("own", F.lit(0)) <= _spare(percent)).select("class", "id")
-    left = written(left.where(F.col("id").isNotNull()), "left")
+    left = written(left.where(F.col("id").isNotNull()).withColumn("node", F.monotonically_increasing_id()), "left")
     texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(left, "id", "left_semi")
     # Other texts of these ids are read as well; only the classes asked for stay, once each.
-    sets = _all_fragments(texts, n).join(left, "class", "left_semi").dropDuplicates(["class"])
-    return written(sets.withColumnRenamed("class", "id"), "sets")
+    sets = _all_fragments(texts, n).join(left.select("class", "node"), "class").dropDuplicates(["class"])
+    return written(sets.select(F.col("node").alias("id"), "n", "grams"), "sets"), left
 
 
-def links(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(``a``, ``b``): links between classes that connect all that is connected."""
-    sets = _candidates(docs, heads, key, text, n, percent)
+def links(sets: DataFrame, percent: int) -> DataFrame:
+    """(``a``, ``b``): links between (``id``, ``n``, ``grams``) that connect all that is connected."""
     grams = sets.select("id", "n", F.explode("grams").alias("gram"))
     often = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     rows = (
@@ -232,9 +234,10 @@ def links(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percen
 
 def _groups(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
     """(``class``, ``id``, ``rows``, ``component``) of every class: its smallest id, and the component's name if it has links."""
-    found = components(links(docs, heads, key, text, n, percent))
+    sets, left = _candidates(docs, heads, key, text, n, percent)
+    found = components(links(sets, percent)).join(left, "node").select("class", "component")
     classes = heads.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("rows"))
-    return classes.join(found.withColumnRenamed("node", "class"), "class", "left")
+    return classes.join(found, "class", "left")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -258,7 +261,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     """
     heads = written(_first_fragments(docs, key, text, n), "heads")
     known = heads.where("n > 0 AND id IS NOT NULL").groupBy("id", "class").agg(F.count(F.lit(1)).alias("copies"))
-    groups = _groups(docs, heads, key, text, n, percent).select("class", F.coalesce("component", "class").alias("group"), (F.col("component").isNotNull() | (F.col("rows") > 1)).alias("shared"))
+    groups = _groups(docs, heads, key, text, n, percent).select("class", F.coalesce(F.concat(F.lit("of "), "component"), F.col("class").cast("string")).alias("group"), (F.col("component").isNotNull() | (F.col("rows") > 1)).alias("shared"))
     # Rows of classes of their own are neither compared nor moved.
     several = known.join(groups.where("shared"), "class")
     stays = several.groupBy("group").agg(F.min(F.struct("id", "class")).alias("first")).select("group", F.lit(True).alias("stays"), "first.*")
