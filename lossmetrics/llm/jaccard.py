@@ -178,7 +178,8 @@ def _candidates(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int,
     classes = heads.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.max("n").alias("n"))
     left = classes.join(single, "class", "left").where(F.coalesce("own", F.lit(0)) <= _spare(percent)).select("class", "id")
     left = written(left.where(F.col("id").isNotNull()).withColumn("node", F.monotonically_increasing_id()), "left")
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(left, "id", "left_semi")
+    ids = written(left.select("id"), "ids")  # a list of its own, as it decides whether the texts are shuffled
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
     # Other texts of these ids are read as well; only the classes asked for stay, once each.
     sets = _all_fragments(texts, n).join(left.select("class", "node"), "class").dropDuplicates(["class"])
     return written(sets.select(F.col("node").alias("id"), "n", "grams"), "sets"), left
