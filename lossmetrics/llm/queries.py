@@ -63,7 +63,8 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, read back and put together."""
     pages = table(spark, sf_dir, "pages")
     path = warc.write(pages.select("page_id", "url", "html"))
-    capture = warc.captures(warc.read(spark, path, payloads=False))
+    records = written(warc.read(spark, path, payloads=False).drop("payload"), "records")  # parsed once
+    capture = warc.captures(records)
     return capture.select(
         F.col("metadata.page_id").cast("long").alias("page_id"),
         F.col("metadata.payload_bytes").alias("payload_bytes"),

@@ -28,14 +28,16 @@ from lossmetrics.llm.tables import folder
 REVISIT_BYTES = 1_000
 _END = "\r\n"
 _RECORD_END = "\r\n\r\n"
-#: Rows per archive file at most; a file is read by one task.
+#: Rows per archive file at most, and payload bytes per file on average; a file is read by one task.
 FILE_ROWS = 20_000
+FILE_BYTES = 64 << 20
 _RECORDS = (
     "record_id string, kind string, concurrent_to string, refers_to string, target string, digest string, length long, "
     "page_id string, payload_bytes long, payload binary"
 )
-#: Text of records handed to Spark at once.
+#: Text of records handed to Spark at once, and of an archive inflated at once.
 _BATCH_BYTES = 4 << 20
+_PIECE = 1 << 20
 
 
 def revisits(pages: DataFrame, key: str = "page_id", payload: str = "html") -> DataFrame:
@@ -63,7 +65,12 @@ def _record(kind: str, ident: Column, url: Column, block: Column, *more: tuple[s
 
 
 def write(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html") -> str:
-    """Write three records per row into a new folder of archives and return its path. WARC-Date is fixed: nothing reads the clock."""
+    """Write three records per row into a new folder of archives and return its path. WARC-Date is fixed: nothing reads the clock.
+
+    A file is closed after as many rows as hold ``FILE_BYTES`` at the table's mean payload, ``FILE_ROWS`` at most.
+    """
+    mean = pages.agg(F.avg(F.coalesce(F.octet_length(payload), F.lit(0)))).first()[0] or 0.0
+    file_rows = int(max(1, min(FILE_ROWS, FILE_BYTES // max(mean, 1))))
     sha = F.sha1(F.coalesce(payload, F.lit("")))
     rows = pages.select(
         F.col(key).alias("key"), F.coalesce(url, F.lit("")).alias("url"), F.coalesce(payload, F.lit("")).alias("body"), sha.alias("digest")
@@ -92,29 +99,52 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str
     records = F.array(_record("request", of("request"), target, ask, beside), response, _record("metadata", of("metadata"), target, facts, beside))
     path = folder(pages, "warc")
     lines = rows.select(F.explode(records).alias("value"))
-    lines.write.option("compression", "gzip").option("lineSep", _RECORD_END).option("maxRecordsPerFile", 3 * FILE_ROWS).text(path)
+    lines.write.option("compression", "gzip").option("lineSep", _RECORD_END).option("maxRecordsPerFile", 3 * file_rows).text(path)
     return path
 
 
-def _inflate(content: bytes) -> bytes:
-    """Content of a gzip file with one member or several."""
-    out = []
+def _inflate(content: bytes) -> Iterator[bytes]:
+    """Content of a gzip file with one member or several, a bounded piece at a time."""
     while content:
         member = zlib.decompressobj(31)
-        out.append(member.decompress(content))
-        content = member.unused_data
-    return b"".join(out)
-
-
-def parse(archive: bytes) -> Iterator[dict]:
-    """The records of an archive, found by their headers' lengths."""
-    at = 0
-    while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        head = dict(line.split(": ", 1) for line in archive[at:end].decode("utf-8").split("\r\n")[1:])
+        while content and not member.eof:
+            yield member.decompress(content, _PIECE)
+            content = member.unconsumed_tail if not member.eof else member.unused_data
+        if not member.eof:
+            raise ValueError("the archive ends inside a compressed member")
+
+
+def parse(pieces: Iterable[bytes]) -> Iterator[dict]:
+    """The records of an archive, found by their headers' lengths; holds one record and one piece at a time."""
+    source, held, at = iter(pieces), bytearray(), 0
+
+    def more() -> bool:
+        """Forget what has been read and take in another piece; false at the end."""
+        nonlocal at
+        piece = next(source, None)
+        if piece is None:
+            return False
+        del held[:at]
+        at = 0
+        held.extend(piece)
+        return True
+
+    while at < len(held) or more():
+        if at == len(held):
+            continue
+        searched = 0
+        while (end := held.find(b"\r\n\r\n", at + searched)) < 0:
+            searched = max(0, len(held) - at - 3)
+            if not more():
+                raise ValueError("the archive ends inside a header")
+        head = dict(line.split(": ", 1) for line in held[at:end].decode("utf-8").split("\r\n")[1:])
         length = int(head["Content-Length"])
-        block = archive[end + 4 : end + 4 + length]
-        at = end + 4 + length + 4
+        start = end + 4 - at
+        while len(held) - at < start + length + 4:
+            if not more():
+                raise ValueError("the archive ends inside a record")
+        block = bytes(held[at + start : at + start + length])
+        at += start + length + 4
         kind = head["WARC-Type"]
         record = {
             "record_id": head["WARC-Record-ID"], "kind": kind, "concurrent_to": head.get("WARC-Concurrent-To"),
