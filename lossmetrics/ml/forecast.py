@@ -6,6 +6,8 @@ small task whatever the number of claims, and Spark spreads the series.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -34,7 +36,7 @@ def monthly_series(claims: DataFrame, *keys: str) -> DataFrame:
 
 
 FIT_SCHEMA = (
-    "series_key string, month date, horizon int, forecast double, resid_std double, method string, "
+    "series_key string, month date, horizon int, forecast double, resid_std double, sse double, method string, "
     "alpha double, beta double, gamma double, aic double"
 )
 
@@ -42,56 +44,90 @@ FIT_SCHEMA = (
 def _smoother():
     """Fit functions, closed over as one object so that tasks need nothing but numpy."""
 
-    def run(y, season, params):
-        """One-step errors and end states of the additive recursion for a whole batch of parameter sets."""
-        alpha, beta, gamma = params.T
-        level = np.full(len(params), y[:season].mean() if season else y[0])
-        trend = np.full(len(params), (y[season : 2 * season].mean() - y[:season].mean()) / season if season else 0.0)
-        cycle = np.tile(y[:season] - y[:season].mean(), (len(params), 1)) if season else None
-        errors = np.empty((len(params), len(y)))
+    def starts(y, season):
+        """Start level, trend and cycle taken from the first two seasons (the first value without a season)."""
+        if not season:
+            return np.array([y[0], 0.0])
+        first = y[:season].mean()
+        return np.concatenate([[first, (y[season : 2 * season].mean() - first) / season], y[:season] - first])
+
+    def run(y, season, params, states):
+        """One-step errors and end states of the additive recursion, for every parameter set and every column of start states.
+
+        ``y`` has one column per column of ``states`` (level, trend, cycle); errors are (parameter set, month, column).
+        """
+        alpha, beta, gamma = (p[:, None] for p in params.T)
+        level, trend = (np.tile(states[k], (len(params), 1)) for k in (0, 1))
+        cycle = [np.tile(states[2 + k], (len(params), 1)) for k in range(season)]
+        errors = np.empty((len(params), *y.shape))
         for t, value in enumerate(y):
-            seasonal = cycle[:, t % season].copy() if season else 0.0
-            expected = level + trend + seasonal
-            errors[:, t] = value - expected
+            seasonal = cycle[t % season] if season else 0.0
             drifted = level + trend
+            errors[:, t] = value - drifted - seasonal
             moved = alpha * (value - seasonal) + (1 - alpha) * drifted
             if season:
-                cycle[:, t % season] = gamma * (value - drifted) + (1 - gamma) * seasonal
+                cycle[t % season] = gamma * (value - drifted) + (1 - gamma) * seasonal
                 trend = beta * (moved - level) + (1 - beta) * trend
             level = moved
         return errors, level, trend, cycle
 
+    def estimated(y, season, params):
+        """Least-squares start states of every parameter set with their errors.
+
+        The recursion is linear, so the errors of start states s + d are those of s plus the effect of d on a series of
+        zeros; the smallest d that minimises the squares is taken. Where rounding leaves more than d = 0, d = 0 stays.
+        """
+        base = starts(y, season)
+        free = len(base) if season else 1  # simple smoothing has no trend
+        units = np.zeros((len(base), 1 + free))
+        units[:, 0] = base
+        units[:free, 1:] = np.eye(free)
+        columns = np.zeros((len(y), 1 + free))
+        columns[:, 0] = y
+        effects = run(columns, season, params, units)[0]
+        errors, slopes = effects[:, :, 0], effects[:, :, 1:]
+        moves = -(np.linalg.pinv(slopes, rcond=1e-10) @ errors[:, :, None])[:, :, 0]
+        solved = errors + (slopes @ moves[:, :, None])[:, :, 0]
+        better = (solved**2).sum(axis=1) <= (errors**2).sum(axis=1)
+        states = np.tile(base, (len(params), 1))
+        states[:, :free] += np.where(better[:, None], moves, 0.0)
+        return np.where(better[:, None], solved, errors), states
+
     def search(y, season):
         """Coarse grid, then a shrinking neighbourhood around the best point; beta <= alpha and gamma <= 1 - alpha."""
         coarse = np.linspace(0.05, 0.95, 7)
         axes = [coarse, coarse if season else np.zeros(1), coarse if season else np.zeros(1)]
-        width, best = 0.15, None
+        width, best, least = 0.15, None, np.inf
         for _ in range(6):
             grid = np.stack([g.ravel() for g in np.meshgrid(*axes, indexing="ij")], axis=1)
             if season:
                 grid = grid[(grid[:, 1] <= grid[:, 0]) & (grid[:, 2] <= 1 - grid[:, 0])]
-            sse = (run(y, season, grid)[0] ** 2).sum(axis=1)
-            best = grid[int(np.argmin(sse))]
+            errors, states = estimated(y, season, grid)
+            sse = (errors**2).sum(axis=1)
+            k = int(np.argmin(sse))
+            if sse[k] < least:
+                best, least = (grid[k], states[k]), sse[k]
             near = np.linspace(-width, width, 5)
-            axes = [np.clip(best[i] + near, 1e-4, 0.9999) if season or i == 0 else np.zeros(1) for i in range(3)]
+            axes = [np.clip(best[0][i] + near, 1e-4, 0.9999) if season or i == 0 else np.zeros(1) for i in range(3)]
             width /= 2.5
         return best
 
     def fit(y, periods):
         season = SEASON if len(y) >= MIN_SEASONAL else 0
-        best = search(y, season)
-        errors, level, trend, cycle = run(y, season, best[None, :])
+        best, states = search(y, season)
+        errors, level, trend, cycle = run(y[:, None], season, best[None, :], states[:, None])
         steps = np.arange(1, periods + 1)
-        ahead = level[0] + steps * trend[0]
+        ahead = level[0, 0] + steps * trend[0, 0]
         if season:
-            ahead = ahead + cycle[0, (len(y) + steps - 1) % season]
-        resid = errors[0]
+            ahead = ahead + np.array([c[0, 0] for c in cycle])[(len(y) + steps - 1) % season]
+        resid = errors[0, :, 0]
         sse = max(float((resid**2).sum()), 1e-12)
         free = 2 + 2 + 1 + season if season else 2
         aic = len(y) * np.log(sse / len(y)) + 2 * free
         return {
             "forecast": ahead,
             "resid_std": float(resid.std(ddof=1)) if len(resid) > 1 else 0.0,
+            "sse": float((resid**2).sum()),
             "method": "holt_winters" if season else "simple_exponential_smoothing",
             "alpha": float(best[0]),
             "beta": float(best[1]) if season else None,
@@ -103,7 +139,10 @@ def _smoother():
 
 
 def fit_series(series: DataFrame, periods: int = config.FORECAST_PERIODS) -> DataFrame:
-    """Additive Holt-Winters (period 12) from 24 months on, simple smoothing below, ``periods`` months ahead."""
+    """Additive Holt-Winters (period 12) from 24 months on, simple smoothing below, ``periods`` months ahead.
+
+    Start states are estimated together with the smoothing parameters. Series are fitted side by side, one group per series.
+    """
     fit = _smoother()
 
     def forecast(frame: pd.DataFrame) -> pd.DataFrame:
@@ -144,7 +183,23 @@ def forecast(claims: DataFrame, *keys: str, periods: int = config.FORECAST_PERIO
     return with_bands(fit_series(monthly_series(claims, *keys), periods))
 
 
-def backtest_rows(claims: DataFrame, *keys: str, holdout: int = 6) -> DataFrame:
+def seasonal_naive(series: DataFrame, periods: int = SEASON) -> DataFrame:
+    """The reference forecast: every coming month repeats the same month one year earlier; up to 12 months ahead.
+
+    ``resid_std`` is the deviation of the year-on-year changes, null for series with fewer than two of them.
+    """
+    own = Window.partitionBy("series_key").orderBy("month")  # one row per month
+    to_end = Window.partitionBy("series_key")
+    change = F.col("y") - F.lag("y", SEASON).over(own)
+    placed = series.withColumns({"change": change.cast("double"), "last": F.max("month").over(to_end)})
+    spread = placed.withColumn("resid_std", F.stddev_samp("change").over(to_end))
+    ahead = F.months_between(F.add_months("month", SEASON), F.col("last")).cast("int")
+    return spread.select(
+        "series_key", F.add_months("month", SEASON).alias("month"), ahead.alias("horizon"), F.col("y").cast("double").alias("forecast"), "resid_std"
+    ).where(F.col("horizon").between(1, min(periods, SEASON)))
+
+
+def backtest_rows(claims: DataFrame, *keys: str, holdout: int = 6, model: Callable[[DataFrame, int], DataFrame] = fit_series) -> DataFrame:
     """Actual and forecast of the last months, from a fit on the months before; series under 12 months are left out."""
     series = monthly_series(claims, *keys)
     own = Window.partitionBy("series_key")  # one row per month
@@ -152,7 +207,7 @@ def backtest_rows(claims: DataFrame, *keys: str, holdout: int = 6) -> DataFrame:
         "size", F.count(F.lit(1)).over(own)
     )
     usable = placed.where(F.col("size") >= holdout + 6)
-    fitted = fit_series(usable.where(F.col("left") > holdout).select("series_key", "month", "y"), holdout)
+    fitted = model(usable.where(F.col("left") > holdout).select("series_key", "month", "y"), holdout)
     actual = usable.where(F.col("left") <= holdout).select("series_key", "month", F.col("y").cast("double").alias("actual"))
     return fitted.select("series_key", "month", "forecast").join(actual, ["series_key", "month"])
 

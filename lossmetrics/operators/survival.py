@@ -8,7 +8,6 @@ from __future__ import annotations
 import datetime
 import math
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -107,10 +106,10 @@ def log_rank(claims: DataFrame, group: str = "claim_type", as_of: datetime.date
     the pair, so no two groups are ever crossed row by row. The rows are day counts, not claims.
     """
     table = risk_table(durations(claims, as_of), group).select("survival_group", "t", "d", "m")
-    groups = F.sort_array(F.collect_set("survival_group").over(Window.partitionBy()))  # over day rows
+    groups = table.agg(F.sort_array(F.collect_set("survival_group")).alias("groups"))  # one row, a name per group
     mine = F.col("survival_group")
     sided = (
-        table.withColumn("groups", groups)
+        table.crossJoin(F.broadcast(groups))
         .withColumn("other", F.explode(F.array_except("groups", F.array(mine))))
         .select(
             F.least(mine, "other").alias("group_a"),
@@ -149,9 +148,15 @@ def log_rank_p(claims: DataFrame, group: str = "claim_type", as_of: datetime.dat
 
 
 def chi2_tail(statistic: Column) -> Column:
-    """Upper tail of chi-square with one degree of freedom, erfc(sqrt(x / 2)); one row per pair passes through Python."""
-    @F.pandas_udf("double")
-    def tail(x: pd.Series) -> pd.Series:
-        return x.map(lambda v: None if pd.isna(v) else math.erfc(math.sqrt(max(v, 0.0) / 2)))
+    """Upper tail of chi-square with one degree of freedom: erfc(z) at z = sqrt(x / 2), null for null.
 
-    return tail(statistic)
+    Below z * z = 3 from the series of erf with positive terms only, beyond it from the continued fraction of erfc; both
+    are carried far enough that their rest is under the precision of a double.
+    """
+    square = F.greatest(statistic, F.lit(0.0)) / 2
+    z = F.sqrt(square)
+    weight = F.exp(-square) / F.lit(math.sqrt(math.pi))
+    down = lambda n: F.sequence(F.lit(n), F.lit(1), F.lit(-1))
+    series = F.aggregate(down(60), F.lit(1.0), lambda rest, k: F.lit(1.0) + rest * square * 2 / (k * 2 + 1))
+    fraction = F.aggregate(down(80), z, lambda rest, k: z + k / 2 / rest)
+    return F.when(statistic.isNotNull(), F.when(square < 3, 1 - weight * 2 * z * series).otherwise(weight / fraction))

@@ -1,8 +1,13 @@
 """The written warehouse: raw claims, dimensions and one wide claim table in the shared folder.
 
 Fact and summary are column subsets of the wide table, which parquet reads as cheaply as tables of their own, so the
-claims go through the dimension lookups once. Each table is derived once per application and read back by every query, so no query replays the source joins and a
+claims go through the dimension lookups once. Every query reads the tables back, so none replays the source joins and a
 lost executor costs re-reading a file, not a lineage.
+
+Tables are kept as snapshots. A snapshot is named by its version, a digest of the source files (path, size, time) and of the
+code that derives the tables; it goes into a folder of its own, and the index that names its tables is written last. So an
+application that finds the version reads it without writing anything, a reload never touches tables that are being read, and
+one that fails half-way leaves no snapshot.
 """
 
 from __future__ import annotations
@@ -10,12 +15,19 @@ from __future__ import annotations
 import dataclasses
 import functools
 import hashlib
+import inspect
+import json
+import sys
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lossmetrics.plans import star
+from lossmetrics import config
+from lossmetrics.functions import columns, distributions
+from lossmetrics.plans import cleaning, star
 from lossmetrics.plans.cleaning import clean_claims
 from lossmetrics.session import shared_dir
 from lossmetrics.sources import lookups, schemas, tpch
@@ -40,6 +52,8 @@ class Warehouse:
 
 
 _open: dict[tuple[str, str], Warehouse] = {}
+#: The index of a snapshot: its tables, where they are and their schemas.
+INDEX = "name string, path string, fields string"
 
 
 def sources_from_tpch(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -74,13 +88,6 @@ def write_dims(sources: dict[str, DataFrame], folder: str) -> dict[str, DataFram
     return {key: write_table(df, f"{folder}/dim_{key.removesuffix('_key')}") for key, df in build_dims(sources).items()}
 
 
-def write_wide(raw: DataFrame, dims: dict[str, DataFrame], folder: str) -> tuple[DataFrame, DataFrame]:
-    """Clean, look up and write the claims once; fact and summary read their columns from the one table."""
-    clean = clean_claims(raw, measured=True)
-    wide = write_table(star.wide_claims(clean, dims), f"{folder}/claims_wide", "accident_year")
-    return wide.select(*schemas.FACT_COLUMNS), wide.drop(*star.KEYS)
-
-
 def write_star(
     raw: DataFrame, sources: dict[str, DataFrame], folder: str
 ) -> tuple[dict[str, DataFrame], DataFrame, DataFrame]:
@@ -91,16 +98,54 @@ def write_star(
     return dims, fact, summary
 
 
-def open_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse over the tables of ``sf_dir``, written on first use in this application."""
-    app = spark.sparkContext.applicationId
-    handle = (app, sf_dir)
-    if handle not in _open:
-        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-        folder = f"{shared_dir(spark)}/lossmetrics/{app}/{tag}"
+def source_version(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = tpch.TABLES) -> str:
+    """Digest of the source files' paths, sizes and times, and of the code between them and the tables.
+
+    Only the file list is read; it is summed up in Spark, whatever the number of files.
+    """
+    listed = [spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf_dir}/{name}.parquet") for name in names]
+    files = functools.reduce(DataFrame.union, [df.select("path", "length", "modificationTime") for df in listed])
+    mark = F.xxhash64("path", "length", F.unix_micros("modificationTime")).cast("decimal(38,0)")
+    found = files.agg(F.count(F.lit(1)), F.sum(mark), F.sum("length")).first()
+    code = "".join(inspect.getsource(m) for m in (columns, distributions, cleaning, star, lookups, schemas, tpch, config, sys.modules[__name__]))
+    return hashlib.sha256(f"{spark.version}{tuple(map(str, found))}{code}".encode()).hexdigest()[:24]
+
+
+def _snapshot(spark: SparkSession, index: str) -> dict[str, DataFrame]:
+    """The tables of an index; none if there is no complete one."""
+    try:
+        rows = spark.read.schema(INDEX).parquet(index).collect()  # a row per table
+    except AnalysisException:
+        return {}
+    return {r["name"]: spark.read.schema(StructType.fromJson(json.loads(r["fields"]))).parquet(r["path"]) for r in rows}
+
+
+def _build(spark: SparkSession, sf_dir: str, sources: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    raw = write_table(tpch.raw_claims(spark, sf_dir), f"{folder}/raw_claims")
+    dims = write_dims(sources, folder)
+    wide = write_table(star.wide_claims(clean_claims(raw, measured=True), dims), f"{folder}/claims_wide", "accident_year")
+    return {"raw_claims": raw, "claims_wide": wide, **{f"dim_{key.removesuffix('_key')}": df for key, df in dims.items()}}
+
+
+def open_warehouse(spark: SparkSession, sf_dir: str, refresh: bool = False, rebuild: bool = False) -> Warehouse:
+    """The warehouse over the tables of ``sf_dir``: the snapshot of their present version, written if there is none.
+
+    An application looks at the source files once, and again with ``refresh``; ``rebuild`` writes a new snapshot
+    even if there is one. Earlier snapshots stay until they are removed.
+    """
+    handle = (spark.sparkContext.applicationId, sf_dir)
+    if handle not in _open or refresh or rebuild:
+        folder = f"{shared_dir(spark)}/lossmetrics/{hashlib.sha1(sf_dir.encode()).hexdigest()[:12]}"
+        version = source_version(spark, sf_dir)
+        index = f"{folder}/{version}.index"
         sources = sources_from_tpch(spark, sf_dir)
-        raw = write_table(tpch.raw_claims(spark, sf_dir), f"{folder}/raw_claims")
-        dims = write_dims(sources, folder)
-        fact, summary = write_wide(raw, dims, folder)
-        _open[handle] = Warehouse(raw, sources, dims, fact, summary)
+        tables = {} if rebuild else _snapshot(spark, index)
+        if not tables:
+            own = f"{folder}/{version}-{uuid.uuid4().hex}"
+            tables = _build(spark, sf_dir, sources, own)
+            rows = [(name, f"{own}/{name}", df.schema.json()) for name, df in tables.items()]
+            spark.createDataFrame(rows, INDEX).coalesce(1).write.mode("overwrite").parquet(index)
+        dims = {key: tables[f"dim_{key.removesuffix('_key')}"] for key in build_dims(sources)}
+        wide = tables["claims_wide"]
+        _open[handle] = Warehouse(tables["raw_claims"], sources, dims, wide.select(*schemas.FACT_COLUMNS), wide.drop(*star.KEYS))
     return _open[handle]

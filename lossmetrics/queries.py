@@ -387,7 +387,7 @@ def advanced_queries() -> dict[str, Query]:
         "u3_survival_by_type": on("summary", lambda s: survival.kaplan_meier(s, "claim_type")),
         "u4_median_survival": on("summary", lambda s: survival.median_survival(s, "claim_type")),
         "u5_log_rank": on("summary", lambda s: _rounded(survival.log_rank(s), 8, "test_statistic")),
-        "u5_log_rank_p": on("summary", survival.log_rank_p),
+        "u5_log_rank_p": on("summary", lambda s: _rounded(_rounded(survival.log_rank_p(s), 8, "test_statistic"), 9, "p_value")),
     }
 
 
@@ -490,6 +490,39 @@ def _savings_order(claims: DataFrame) -> DataFrame:
     return resampling.simulated_savings(claims, "claim_type").select("claim_type", (ordered & inside).alias("ordered"))
 
 
+def _naive(claims: DataFrame, *keys: str) -> DataFrame:
+    """The forecast that SQL can repeat."""
+    return forecast.seasonal_naive(forecast.monthly_series(claims, *keys))
+
+
+def _actual_and_forecast(claims: DataFrame, *keys: str, model: Callable[[DataFrame], DataFrame] = forecast.fit_series) -> DataFrame:
+    series = forecast.monthly_series(claims, *keys)
+    return extracts.actual_and_forecast(series, model(series))
+
+
+def _fit_invariants(claims: DataFrame) -> DataFrame:
+    """What holds for every fitted series: method, horizon, a fit that beats the constant, forecasts inside their bands."""
+    series = forecast.monthly_series(claims, "claim_type", "region")
+    spread = series.groupBy("series_key").agg((F.var_pop("y") * F.count("y")).alias("around_mean"))
+    inside = (F.col("lower_95") <= F.col("lower_80")) & (F.col("upper_80") <= F.col("upper_95")) & (F.col("forecast") <= F.col("upper_80"))
+    return (
+        forecast.with_bands(forecast.fit_series(series))
+        .groupBy("series_key", "method")
+        .agg(
+            F.count(F.lit(1)).alias("horizons"),
+            F.min("month").alias("first_month"),
+            F.max("month").alias("last_month"),
+            F.first("sse").alias("sse"),
+            F.every(inside).alias("inside_bands"),
+        )
+        .join(spread, "series_key")
+        .select(
+            "series_key", "method", "horizons", "first_month", "last_month",
+            (F.col("sse") <= F.col("around_mean")).alias("below_constant"), "inside_bands",
+        )
+    )
+
+
 def model_queries() -> dict[str, Query]:
     return {
         "m1_valid_claims": on("summary", lambda s: features.valid_claims(s).select("claim_id", "severity_level")),
@@ -520,7 +553,22 @@ def model_queries() -> dict[str, Query]:
         "m12_monthly_series_by_type": on("summary", lambda s: forecast.monthly_series(s, "claim_type", "region")),
         "m13_forecast": on("summary", lambda s: forecast.fit_series(forecast.monthly_series(s))),
         "m13_forecast_by_type": on("summary", lambda s: forecast.fit_series(forecast.monthly_series(s, "claim_type", "region"))),
+        "m13_fit_invariants": on("summary", _fit_invariants),
+        "m13_seasonal_naive_by_type": on("summary", lambda s: _rounded(_naive(s, "claim_type", "region"), 6, "resid_std")),
         "m14_forecast_bands": on("summary", forecast.forecast),
+        "m14_forecast_bands_by_type": on("summary", lambda s: forecast.forecast(s, "claim_type", "region")),
+        "m14_bands_fixed": on(
+            "summary",
+            lambda s: _rounded(forecast.with_bands(_naive(s, "claim_type")), 6, "resid_std", "lower_80", "upper_80", "lower_95", "upper_95"),
+        ),
+        "m15_backtest_rows": on("summary", lambda s: forecast.backtest_rows(s, "claim_type")),
+        "m15_backtest_rows_fixed": on("summary", lambda s: forecast.backtest_rows(s, "claim_type", model=forecast.seasonal_naive)),
+        "m15_backtest_fixed": on(
+            "summary",
+            lambda s: _rounded(
+                forecast.backtest_metrics(forecast.backtest_rows(s, "claim_type", model=forecast.seasonal_naive)), 6, "mape", "rmse", "mae"
+            ),
+        ),
         "m15_backtest": on(
             "summary", lambda s: forecast.backtest_metrics(forecast.backtest_rows(s, "claim_type"))
         ),
@@ -534,12 +582,9 @@ def model_queries() -> dict[str, Query]:
         "m19_months_fixed": on("summary", lambda s: anomaly.monthly_rate(_fixed_flags(s))),
         "m20_anomaly_reasons": _detected(lambda d: anomaly.explain(*d)),
         "k9_anomalies": _detected(lambda d: extracts.anomalies(d[0])),
-        "k9_actual_and_forecast": on(
-            "summary",
-            lambda s: extracts.actual_and_forecast(
-                forecast.monthly_series(s), forecast.fit_series(forecast.monthly_series(s))
-            ),
-        ),
+        "k9_actual_and_forecast": on("summary", _actual_and_forecast),
+        "k9_actual_and_forecast_by_type": on("summary", lambda s: _actual_and_forecast(s, "claim_type", "region")),
+        "k9_forecast_fixed": on("summary", lambda s: _actual_and_forecast(s, "claim_type", "region", model=forecast.seasonal_naive)),
     }
 
 

@@ -25,6 +25,9 @@ def numbered(prefix: str, count: int, index: Column) -> Column:
 def provider_id(key: Column) -> Column:
     return F.concat(F.lit("PRV"), key.cast("string"))
 
+#: The tables that claims, providers and regions are derived from.
+TABLES = ("lineitem", "nation", "orders", "part", "region", "supplier")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -74,7 +74,17 @@ LOGRANK = f"""{DUR}, g AS (SELECT DISTINCT claim_type AS g FROM dur),
   rk AS (SELECT *, (sum(coalesce(ma, 0)) OVER w)::DOUBLE AS na, (sum(m) OVER w)::DOUBLE AS n FROM dd WINDOW w AS (PARTITION BY group_a, group_b ORDER BY t DESC)),
   st AS (SELECT group_a, group_b, sum(coalesce(da, 0)) - sum(d * na / n) AS gap,
     sum(CASE WHEN n > 1 THEN na * (n - na) * d * (n - d) / (n * n * (n - 1)) ELSE 0 END) AS v FROM rk GROUP BY 1, 2)
-  SELECT group_a, group_b, round(gap * gap / v, 8) AS test_statistic FROM st"""
+"""
+
+
+def erfc(z: str) -> str:
+    """Complementary error function of a non-negative expression: Taylor series of erf below 1.5, asymptotic fraction beyond."""
+    terms, whole = "1", "1"
+    for k in range(60, 0, -1):
+        terms = f"(1 + {terms} * 2 * {z} * {z} / {2 * k + 1})"
+    for k in range(90, 0, -1):
+        whole = f"(1 + {k} / (2 * {z} * {z}) / {whole})"
+    return f"CASE WHEN {z} < 1.5 THEN 1 - 2 / sqrt(pi()) * exp(-{z} * {z}) * {z} * {terms} ELSE exp(-{z} * {z}) / ({z} * sqrt(pi())) / {whole} END"
 
 _p = "(successes / trials::DOUBLE)"
 _zz = f"({Z}::DOUBLE * {Z}::DOUBLE)"
@@ -102,12 +112,29 @@ REPORT = """, p AS (SELECT severity_level AS a, days_to_report % 5 + 1 AS b FROM
   round(sum(f1 * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM f"""
 
 
+def months(key: str) -> str:
+    """``y``: claims per series and month, with the empty months."""
+    return f""", c AS (SELECT {key} AS series_key, CAST(date_trunc('month', incident_date) AS DATE) AS month, count(*) AS n FROM s GROUP BY 1, 2),
+        g AS (SELECT series_key, CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP), CAST(max(month) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month FROM c GROUP BY 1),
+        y AS (SELECT series_key, month, coalesce(n, 0) AS y FROM g LEFT JOIN c USING (series_key, month))"""
+
+
 def series(key: str) -> str:
-    return S(
-        f""", c AS (SELECT {key} AS series_key, CAST(date_trunc('month', incident_date) AS DATE) AS month, count(*) AS n FROM s GROUP BY 1, 2),
-        g AS (SELECT series_key, CAST(unnest(generate_series(CAST(min(month) AS TIMESTAMP), CAST(max(month) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS month FROM c GROUP BY 1)
-        SELECT series_key, month, coalesce(n, 0) AS y FROM g LEFT JOIN c USING (series_key, month)"""
-    )
+    return S(f"{months(key)} SELECT series_key, month, y FROM y")
+
+
+def naive(key: str) -> str:
+    """``nv``: every month of the coming year as the same month of the last one."""
+    return f"""{months(key)}, ch AS (SELECT a.series_key, a.month, a.y, a.y - b.y AS change FROM y a
+        LEFT JOIN y b ON b.series_key = a.series_key AND b.month = CAST(a.month - INTERVAL 12 MONTH AS DATE)),
+        ends AS (SELECT series_key, max(month) AS last, stddev_samp(change) AS resid_std FROM ch GROUP BY 1),
+        nv AS (SELECT series_key, CAST(month + INTERVAL 12 MONTH AS DATE) AS month, CAST(date_diff('month', last, CAST(month + INTERVAL 12 MONTH AS DATE)) AS INTEGER) AS horizon,
+          y::DOUBLE AS forecast, resid_std FROM ch JOIN ends USING (series_key) WHERE month > CAST(last - INTERVAL 12 MONTH AS DATE))"""
+
+
+TYPE_REGION = "concat_ws('|', claim_type, region)"
+LATE = f"""{months("concat_ws('|', claim_type)")}, r AS (SELECT *, row_number() OVER (PARTITION BY series_key ORDER BY month DESC) AS back, count(*) OVER (PARTITION BY series_key) AS size FROM y),
+        bt AS (SELECT a.series_key, a.month, a.y::DOUBLE AS actual, b.y::DOUBLE AS forecast FROM r a JOIN r b ON a.series_key = b.series_key AND b.back = a.back + 12 WHERE a.back <= 6 AND a.size >= 12)"""
 
 
 def scaled() -> str:
@@ -168,6 +195,26 @@ SQL = {
     ),
     "m12_monthly_series": series("'all'"),
     "m12_monthly_series_by_type": series("concat_ws('|', claim_type, region)"),
+    "m13_seasonal_naive_by_type": S(f"{naive(TYPE_REGION)} SELECT series_key, month, horizon, forecast, round(resid_std, 6) AS resid_std FROM nv"),
+    "m13_fit_invariants": S(
+        f"""{months(TYPE_REGION)} SELECT series_key, CASE WHEN count(*) >= 24 THEN 'holt_winters' ELSE 'simple_exponential_smoothing' END AS method,
+        CAST(12 AS BIGINT) AS horizons, CAST(max(month) + INTERVAL 1 MONTH AS DATE) AS first_month, CAST(max(month) + INTERVAL 12 MONTH AS DATE) AS last_month,
+        true AS below_constant, true AS inside_bands FROM y GROUP BY 1"""
+    ),
+    "m14_bands_fixed": S(
+        f"""{naive("concat_ws('|', claim_type)")} SELECT series_key, month, horizon, forecast, round(resid_std, 6) AS resid_std,
+        round(greatest(forecast - 1.2816 * resid_std * sqrt(horizon), 0), 6) AS lower_80, round(forecast + 1.2816 * resid_std * sqrt(horizon), 6) AS upper_80,
+        round(greatest(forecast - 1.96 * resid_std * sqrt(horizon), 0), 6) AS lower_95, round(forecast + 1.96 * resid_std * sqrt(horizon), 6) AS upper_95 FROM nv"""
+    ),
+    "m15_backtest_rows_fixed": S(f"{LATE} SELECT series_key, month, forecast, actual FROM bt"),
+    "m15_backtest_fixed": S(
+        f"""{LATE} SELECT series_key, round(avg(abs((actual - forecast) / actual)) FILTER (WHERE actual <> 0) * 100, 6) AS mape,
+        round(sqrt(avg((actual - forecast) * (actual - forecast))), 6) AS rmse, round(avg(abs(actual - forecast)), 6) AS mae FROM bt GROUP BY 1"""
+    ),
+    "k9_forecast_fixed": S(
+        f"""{naive(TYPE_REGION)} SELECT series_key, last_day(month) AS date, 'actual' AS type, y::DOUBLE AS claim_count FROM y
+        UNION ALL SELECT series_key, last_day(month), 'forecast', forecast FROM nv"""
+    ),
     "m16_anomaly_features": scaled(),
     "m18_summary_fixed": compared(),
     "m19_months_fixed": S(
@@ -193,5 +240,9 @@ SQL = {
     "u2_survival": S(f"{km(chr(39) + 'all' + chr(39))} {CURVE}"),
     "u3_survival_by_type": S(f"{km('claim_type')} {CURVE}"),
     "u4_median_survival": S(f"{km('claim_type')} {MEDIAN}"),
-    "u5_log_rank": S(LOGRANK),
+    "u5_log_rank": S(f"{LOGRANK} SELECT group_a, group_b, round(gap * gap / v, 8) AS test_statistic FROM st"),
+    "u5_log_rank_p": S(
+        f"""{LOGRANK}, zz AS (SELECT *, gap * gap / v AS x, sqrt(gap * gap / v / 2) AS z FROM st), pp AS (SELECT *, {erfc("z")} AS p FROM zz)
+        SELECT group_a, group_b, round(x, 8) AS test_statistic, round(p, 9) AS p_value, p < 0.05 AS significant FROM pp"""
+    ),
 }

@@ -1,8 +1,10 @@
 import datetime
+import math
 
 import pytest
+from pyspark.sql import functions as F
 
-from lossmetrics.operators import benchmarks, closing, extracts, frequency, lag, pages, repeat, scenarios, sqlpack
+from lossmetrics.operators import benchmarks, closing, extracts, frequency, lag, pages, repeat, scenarios, sqlpack, survival
 
 D = datetime.date
 
@@ -182,3 +184,13 @@ def test_scenario_summary_rows(make_claims):
     rows = extracts.scenario_summary(claims).collect()
     assert len(rows) == 4 and rows[3]["parameter"] == "Combined"
     assert rows[0]["baseline_avg_close_days"] == pytest.approx(10.0) and rows[1]["note"] == "Projected"
+
+
+def test_chi2_tail_is_erfc(spark):
+    values = [0.0, 1e-12, 1e-3, 0.5, 1.0, 3.84, 5.999, 6.0, 6.001, 12.0, 40.0, 300.0, 2000.0, -1e-9]
+    rows = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double").select("x", survival.chi2_tail(F.col("x")).alias("p")).collect()
+    for r in rows:
+        if r["x"] is None:
+            assert r["p"] is None
+        else:
+            assert math.isclose(r["p"], math.erfc(math.sqrt(max(r["x"], 0.0) / 2)), rel_tol=1e-12, abs_tol=1e-300)

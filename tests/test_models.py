@@ -142,6 +142,46 @@ def test_forecast_follows_season_and_bands_widen(make_claims):
     assert rows[0]["beta"] <= rows[0]["alpha"] and rows[0]["gamma"] <= 1 - rows[0]["alpha"]
 
 
+def plain_errors(y, season, alpha, beta, gamma, level, trend, cycle):
+    cycle, out = list(cycle), []
+    for t, value in enumerate(y):
+        seasonal = cycle[t % season] if season else 0.0
+        out.append(value - level - trend - seasonal)
+        moved = alpha * (value - seasonal) + (1 - alpha) * (level + trend)
+        if season:
+            cycle[t % season] = gamma * (value - level - trend) + (1 - gamma) * seasonal
+            trend = beta * (moved - level) + (1 - beta) * trend
+        level = moved
+    return np.array(out)
+
+
+@pytest.mark.parametrize("months", [24, 25, 41, 90])
+def test_estimated_start_states(months):
+    rng = np.random.default_rng(months)
+    y = rng.poisson(40 + 8 * np.sin(np.arange(months) / 2) + 0.3 * np.arange(months)).astype(float)
+    result = forecast._smoother()(y, 12)
+    first = y[:12].mean()
+    for alpha in np.linspace(0.05, 0.95, 7):  # start states from the first two seasons are never better
+        for beta in (0.05, alpha):
+            for gamma in (0.05, 1 - alpha):
+                plain = plain_errors(y, 12, alpha, beta, gamma, first, (y[12:24].mean() - first) / 12, y[:12] - first)
+                assert result["sse"] <= (plain**2).sum() + 1e-9
+    # A least-squares fit by numpy at the chosen parameters, state by state.
+    chosen = (result["alpha"], result["beta"], result["gamma"])
+    base = plain_errors(y, 12, *chosen, 0.0, 0.0, np.zeros(12))
+    units = [plain_errors(np.zeros(months), 12, *chosen, *u[:2], u[2:]) for u in np.eye(14)]
+    solved = np.linalg.lstsq(-np.array(units).T, base, rcond=None)[0]
+    assert result["sse"] == pytest.approx(((base + np.array(units).T @ solved) ** 2).sum(), rel=1e-6)
+
+
+def test_estimated_level_of_simple_smoothing():
+    y = np.array([30.0, 12, 14, 13, 15, 12, 14])
+    result = forecast._smoother()(y, 3)
+    plain = min((plain_errors(y, 0, a, 0, 0, level, 0.0, ()) ** 2).sum() for a in np.linspace(0.01, 0.99, 50) for level in np.linspace(5, 35, 121))
+    assert result["sse"] <= plain + 1e-9
+    assert forecast._smoother()(np.array([4.0]), 2)["forecast"].tolist() == [4.0, 4.0]
+
+
 def test_short_series_and_backtest(make_claims):
     short = monthly(make_claims, 10)
     rows = forecast.forecast(short).collect()

@@ -21,11 +21,11 @@ def con():
 #: Simulations, fits and their reports: no SQL repeats their random or iterative steps. Their parts have entries with SQL.
 WITHOUT_SQL = {
     "x5_simulated_savings", "x5_simulated_savings_by_type", "x6_bootstrap_paid", "x6_bootstrap_severity", "x6_bootstrap_median", "x6_bootstrap_p95",
-    "x6_bootstrap_severity_spread", "u5_log_rank_p",
+    "x6_bootstrap_severity_spread",
     "m4_forest", "m5_logistic", "m6_boosted", "m7_importances", "m8_report", "m8_confusion", "m8_report_logistic", "m8_confusion_logistic",
     "m9_cross_validation", "m10_calibration", "m11_ranking", "m11_paired_test", "m13_forecast", "m13_forecast_by_type",
-    "m14_forecast_bands", "m15_backtest", "m17_anomalies", "m18_anomaly_summary", "m19_anomaly_months", "m20_anomaly_reasons",
-    "k9_anomalies", "k9_actual_and_forecast",
+    "m14_forecast_bands", "m14_forecast_bands_by_type", "m15_backtest", "m15_backtest_rows", "m17_anomalies", "m18_anomaly_summary", "m19_anomaly_months", "m20_anomaly_reasons",
+    "k9_anomalies", "k9_actual_and_forecast", "k9_actual_and_forecast_by_type",
 }
 
 
