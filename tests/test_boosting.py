@@ -110,3 +110,32 @@ def test_bounded_draw_keeps_shares_and_every_class(spark):
     assert features.bounded(df, None) is df
     assert features.bounded(df, 10**6).count() == 50_000
     assert features.bounded(df.limit(0), 100).count() == 0
+
+
+def test_rows_of_one_block_are_boosted_in_one_job(spark, monkeypatch):
+    x, y = rows_of(800)
+    df = frame(spark, x, y, 4).persist()
+    df.count()
+    spark.sparkContext.setJobGroup("one-block", "boosting")
+    one = boosting.Boosted(rounds=12, depth=3, classes=3).fit(df)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("one-block"))
+    spark.sparkContext.setJobGroup("many-blocks", "boosting")
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    many = boosting.Boosted(rounds=12, depth=3, classes=3).fit(df)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    df.unpersist()
+    assert jobs < 12  # borders, label counts and the fit, whatever the rounds
+    for a, b in zip(one.trees, many.trees, strict=True):
+        assert a[0] == b[0] and all(np.array_equal(u, v) for u, v in zip(a[1:], b[1:]))
+
+
+def test_values_are_those_of_the_leaves_walked_to():
+    x, y = rows_of(300)
+    codes = boosting._codes(x, plain_edges(x))
+    rng = np.random.default_rng(1)
+    feature = np.r_[-1, 0, 1, 2, -1, 1, 2, np.full(9, -1)]
+    tree = (1, feature, rng.integers(0, 5, 16), rng.normal(size=16))
+    raw = rng.normal(size=(300, 3))
+    expected = raw.copy()
+    expected[:, 1] += tree[3][boosting._walk(codes, tree)]
+    assert np.array_equal(boosting._raised(raw, codes, [tree]), expected)

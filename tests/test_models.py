@@ -266,3 +266,17 @@ def test_summary_and_months(detected):
     reasons = anomaly.explain(flagged, forest)
     topped = anomaly.with_top_reason(flagged, reasons)
     assert topped.count() == flagged.where("is_anomaly").count() and topped.where("top_reason = ''").count() == 0
+
+
+def test_stratified_parts_add_no_task_per_shuffle_partition(spark):
+    rows = spark.range(0, 3000, 1, 3).select(F.concat(F.lit("C"), "id").alias("claim_id"), (F.col("id") % 5).alias("label"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = features.stratified_parts(rows, "label", "claim_id", [0.2] * 5)
+        assert parts.rdd.getNumPartitions() <= 3 + spark.sparkContext.defaultParallelism
+        assert {r["count"] for r in parts.groupBy("label", "part").count().collect()} == {120}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
