@@ -18,12 +18,15 @@ from lossmetrics.operators import extracts, quality, reserving
 BOM = "﻿"
 
 
-def write_csv(df: DataFrame, path: str, bom: bool = False) -> str:
-    """CSV parts with a header, written in parallel; null is an empty field. ``bom`` marks the header as UTF-8."""
+def write_csv(df: DataFrame, path: str, bom: bool = False, compression: str = "none") -> str:
+    """CSV parts with a header, written in parallel; null is an empty field. ``bom`` marks the header as UTF-8.
+
+    ``compression`` (such as ``gzip``) packs every part; the readers unpack it by its name.
+    """
     if bom:
         df = df.withColumnRenamed(df.columns[0], BOM + df.columns[0])
     options = {"header": True, "nullValue": "", "emptyValue": '""', "quote": '"', "escape": '"'}
-    df.write.mode("overwrite").options(**options).csv(path)
+    df.write.mode("overwrite").options(**options, compression=compression).csv(path)
     return path
 
 
@@ -33,13 +36,13 @@ def read_back(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).options(**options).csv(path)
 
 
-def write_cleaned(tables: dict[str, DataFrame], folder: str) -> list[str]:
+def write_cleaned(tables: dict[str, DataFrame], folder: str, compression: str = "none") -> list[str]:
     """Every cleaned table as CSV."""
-    return [write_csv(df, f"{folder}/{name}.csv") for name, df in tables.items()]
+    return [write_csv(df, f"{folder}/{name}.csv", compression=compression) for name, df in tables.items()]
 
 
-def claims_detail(claims: DataFrame, folder: str) -> str:
-    return write_csv(claims, f"{folder}/claims_detail.csv", bom=True)
+def claims_detail(claims: DataFrame, folder: str, compression: str = "none") -> str:
+    return write_csv(claims, f"{folder}/claims_detail.csv", bom=True, compression=compression)
 
 
 def development_years(claims: DataFrame) -> int:
@@ -62,9 +65,9 @@ def provider_scorecard(claims: DataFrame, folder: str) -> str:
     return write_csv(extracts.provider_scorecard(claims), f"{folder}/provider_scorecard.csv", bom=True)
 
 
-def bi_extract(claims: DataFrame, folder: str, names: Iterable[str] | None = None) -> list[str]:
+def bi_extract(claims: DataFrame, folder: str, names: Iterable[str] | None = None, compression: str = "none") -> list[str]:
     """The five sheets, or those named, one folder each."""
-    return [write_csv(df, f"{folder}/{name}", bom=True) for name, df in extracts.sheets(claims).items() if names is None or name in set(names)]
+    return [write_csv(df, f"{folder}/{name}", bom=True, compression=compression) for name, df in extracts.sheets(claims).items() if names is None or name in set(names)]
 
 
 def export_all(claims: DataFrame, folder: str) -> list[str]:

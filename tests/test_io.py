@@ -1,5 +1,6 @@
 import glob
 import gzip
+from pathlib import Path
 
 import pytest
 
@@ -132,3 +133,12 @@ def test_anomaly_and_operation_columns(make_claims):
     assert extracts.anomalies(scored).columns == extracts.ANOMALY_COLUMNS
     assert extracts.operations(scored).columns == extracts.OPS_COLUMNS
     assert set(extracts.OPS_COLUMNS) <= set(schemas.summary_schema().names)
+
+
+def test_packed_csv_reads_back_whole(spark, tmp_path):
+    df = spark.range(0, 2000, 1, 3).selectExpr("concat('C', id) as claim_id", "if(id % 7 = 0, null, 'a, \"b\"') as status")
+    plain = sinks.write_csv(df, f"{tmp_path}/plain", bom=True)
+    packed = sinks.write_csv(df, f"{tmp_path}/packed", bom=True, compression="gzip")
+    size = lambda path: sum(f.stat().st_size for f in Path(path).glob("part-*"))
+    assert len(list(Path(packed).glob("part-*.csv.gz"))) == 3 and size(packed) * 3 < size(plain)
+    assert sorted(map(str, sinks.read_back(spark, packed, df).collect())) == sorted(map(str, df.collect()))

@@ -61,3 +61,15 @@ def test_incomplete_snapshot_is_built_again(spark, sf_dir, monkeypatch):
             warehouse.open_warehouse(spark, sf_dir)
     assert (spark.sparkContext.applicationId, sf_dir) not in warehouse._open
     assert warehouse.open_warehouse(spark, sf_dir).summary.count() > 0
+
+
+def test_wide_claims_are_written_without_a_shuffle_of_their_rows(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 4).selectExpr("id", "cast(id % 3 + 2000 as int) as accident_year")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("partitioned-write", "write")
+    back = warehouse.write_table(df, f"{tmp_path}/t", "accident_year")
+    jobs = tracker.getJobIdsForGroup("partitioned-write")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [len(tracker.getJobInfo(job).stageIds) for job in jobs] == [1]
+    assert back.columns == ["id", "accident_year"] and back.count() == 4000
+    assert warehouse._year_last(back.select("accident_year", "id")).columns == ["id", "accident_year"]
