@@ -145,6 +145,13 @@ def fit_forest(featured: DataFrame, trees: int = TREES, size: int = SAMPLE, seed
     return collect_forest(grow(tree_samples(featured, trees, size, seed), size, seed))
 
 
+def _steps(tree: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature, threshold and (left, right) child of every node; a leaf leads to itself."""
+    leaf, own = tree["feature"] < 0, np.arange(len(tree["feature"]))
+    child = np.column_stack([np.where(leaf, own, tree["left"]), np.where(leaf, own, tree["right"])]).ravel()
+    return np.maximum(tree["feature"], 0), tree["threshold"], child
+
+
 def score(featured: DataFrame, forest: list[dict], size: int = SAMPLE) -> DataFrame:
     """Claims with ``raw_score``: minus 2 ** -(mean depth / expected depth); lower is more anomalous."""
     shared = featured.sparkSession.sparkContext.broadcast(forest)
@@ -155,14 +162,13 @@ def score(featured: DataFrame, forest: list[dict], size: int = SAMPLE) -> DataFr
     @F.pandas_udf("double")
     def raw_score(*columns: pd.Series) -> pd.Series:
         x = np.stack([c.to_numpy(dtype=float) for c in columns], axis=1)
-        total = np.zeros(len(x))
-        rows = np.arange(len(x))
+        total, flat, first = np.zeros(len(x)), x.ravel(), np.arange(len(x)) * x.shape[1]
         for tree in shared.value:
+            asked, threshold, child = _steps(tree)
             at = np.zeros(len(x), dtype=np.int64)
             for _ in range(depth_limit):
-                f = tree["feature"][at]
-                down = np.where(x[rows, np.maximum(f, 0)] <= tree["threshold"][at], tree["left"][at], tree["right"][at])
-                at = np.where(f < 0, at, down)
+                right = ~(flat.take(first + asked.take(at)) <= threshold.take(at))
+                at = child.take(2 * at + right)
             total += tree["value"][at]
         return pd.Series(-np.power(2.0, -total / max(len(shared.value), 1) / scale))
 

@@ -280,3 +280,13 @@ def test_stratified_parts_add_no_task_per_shuffle_partition(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_steps_lead_to_the_leaf_and_stay():
+    tree = {c: np.array(v) for c, v in dict(feature=[1, -1, 0, -1, -1], threshold=[0.5, 0, 2.0, 0, 0], left=[1, -1, 3, -1, -1], right=[2, -1, 4, -1, -1]).items()}
+    asked, threshold, child = anomaly._steps(tree)
+    x = np.array([[1.0, 0.5], [2.0, 0.6], [2.5, 9.0], [np.nan, 1.0]])
+    at = np.zeros(4, int)
+    for _ in range(5):
+        at = child[2 * at + ~(x[np.arange(4), asked[at]] <= threshold[at])]
+    assert at.tolist() == [1, 3, 4, 4]
