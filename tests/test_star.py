@@ -108,3 +108,37 @@ def test_wide_table_holds_fact_and_summary(built):
     assert sorted(map(str, wide.select(*schemas.FACT_COLUMNS).collect())) == sorted(map(str, fact.collect()))
     summary = star.claims_summary(fact, dims)
     assert sorted(map(str, wide.select(*summary.columns).collect())) == sorted(map(str, summary.collect()))
+
+
+def test_claims_are_shuffled_for_orders_alone(spark, star_sources, make_raw, tmp_path, capsys):
+    """A lookup side beyond Spark's own limit moves no claims, up to a counted bound."""
+    from lossmetrics.functions.joins import lookup
+    from lossmetrics.sources import tpch
+
+    day = "TIMESTAMP'2023-01-05'"
+    rows = {
+        "lineitem": f"1L l_orderkey, 2L l_partkey, 3L l_suppkey, 1 l_linenumber, 50D l_quantity, 10D l_extendedprice, 0.5D l_discount, 0.1D l_tax, 'R' l_returnflag, 'O' l_linestatus, {day} l_shipdate",
+        "orders": f"1L o_orderkey, 97L o_custkey, 'F' o_orderstatus, {day} o_orderdate",
+        "part": "2L p_partkey, 7 p_size",
+        "supplier": "3L s_suppkey, 0 s_nationkey",
+        "nation": "0 n_nationkey, 'N' n_name, 0 n_regionkey",
+        "region": "0 r_regionkey, 'R' r_name",
+    }
+    for name, columns in rows.items():
+        spark.sql(f"SELECT {columns}").write.parquet(f"{tmp_path}/{name}.parquet")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        raw = tpch.raw_claims(spark, str(tmp_path)).select("claim_id", "paid_amount", "severity", "patient_age")
+        assert [tuple(r) for r in raw.collect()] == [("1-1-2-3-2023-01-05", 5000.0, "3", 1)]
+        raw.explain()
+        plan = capsys.readouterr().out
+        assert "BroadcastHashJoin [l_partkey" in plan and "BroadcastHashJoin [l_suppkey" in plan and "SortMergeJoin [l_orderkey" in plan
+        star.keyed_claims(cleaning.clean_claims(make_raw([{}])), warehouse.build_dims(star_sources)).explain()
+        plan = capsys.readouterr().out
+        assert "BroadcastHashJoin [provider_id" in plan and "SortMergeJoin [provider_id" not in plan
+        side = spark.range(3)
+        spark.range(9).join(lookup(side, cells=2), "id").explain()
+        assert "SortMergeJoin" in capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
