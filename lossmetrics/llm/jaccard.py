@@ -268,10 +268,12 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     stays = several.groupBy("group").agg(F.min(F.struct("id", "class")).alias("first")).select("group", F.lit(True).alias("stays"), "first.*")
     gone = several.join(stays, ["group", "id", "class"], "left").where("stays IS NULL").select(F.col("id").alias(key), F.col("class").alias(CLASS))
     repeated = known.where("copies > 1").select(F.col("id").alias(key), F.col("class").alias(CLASS))
-    gone, repeated = written(gone, "gone"), written(repeated, "repeated")
+    gone = written(gone, "gone")
+    # The lists are settled before they meet the texts, which are shuffled once at most for each.
+    repeated = written(repeated.join(gone, [key, CLASS], "left_anti"), "repeated")
+    apart = written(gone.unionByName(repeated), "apart")
     marked = with_class(docs, text, n)
     grouped = marked.where(F.col(key).isNotNull() & (F.col(SIZE) > 0))
-    left = grouped.join(gone, [key, CLASS], "left_anti")
-    once = left.join(repeated, [key, CLASS], "left_semi").dropDuplicates([key, CLASS])
+    once = grouped.join(repeated, [key, CLASS], "left_semi").dropDuplicates([key, CLASS])
     alone = marked.where(F.col(key).isNull() | (F.col(SIZE) == 0))
-    return union_all([df.select(*docs.columns) for df in (left.join(repeated, [key, CLASS], "left_anti"), once, alone)])
+    return union_all([df.select(*docs.columns) for df in (grouped.join(apart, [key, CLASS], "left_anti"), once, alone)])
