@@ -280,3 +280,19 @@ def test_classifier_scores_a_text_alike_wherever_it_stands():
 @pytest.mark.parametrize("name", ["op1_bpe", "op2_quality_rules", "op3_spotsigs", "op9_ngram_jaccard", "op10_quality_classifier"])
 def test_empty_tables(spark, empty, name):
     assert queries.registry()[name](spark, empty).count() == 0
+
+
+def test_deduplication_shuffles_texts_once_per_list(spark, capsys):
+    """With lists too long to broadcast: one join for what goes and what is repeated, one for the repeated rows."""
+    near = " ".join(f"w{k}" for k in range(60))
+    texts = [(1, near), (2, near + " x"), (3, "other words of a text of its own"), (3, "other words of a text of its own"), (2, near + " x"), (4, None)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = jaccard.one_of_each(df)
+        found.explain()
+        assert capsys.readouterr().out.count("SortMergeJoin") == 2
+        assert sorted(tuple(r) for r in found.collect()) == sorted({texts[0], texts[2], texts[5]})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
