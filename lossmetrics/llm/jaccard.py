@@ -7,7 +7,7 @@ The global order of the n-grams is that of their 64-bit hashes. Equal steps in i
 2. The first fragment of every set is compared over the whole corpus. In a link at ratio t a set keeps at most the share
    1 - t of its n-grams to itself, so a class with more n-grams of its own in that fragment alone has no link. Nearly all
    documents end here, at the price of shuffling one fragment.
-3. The rest are read again with all fragments. By the prefix principle two sets can only link when they share one of their
+3. The rest are read again with all fragments; a bit map of their ids (``sieve``) spares the other texts the shuffle. By the prefix principle two sets can only link when they share one of their
    |x| - ceil(t |x|) + 1 rarest n-grams. In the list of such an n-gram, the member with the fewest n-grams of its own is the
    centre, and every other member is paired with it: as many pairs as members.
 4. Overlaps of a pair are counted in every fragment separately and summed; the sum decides exactly.
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from lossmetrics.functions.distributions import union_all
+from lossmetrics.llm import sieve
 from lossmetrics.llm.batches import assemble, blocks, with_fields
 from lossmetrics.llm.graph import components
 from lossmetrics.llm.tables import written
@@ -105,17 +106,17 @@ def _first_fragments(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, schema).withColumnRenamed(key, "id")
 
 
-def _all_fragments(docs: DataFrame, n: int) -> DataFrame:
-    """(``class``, ``n``, ``grams``) with the whole set of each row's ``text``."""
-    schema = StructType([StructField("class", LongType()), StructField("n", LongType()), StructField("grams", ArrayType(LongType()))])
+def _all_fragments(texts: DataFrame, n: int) -> DataFrame:
+    """(``id``, ``n``, ``grams``) with the whole set of each row's ``text``; ``id`` is its ``node``."""
+    schema = StructType([StructField("id", LongType()), StructField("n", LongType()), StructField("grams", ArrayType(LongType()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in blocks(batches, "text", BLOCK_BYTES):
             sets = ngram_sets(part.column("text").to_pylist(), n)
-            found = [pa.array(_class_of(sets)), pa.array([len(s) for s in sets], pa.int64()), _lists([s.view(np.int64) for s in sets], pa.int64())]
+            found = [part.column("node"), pa.array([len(s) for s in sets], pa.int64()), _lists([s.view(np.int64) for s in sets], pa.int64())]
             yield pa.RecordBatch.from_arrays(found, schema.fieldNames())
 
-    return docs.select("text").mapInArrow(run, schema)
+    return texts.select("node", "text").mapInArrow(run, schema)
 
 
 #: Columns that ``with_class`` adds.
@@ -178,11 +179,10 @@ def _candidates(docs: DataFrame, heads: DataFrame, key: str, text: str, n: int,
     classes = heads.where("n > 0").groupBy("class").agg(F.min("id").alias("id"), F.max("n").alias("n"))
     left = classes.join(single, "class", "left").where(F.coalesce("own", F.lit(0)) <= _spare(percent)).select("class", "id")
     left = written(left.where(F.col("id").isNotNull()).withColumn("node", F.monotonically_increasing_id()), "left")
-    ids = written(left.select("id"), "ids")  # a list of its own, as it decides whether the texts are shuffled
-    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).join(ids, "id", "left_semi")
-    # Other texts of these ids are read as well; only the classes asked for stay, once each.
-    sets = _all_fragments(texts, n).join(left.select("class", "node"), "class").dropDuplicates(["class"])
-    return written(sets.select(F.col("node").alias("id"), "n", "grams"), "sets"), left
+    # Texts of ids that are not listed are not shuffled; other texts of these ids are read and left out by their class.
+    likely, _ = sieve.split(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), left, "id")
+    texts = with_class(likely, "text", n).withColumnRenamed(CLASS, "class").join(left, ["class", "id"]).dropDuplicates(["class", "id"])
+    return written(_all_fragments(texts, n), "sets"), left
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
@@ -269,11 +269,10 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     gone = several.join(stays, ["group", "id", "class"], "left").where("stays IS NULL").select(F.col("id").alias(key), F.col("class").alias(CLASS))
     repeated = known.where("copies > 1").select(F.col("id").alias(key), F.col("class").alias(CLASS))
     gone = written(gone, "gone")
-    # The lists are settled before they meet the texts, which are shuffled once at most for each.
+    # The lists are settled before they meet the texts; only texts of listed ids are shuffled.
     repeated = written(repeated.join(gone, [key, CLASS], "left_anti"), "repeated")
     apart = written(gone.unionByName(repeated), "apart")
-    marked = with_class(docs, text, n)
-    grouped = marked.where(F.col(key).isNotNull() & (F.col(SIZE) > 0))
-    once = grouped.join(repeated, [key, CLASS], "left_semi").dropDuplicates([key, CLASS])
-    alone = marked.where(F.col(key).isNull() | (F.col(SIZE) == 0))
-    return union_all([df.select(*docs.columns) for df in (grouped.join(apart, [key, CLASS], "left_anti"), once, alone)])
+    likely, others = sieve.split(docs, apart, key)
+    marked = with_class(likely, text, n).withColumn(CLASS, F.when(F.col(SIZE) > 0, F.col(CLASS)))
+    once = marked.join(repeated, [key, CLASS], "left_semi").dropDuplicates([key, CLASS])
+    return union_all([df.select(*docs.columns) for df in (others, marked.join(apart, [key, CLASS], "left_anti"), once)])

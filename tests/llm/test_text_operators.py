@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import bpe, classifier, graph, jaccard, quality_rules, queries, spotsigs
+from lossmetrics.llm import bpe, classifier, graph, jaccard, quality_rules, queries, sieve, spotsigs
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -296,3 +296,42 @@ def test_deduplication_shuffles_texts_once_per_list(spark, capsys):
         assert sorted(tuple(r) for r in found.collect()) == sorted({texts[0], texts[2], texts[5]})
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_deduplication_shuffles_only_listed_texts(spark, tmp_path, monkeypatch):
+    """With lists too long to broadcast, no join of the candidates or of the result shuffles the texts of other ids."""
+    near = " ".join(f"w{k}" for k in range(60))
+    rows = [(k, " ".join(f"d{k}x{i}" for i in range(60))) for k in range(3000)] + [(5000, near), (5001, near + " x"), (None, near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    splits = []
+    real = sieve.split
+
+    def split(*args):
+        splits.append(real(*args))
+        return splits[-1]
+
+    monkeypatch.setattr(jaccard.sieve, "split", split)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert jaccard.one_of_each(df).count() == 3002
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len(splits) == 2  # the candidates and the result
+    for likely, others in splits:
+        assert likely.count() + others.count() == 3003 and likely.count() < 300
+
+
+@pytest.mark.parametrize("bits", [sieve.LEAST, 1 << 17])
+def test_sieve_loses_no_listed_row(spark, monkeypatch, bits):
+    monkeypatch.setattr(sieve, "_bits", lambda keys: bits)
+    df = spark.range(20000).select(F.when(F.col("id") % 1000 != 7, F.concat(F.lit("k"), "id")).alias("key"), F.col("id").alias("own"))
+    keys = df.where("own % 7 = 0").select("key")
+    likely, others = sieve.split(df, keys, "key")
+    assert likely.columns == others.columns == df.columns
+    assert likely.where("own % 7 = 0 AND key IS NOT NULL").count() == keys.where("key IS NOT NULL").count()
+    assert others.where("key IS NULL").count() == 20
+    assert likely.count() + others.count() == 20000
+    assert likely.count() < keys.count() * (1.7 if bits == sieve.LEAST else 1.2)
+    none, rest = sieve.split(df, keys.where("false"), "key")
+    assert (none.count(), rest.count()) == (0, 20000)
