@@ -129,7 +129,9 @@ class Vocabulary:
             self.halves.setdefault(left + right, (left, right, order))
         self._right: dict[str, list[tuple[str, int]]] = {}
         self._left: dict[str, list[tuple[str, int]]] = {}
-        self._fits: dict[tuple[str, str], bool] = {}
+        #: By token: whether a token before it fits.
+        self._fits: dict[str, dict[str, bool]] = {}
+        self._facts = 0
         # Only tokens that encode to themselves can occur.
         whole: dict[str, bool] = {}
         for token in sorted(self.ids, key=len):
@@ -142,7 +144,7 @@ class Vocabulary:
             raise ValueError("the vocabulary has no token for a byte")
         #: What a vocabulary entry can begin with, and what follows from the end of a prefix (see ``_step``).
         self.beginnings = {t[:k] for t in self.tokens for k in range(1, len(t) + 1)}
-        self._steps: dict[str, tuple[str, tuple[tuple[str, int], ...]]] = {}
+        self._steps: dict[str, tuple[str, tuple[tuple[str, int, bytes, dict[str, bool]], ...]]] = {}
         self._numbers = {t: array("i", [i]).tobytes() for t, i in self.ids.items()}
         self._token = {i: t for t, i in self.ids.items()}
         self._stored = np.zeros(0, "i4, i4, ?")
@@ -176,20 +178,27 @@ class Vocabulary:
 
     def fits(self, a: str, b: str) -> bool:
         """Whether the encoding of the two tokens' text is these two tokens."""
-        known = self._fits.get((a, b))
+        before = self._fits.setdefault(b, {})
+        known = before.get(a)
         if known is None:
-            if len(self._fits) > CACHE_FACTS:
-                self._fits.clear()
-            known = self._fits[a, b] = not self._joined(a, b, _NEVER)
+            if self._facts > CACHE_FACTS:
+                self._clear_fits()
+            self._facts += 1
+            known = before[a] = not self._joined(a, b, _NEVER)
         return known
 
-    def _step(self, prefix: str) -> tuple[str, tuple[tuple[str, int], ...]]:
-        """The longest end of a prefix that begins an entry, and the entries that end the prefix, longest first, with their lengths."""
+    def _clear_fits(self) -> None:
+        for before in self._fits.values():  # steps refer to these
+            before.clear()
+        self._facts = 0
+
+    def _step(self, prefix: str) -> tuple[str, tuple[tuple[str, int, bytes, dict[str, bool]], ...]]:
+        """The longest end of a prefix that begins an entry, and the entries that end the prefix, longest first, with their lengths, ids and what fits before them."""
         end = prefix
         while end and end not in self.beginnings:
             end = end[1:]
         found = (end[k:] for k in range(len(end)))
-        known = end, tuple((t, len(t)) for t in found if t in self.tokens)
+        known = end, tuple((t, len(t), self._numbers[t], self._fits.setdefault(t, {})) for t in found if t in self.tokens)
         if len(self._steps) > CACHE_FACTS:
             self._steps.clear()
         self._steps[prefix] = known
@@ -197,15 +206,18 @@ class Vocabulary:
 
     def store(self) -> None:
         """Put the facts about pairs of tokens away as numbers, so that the memory of the words among them can be given back."""
-        facts = ((self.ids[a], self.ids[b], fit) for (a, b), fit in self._fits.items())
-        self._stored = np.fromiter(facts, "i4, i4, ?", len(self._fits))
-        self._fits.clear()
+        facts = ((self.ids[a], self.ids[b], fit) for b, before in self._fits.items() for a, fit in before.items())
+        self._stored = np.fromiter(facts, "i4, i4, ?")
         self._steps.clear()
+        self._fits.clear()
+        self._facts = 0
 
     def restore(self) -> None:
         if len(self._stored):
             token = self._token.__getitem__
-            self._fits.update({(token(a), token(b)): fit for a, b, fit in self._stored.tolist()})
+            for a, b, fit in self._stored.tolist():
+                self._fits.setdefault(token(b), {})[token(a)] = fit
+            self._facts = len(self._stored)
             self._stored = self._stored[:0]
 
     def _coded(self, word: str) -> str:
@@ -218,7 +230,7 @@ class Vocabulary:
         A node of the path holds the last token of its prefix, the longest end that begins an entry, and the prefix's ids.
         """
         coded = {self._coded(word): word for word in words}
-        numbers, steps, step_of, known, fits = self._numbers, self._steps, self._step, self._fits, self.fits
+        steps, step_of, fits = self._steps, self._step, self.fits
         out: dict[str, bytes] = {}
         nodes: list[tuple[str, str, bytes]] = [("", "", b"")]
         path = ""
@@ -238,25 +250,26 @@ class Vocabulary:
                 end += 1
                 key = at + symbol
                 at, candidates = steps.get(key) or step_of(key)
-                for token, size in candidates:
-                    before, _, ids = nodes[end - size]
+                for token, size, number, known in candidates:
                     if size == end:
+                        nodes.append((token, at, number))
                         break
-                    fit = known.get((before, token))
+                    before, _, ids = nodes[end - size]
+                    fit = known.get(before)
                     if fit or (fit is None and fits(before, token)):
+                        nodes.append((token, at, ids + number))
                         break
-                nodes.append((token, at, ids + numbers[token]))
             path = text[:inner]
             key = at + text[inner] + _END
-            for token, size in (steps.get(key) or step_of(key))[1]:
+            for token, size, number, known in (steps.get(key) or step_of(key))[1]:
                 if size == inner + 2:
-                    ids = b""
+                    out[coded[text]] = number
                     break
                 before, _, ids = nodes[inner + 2 - size]
-                fit = known.get((before, token))
+                fit = known.get(before)
                 if fit or (fit is None and fits(before, token)):
+                    out[coded[text]] = ids + number
                     break
-            out[coded[text]] = ids + numbers[token]
         return out
 
     def words_of(self, text: str) -> list[str]:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lossmetrics.llm import packing, queries
+from lossmetrics.llm import bpe, packing, queries
 from lossmetrics.llm.tables import written
 
 
@@ -106,3 +106,20 @@ def test_sequences_hold_the_tokens(spark):
         assert own == r["ids"] and zlib.crc32(np.array(own, "<u4").tobytes()) == r["ids_crc32"]
     assert sum(len(s["ids"]) for s in sequences.values()) == 2 + 1 + 1 + 2700 + 1 + 1 + 1
     assert all(s["starts"][0] == 0 for s in sequences.values())
+
+
+def test_facts_of_pairs_are_kept_by_token():
+    """What fits before a token is found at the token, without a pair made for each look, and outlives a task."""
+    with open(queries.tokenizer_path(), encoding="utf-8") as file:
+        vocabulary = bpe.Vocabulary(file.read())
+    words = ["walking", "walked", "talkings", "unwalkable", "zzzxqj", "straße", "x" * 200]
+    found = vocabulary.encode_words(words)
+    facts = {b: dict(before) for b, before in vocabulary._fits.items() if before}
+    assert facts and sum(map(len, facts.values())) == vocabulary._facts
+    vocabulary.store()
+    assert not vocabulary._fits and vocabulary._facts == 0
+    vocabulary.restore()
+    assert {b: before for b, before in vocabulary._fits.items() if before} == facts
+    assert vocabulary.encode_words(words) == found
+    vocabulary._clear_fits()
+    assert vocabulary.encode_words(words) == found and vocabulary._facts == sum(map(len, vocabulary._fits.values()))
