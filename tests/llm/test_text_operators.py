@@ -318,8 +318,9 @@ def test_deduplication_shuffles_only_listed_texts(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     assert len(splits) == 2  # the candidates and the result
-    for likely, others in splits:
-        assert likely.count() + others.count() == 3003 and likely.count() < 300
+    # Texts as short as these are ruled out by their first fragment in three of four cases only.
+    for (likely, others), most in zip(splits, (1500, 30)):
+        assert likely.count() + others.count() == 3003 and likely.count() < most
 
 
 @pytest.mark.parametrize("bits", [sieve.LEAST, 1 << 17])
