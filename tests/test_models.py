@@ -108,6 +108,41 @@ def test_cross_validation_and_ranking(book):
     assert test["model_a"] == "deep" and test["t_statistic"] > 0 and 0 <= test["p_value"] <= 1
 
 
+@pytest.fixture(scope="module")
+def many_claims(spark):
+    """9,000 valid claims, more than the 4,000 rows that models once were fitted on."""
+    return spark.range(9000).selectExpr(
+        "concat('C', id) AS claim_id", "CAST(id % 5 + 1 AS INT) AS severity_level", "'closed' AS status", "concat('T', id % 4) AS claim_type",
+        "concat('S', id % 12) AS specialty", "concat('R', id % 3) AS region", "concat('A', id % 2) AS patient_age_band",
+        "CAST(id * 7919 % 1000 AS DOUBLE) AS paid_amount", "CAST(id % 50 AS INT) AS days_to_report",
+        "CAST(id % 7 = 0 AS INT) AS litigation_flag", "CAST(id % 11 = 0 AS INT) AS repeat_event_flag",
+    )
+
+
+def _seen():
+    """Builders of a model that note the training rows, told and given."""
+    told, given = [], []
+
+    class Counted:
+        def fit(self, df):
+            given.append(df.select("claim_id").distinct().count())
+            return severity.logistic(len(given), 1).fit(df)
+
+    return {"counted": lambda rows: told.append(rows) or Counted()}, told, given
+
+
+def test_training_uses_every_row_of_the_split(many_claims):
+    models, told, given = _seen()
+    severity.train(many_claims, models)
+    assert told == given == [7200]
+
+
+def test_folds_train_on_every_row_of_the_others(many_claims):
+    models, told, given = _seen()
+    evaluate.cross_validate(severity.prepare(many_claims), models, folds=3)
+    assert told == given == [6000] * 3
+
+
 def test_report_by_hand(spark):
     pairs = [(0.0, 0.0)] * 3 + [(0.0, 1.0)] + [(1.0, 1.0)] * 2 + [(2.0, 0.0)] * 2
     rows = {r["row"]: r for r in evaluate.classification_report(spark.createDataFrame(pairs, "label double, prediction double")).collect()}
