@@ -143,6 +143,13 @@ def test_folds_train_on_every_row_of_the_others(many_claims):
     assert told == given == [6000] * 3
 
 
+def test_calibration_is_of_a_model_of_all_rows(many_claims):
+    models, told, given = _seen()
+    found = evaluate.calibrations(severity.prepare(many_claims), models)
+    assert told == given == [9000]
+    assert {r["n"] for r in found.groupBy("class").agg(F.sum("claim_count").alias("n")).collect()} == {9000}
+
+
 def test_report_by_hand(spark):
     pairs = [(0.0, 0.0)] * 3 + [(0.0, 1.0)] + [(1.0, 1.0)] * 2 + [(2.0, 0.0)] * 2
     rows = {r["row"]: r for r in evaluate.classification_report(spark.createDataFrame(pairs, "label double, prediction double")).collect()}
